@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     ArrayType,
     BooleanType,
     DataType,
+    DateType,
     DecimalType,
     DoubleType,
     IntegerType,
@@ -31,6 +32,7 @@ _TYPES: dict[str, DataType] = {
     "bigint": LongType(),
     "double": DoubleType(),
     "boolean": BooleanType(),
+    "date": DateType(),
     "timestamp": TimestampType(),
     "timestamp_ntz": TimestampNTZType(),
     "decimal(10,2)": DecimalType(10, 2),
