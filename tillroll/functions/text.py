@@ -51,9 +51,14 @@ def lenient_us_timestamp(c: Column | str) -> Column:
     (no DST gaps) and impossible values (month 15, minute 90) become NULL.
     """
     t = F.trim(col(c))
-    parts = [F.regexp_extract(t, US_DATETIME_TEXT, i) for i in range(1, 6)]
-    month, day, year, hour, minute = [p.try_cast("int") for p in parts]
-    return F.try_make_timestamp_ntz(year, month, day, hour, minute, F.lit(0))
+    # One regex checks the shape; the parts are cut with (regex-free) substring_index.
+    date_part, time_part = F.substring_index(t, " ", 1), F.substring_index(t, " ", -1)
+    month = F.substring_index(date_part, "/", 1)
+    day = F.substring_index(F.substring_index(date_part, "/", 2), "/", -1)
+    year = F.substring_index(date_part, "/", -1)
+    hour, minute = F.substring_index(time_part, ":", 1), F.substring_index(time_part, ":", -1)
+    y, mo, d, h, mi = [p.try_cast("int") for p in (year, month, day, hour, minute)]
+    return F.when(t.rlike(US_DATETIME_TEXT), F.try_make_timestamp_ntz(y, mo, d, h, mi, F.lit(0)))
 
 
 def recode(c: Column | str, mapping: Mapping[str, str], fallback: Column | None = None) -> Column:

@@ -63,6 +63,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared folder and read it back.
+
+    Used where one layer feeds several consumers (the way a materialised
+    pipeline reads its own tables): later reads get column pruning, predicate
+    pushdown and exact size statistics, and the lineage is cut, so a lost
+    executor never recomputes the upstream layers.
+    """
+    from tillroll.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage", name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K2: full replace. Safe when ``df`` was computed from the same path."""
     cut_lineage(df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)

@@ -297,7 +297,7 @@ def fact_sales(spark, sf_dir):
 )
 def asof_price_join(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    joined = asof_join(layers.silver_orders, layers.dim_product, "stock_code", "invoice_ts")
+    joined = asof_join(layers.orders_for_gold, layers.dim_product_for_gold, "stock_code", "invoice_ts")
     return joined.select(
         "f.order_line_id", "f.stock_code", "f.invoice_ts", "v.version", "v.unit_price"
     )
@@ -312,7 +312,7 @@ def asof_price_join(spark, sf_dir):
 )
 def left_join_unknown_bucket(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    per_customer = marts.revenue_per_customer(layers.fact_sales).join(
+    per_customer = marts.revenue_per_customer(layers.fact_for_marts).join(
         layers.dim_customer.select("customer_id", "country"), "customer_id", "left"
     )
     return per_customer.select(
@@ -329,8 +329,8 @@ def left_join_unknown_bucket(spark, sf_dir):
 )
 def price_at_instant(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    instant = star.latest_month(layers.silver_orders, "invoice_ts").cast(NTZ)
-    return star.price_at_instant(layers.dim_product, instant).select(
+    instant = star.latest_month(layers.orders_for_gold, "invoice_ts").cast(NTZ)
+    return star.price_at_instant(layers.dim_product_for_gold, instant).select(
         "stock_code", "version", "unit_price"
     )
 
@@ -341,11 +341,11 @@ def price_at_instant(spark, sf_dir):
 )
 def latest_month(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    return layers.silver_orders.agg(
+    return layers.orders_for_gold.agg(
         star.month_of(F.max("invoice_ts")).cast(NTZ).alias("orders_month")
     ).select(
         "orders_month",
-        star.latest_month(layers.fact_sales, "invoice_ts").cast(NTZ).alias("fact_month"),
+        star.latest_month(layers.fact_for_marts, "invoice_ts").cast(NTZ).alias("fact_month"),
     )
 
 
@@ -393,7 +393,7 @@ def customers_per_country(spark, sf_dir):
 @query("units_by_product", "SELECT stock_code, units_sold FROM units_by_product")
 def units_by_product(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    return marts.units_by_product(layers.fact_sales, layers.dim_product)
+    return marts.units_by_product(layers.fact_for_marts, layers.dim_product_for_gold)
 
 
 @query(
@@ -442,8 +442,7 @@ RESULT_GROUPS = {
 
 
 def _results(layers: Layers, names) -> DataFrame:
-    tables = layers.tables()
-    frames = [rule_results(tables[n][1], tables[n][2], n) for n in names]
+    frames = [rule_results(layers.tagged(n), Layers.TABLES[n][2], n) for n in names]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -511,9 +510,9 @@ def run_metrics(spark, sf_dir):
                 F.lit(0).cast("bigint").alias("rows_quarantined"),
             )
         )
-    for name, (layer, tagged, _rules) in layers.tables().items():
+    for name, (layer, _attr, _rules) in Layers.TABLES.items():
         frames.append(
-            table_counts(tagged, name).select(
+            table_counts(layers.tagged(name), name).select(
                 "table_name", F.lit(layer).alias("layer"), "rows_total", "rows_published",
                 "rows_quarantined",
             )

@@ -7,6 +7,12 @@ only the subtree it needs and Catalyst optimises it end to end. The pipeline
 (``plans.pipeline``) writes the same DataFrames layer by layer instead.
 
 Pass ``bronze`` DataFrames to run the model on other inputs (tests, CSV landing).
+
+Layers that feed *several* downstream consumers (silver orders -> anchor month
+and fact; dim_product -> fact and marts; fact -> marts) are staged once as
+Parquet in the shared folder when a downstream layer is built (``stage=True``),
+exactly like a materialised pipeline reads its own tables. A query that asks for
+one of those layers directly stays fully lazy.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tillroll.operators import sinks
 from tillroll.operators.quality import evaluate, passed
 from tillroll.plans import clean, marts, rules, star
 from tillroll.sources import feeds
@@ -26,10 +33,29 @@ class Layers:
         spark: SparkSession,
         sf_dir: str | None = None,
         bronze: dict[str, DataFrame] | None = None,
+        stage: bool = True,
     ) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
         self._bronze = dict(bronze or {})
+        self.stage = stage
+
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        return sinks.stage(df, name) if self.stage else df
+
+    # inputs of downstream layers (staged once, read by every consumer)
+
+    @cached_property
+    def orders_for_gold(self) -> DataFrame:
+        return self._staged(self.silver_orders, "silver_orders")
+
+    @cached_property
+    def dim_product_for_gold(self) -> DataFrame:
+        return self._staged(self.dim_product, "dim_product")
+
+    @cached_property
+    def fact_for_marts(self) -> DataFrame:
+        return self._staged(self.fact_sales, "fact_sales")
 
     def bronze(self, name: str) -> DataFrame:
         if name not in self._bronze:
@@ -59,12 +85,14 @@ class Layers:
     @cached_property
     def tagged_dim_product(self) -> DataFrame:
         return evaluate(
-            star.dim_product(self.silver_products, self.silver_orders), rules.DIM_PRODUCT
+            star.dim_product(self.silver_products, self.orders_for_gold), rules.DIM_PRODUCT
         )
 
     @cached_property
     def tagged_fact_sales(self) -> DataFrame:
-        return evaluate(star.fact_sales(self.silver_orders, self.dim_product), rules.FACT_SALES)
+        return evaluate(
+            star.fact_sales(self.orders_for_gold, self.dim_product_for_gold), rules.FACT_SALES
+        )
 
     @cached_property
     def tagged_top_countries(self) -> DataFrame:
@@ -75,19 +103,22 @@ class Layers:
     @cached_property
     def tagged_revenue_by_country(self) -> DataFrame:
         return evaluate(
-            marts.revenue_by_country(self.fact_sales, self.dim_customer), rules.REVENUE_BY_COUNTRY
+            marts.revenue_by_country(self.fact_for_marts, self.dim_customer),
+            rules.REVENUE_BY_COUNTRY,
         )
 
     @cached_property
     def tagged_price_vs_volume(self) -> DataFrame:
         return evaluate(
-            marts.price_vs_volume(self.fact_sales, self.dim_product), rules.PRICE_VS_VOLUME
+            marts.price_vs_volume(self.fact_for_marts, self.dim_product_for_gold),
+            rules.PRICE_VS_VOLUME,
         )
 
     @cached_property
     def tagged_top_price_drops(self) -> DataFrame:
         return evaluate(
-            marts.top_price_drops(self.fact_sales, self.dim_product), rules.TOP_PRICE_DROPS
+            marts.top_price_drops(self.fact_for_marts, self.dim_product_for_gold),
+            rules.TOP_PRICE_DROPS,
         )
 
     # ------------------------------------------------------------ published
@@ -132,25 +163,22 @@ class Layers:
     def top_price_drops(self) -> DataFrame:
         return passed(self.tagged_top_price_drops)
 
-    # name -> (layer, tagged DataFrame, rules), in build order
-    def tables(self) -> dict[str, tuple[str, DataFrame, tuple]]:
-        return {
-            "silver.customers": ("silver", self.tagged_customers, rules.SILVER_CUSTOMERS),
-            "silver.products": ("silver", self.tagged_products, rules.SILVER_PRODUCTS),
-            "silver.orders": ("silver", self.tagged_orders, rules.SILVER_ORDERS),
-            "gold.dim_customer": ("gold", self.tagged_dim_customer, rules.DIM_CUSTOMER),
-            "gold.dim_product": ("gold", self.tagged_dim_product, rules.DIM_PRODUCT),
-            "gold.fact_sales": ("gold", self.tagged_fact_sales, rules.FACT_SALES),
-            "gold.top_countries_by_customers": (
-                "gold",
-                self.tagged_top_countries,
-                rules.TOP_COUNTRIES_BY_CUSTOMERS,
-            ),
-            "gold.revenue_by_country": (
-                "gold",
-                self.tagged_revenue_by_country,
-                rules.REVENUE_BY_COUNTRY,
-            ),
-            "gold.price_vs_volume": ("gold", self.tagged_price_vs_volume, rules.PRICE_VS_VOLUME),
-            "gold.top_price_drops": ("gold", self.tagged_top_price_drops, rules.TOP_PRICE_DROPS),
-        }
+    # name -> (layer, tagged attribute, rules), in build order
+    TABLES = {
+        "silver.customers": ("silver", "tagged_customers", rules.SILVER_CUSTOMERS),
+        "silver.products": ("silver", "tagged_products", rules.SILVER_PRODUCTS),
+        "silver.orders": ("silver", "tagged_orders", rules.SILVER_ORDERS),
+        "gold.dim_customer": ("gold", "tagged_dim_customer", rules.DIM_CUSTOMER),
+        "gold.dim_product": ("gold", "tagged_dim_product", rules.DIM_PRODUCT),
+        "gold.fact_sales": ("gold", "tagged_fact_sales", rules.FACT_SALES),
+        "gold.top_countries_by_customers": (
+            "gold", "tagged_top_countries", rules.TOP_COUNTRIES_BY_CUSTOMERS,
+        ),
+        "gold.revenue_by_country": ("gold", "tagged_revenue_by_country", rules.REVENUE_BY_COUNTRY),
+        "gold.price_vs_volume": ("gold", "tagged_price_vs_volume", rules.PRICE_VS_VOLUME),
+        "gold.top_price_drops": ("gold", "tagged_top_price_drops", rules.TOP_PRICE_DROPS),
+    }
+
+    def tagged(self, table_name: str) -> DataFrame:
+        """The tagged rows of one table (builds only what that table needs)."""
+        return getattr(self, self.TABLES[table_name][1])

@@ -137,7 +137,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus"
     )
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    lines = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    # orders is a fact table (a quarter of lineitem), not a dimension: co-partition
+    # both sides by order key (sort-merge join, spills, AQE splits skewed keys) rather
+    # than broadcasting it. This also spreads the per-line work below over the
+    # shuffle partitions instead of the scan's few input splits.
+    lines = li.join(o.hint("merge"), li["l_orderkey"] == o["o_orderkey"])
     ok = F.col("l_orderkey")
     copies = F.sequence(F.lit(1), F.when(ok % 100 == 7, F.lit(2)).otherwise(F.lit(1)))
     lines = lines.select("*", F.explode(copies).alias("load"))
