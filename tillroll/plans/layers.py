@@ -8,11 +8,11 @@ only the subtree it needs and Catalyst optimises it end to end. The pipeline
 
 Pass ``bronze`` DataFrames to run the model on other inputs (tests, CSV landing).
 
-Layers that feed *several* downstream consumers (silver orders -> anchor month
-and fact; dim_product -> fact and marts; fact -> marts) are staged once as
-Parquet in the shared folder when a downstream layer is built (``stage=True``),
-exactly like a materialised pipeline reads its own tables. A query that asks for
-one of those layers directly stays fully lazy.
+Layers that feed *several* consumers inside one plan (silver orders -> anchor
+month and fact; dim_product -> fact and the marts) are staged once as Parquet in
+the shared folder when a downstream layer is built (``stage=True``), like a
+materialised pipeline reads its own tables. The fact is consumed once per mart,
+so it stays lazy; a query that asks for a layer itself stays fully lazy.
 """
 
 from __future__ import annotations
@@ -53,9 +53,9 @@ class Layers:
     def dim_product_for_gold(self) -> DataFrame:
         return self._staged(self.dim_product, "dim_product")
 
-    @cached_property
+    @property
     def fact_for_marts(self) -> DataFrame:
-        return self._staged(self.fact_sales, "fact_sales")
+        return self.fact_sales
 
     def bronze(self, name: str) -> DataFrame:
         if name not in self._bronze:
