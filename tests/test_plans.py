@@ -87,3 +87,28 @@ def test_global_windows_only_see_aggregated_rows(spark):
 def test_feed_join_shuffles_both_fact_sides(spark):
     text = plan(Layers(spark, SF001).bronze("orders").select(F.count(F.lit(1))))
     assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text.split("SortMergeJoin")[0]
+
+
+def test_position_in_group_matches_a_window_across_many_chunks(spark):
+    import random
+
+    from pyspark.sql import Window
+
+    from tillroll.operators.ranking import position_in_group
+
+    rnd = random.Random(7)
+    # one hot key with most rows, a few small keys, NULL keys; unique order per key
+    data = [("hot", i) for i in rnd.sample(range(10_000), 3000)]
+    data += [(f"k{j}", i) for j in range(20) for i in rnd.sample(range(500), 5)]
+    data += [(None, i) for i in range(7)]
+    df = spark.createDataFrame(data, "k string, o bigint")
+    got = position_in_group(df, ["k"], ["o"], chunk=[F.shiftright(F.col("o"), 4)])
+    want = df.select(
+        "k", "o",
+        F.row_number().over(Window.partitionBy("k").orderBy("o")).alias("_position"),
+        F.count(F.lit(1)).over(Window.partitionBy("k")).alias("_group_size"),
+    )
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    # the hot key is numbered in pieces: no window partition holds all its rows
+    text = plan(got)
+    assert "_chunk0" in text

@@ -10,16 +10,16 @@ Scale notes
   a third of all rows is collapsed before any shuffle.
 - orders: replayed lines collapse with ``latest_per_key`` (aggregation, partial
   on the map side), not a window.
-- products: a price history is ordered within a stock code, which needs one
-  window partition per code (one shuffle, all windows share it). A code's rows
-  are its own price versions, so a partition is one product's history.
+- products: positions inside a stock code's history come from
+  ``position_in_group`` (bounded chunks + offsets), names from partial ``min``
+  aggregates, so even a stock code with a third of all rows is spread out.
 - "newest load" filters compare with a scalar subquery (one-row aggregate),
   never a driver round trip.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.keys import content_hash
@@ -33,6 +33,7 @@ from tillroll.functions.text import (
     recode,
 )
 from tillroll.operators.dedup import LINEAGE, latest_per_key
+from tillroll.operators.ranking import position_in_group
 from tillroll.operators.schema import conform
 from tillroll.plans import schemas
 
@@ -142,22 +143,40 @@ def product_type(stock_code: Column, name: Column) -> Column:
 def price_versions(snapshot: DataFrame) -> DataFrame:
     """Number each stock code's rows bottom-up (bottom = version 1 = oldest price)
     and resolve the product name: the first row from the top written in capitals,
-    else the first non-blank row."""
+    else the first non-blank row.
+
+    File order is ``(_source_file, _row_id)``. Positions come from
+    ``position_in_group`` (bounded chunks, no window over a whole stock code); the
+    two "first from the top" names are ``min`` aggregates of (order, text) structs,
+    partial per chunk, then over the code's chunk rows.
+    """
     rows = snapshot.select(
         normalise_code("stock_code").alias("stock_code"),
         blank_to_null("description").alias("description_raw"),
         lenient_decimal("unit_price", 10, 2).alias("unit_price"),
         *LINEAGE,
     )
-    top_down = Window.partitionBy("stock_code").orderBy("_source_file", "_row_id")
-    whole = top_down.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     raw = F.col("description_raw")
-    version = F.count(F.lit(1)).over(whole) - F.row_number().over(top_down) + 1
-    name = F.coalesce(
-        F.first(F.when(is_name_case(raw), raw), ignorenulls=True).over(whole),
-        F.first(raw, ignorenulls=True).over(whole),
+
+    def first_from_top(cond: Column) -> Column:
+        return F.min(F.when(cond, F.struct("_source_file", "_row_id", raw.alias("text"))))
+
+    ranked = position_in_group(
+        rows,
+        keys=["stock_code"],
+        order=["_source_file", "_row_id"],
+        chunk=[F.col("_source_file"), F.shiftright(F.col("_row_id"), 20)],
+        chunk_aggs=[
+            first_from_top(is_name_case(raw)).alias("_chunk_name"),
+            first_from_top(raw.isNotNull()).alias("_chunk_text"),
+        ],
+        group_aggs=[("_name", F.min("_chunk_name")), ("_text", F.min("_chunk_text"))],
+    )
+    return ranked.select(
+        *rows.columns,
+        (F.col("_group_size") - F.col("_position") + 1).cast("int").alias("version"),
+        F.coalesce(F.col("_name.text"), F.col("_text.text")).alias("description"),
     )
-    return rows.withColumn("version", version.cast("int")).withColumn("description", name)
 
 
 def clean_products(bronze: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ month earlier, the oldest one from the beginning of time. Validity is half-open
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.keys import surrogate_key
 from tillroll.operators.asof import asof_join
+from tillroll.operators.ranking import position_in_group
 from tillroll.operators.schema import conform
 from tillroll.plans import schemas
 from tillroll.plans.clean import CANCELLATION, NON_REVENUE, SALE
@@ -64,13 +65,15 @@ def dim_product(silver_products: DataFrame, silver_orders: DataFrame) -> DataFra
     silver version numbers). The anchor month comes from the published orders.
     """
     anchor = latest_month(silver_orders, "invoice_ts")
-    in_order = Window.partitionBy("stock_code").orderBy("version")
-    whole = Window.partitionBy("stock_code")
-    position = F.row_number().over(in_order)
-    versions = F.count(F.lit(1)).over(whole)
-    valid_from, valid_to = scd2_validity(position, versions, anchor)
+    ranked = position_in_group(
+        silver_products,
+        keys=["stock_code"],
+        order=["version"],
+        chunk=[F.shiftright(F.col("version"), 20)],
+    )
+    valid_from, valid_to = scd2_validity(F.col("_position"), F.col("_group_size"), anchor)
     dated = (
-        silver_products.withColumn("product_key", surrogate_key("stock_code", "version"))
+        ranked.withColumn("product_key", surrogate_key("stock_code", "version"))
         .withColumn("valid_from", valid_from)
         .withColumn("valid_to", valid_to)
         .withColumn("is_current", F.col("valid_to") == ntz(END_OF_TIME))
