@@ -110,7 +110,9 @@ def upsert(
     in_touched = target.join(touched, partition_col, "left_semi")
     rewrite = merged(in_touched, source, keys)
     (
-        rewrite.repartition(partition_col)
+        # range-partition by (partition, key): few files per partition, and a hot
+        # partition (one month with a third of all rows) is split over many tasks
+        clustered_by(rewrite, partition_col, keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
@@ -118,6 +120,12 @@ def upsert(
     )
 
 
+def clustered_by(df: DataFrame, partition_col: str, keys: Sequence[str]) -> DataFrame:
+    """Rows ordered into tasks by (partition value, key) ranges before a partitioned
+    write: each task writes few partition values, no partition value is one task."""
+    return df.repartitionByRange(partition_col, *keys)
+
+
 def month_partition(ts: str, name: str = "invoice_month") -> tuple[str, F.Column]:
     """K5: the first day of the month of a timestamp as a partition column."""
     return name, F.trunc(F.to_date(F.col(ts)), "MM")

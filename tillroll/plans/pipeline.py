@@ -100,7 +100,7 @@ class Run:
 
     def publish(self, name: str, df: DataFrame, table_rules, write: Callable[[DataFrame], None]):
         tagged = sinks.stage(evaluate(df, table_rules), name.replace(".", "_") + "_tagged")
-        now = F.lit(self.load_ts).cast("timestamp")
+        now = F.lit(self.load_ts.isoformat(" ")).cast("timestamp")
         if table_rules:
             results = rule_results(tagged, table_rules, name).select(
                 F.lit(self.run_id).alias("run_id"), "table_name", "rule", "severity",
@@ -128,9 +128,9 @@ class Run:
 
     def this_load(self, feed: str) -> DataFrame:
         stored = self.wh.read(self.spark, f"bronze.{feed}", BRONZE_STORED[feed])
-        day = F.lit(self.load_ts.date())
-        ts = F.lit(self.load_ts).cast("timestamp")
-        rows = stored.filter((F.col(INGEST_DAY) == day) & (F.col("_ingested_at") == ts))
+        # the same literal -> timestamp cast as at ingest (session time zone)
+        ts = F.lit(self.load_ts.isoformat(" ")).cast("timestamp")
+        rows = stored.filter((F.col(INGEST_DAY) == F.to_date(ts)) & (F.col("_ingested_at") == ts))
         return rows.drop(INGEST_DAY)
 
     def silver_customers(self):
@@ -167,8 +167,13 @@ class Run:
     def _gold(self, name, schema):
         return self.wh.read(self.spark, f"gold.{name}", schema)
 
-    def _overwrite(self, name, partition_by=()):
-        return lambda ok: ok.write.mode("overwrite").partitionBy(*partition_by).parquet(self.wh.path(name))
+    def _overwrite(self, name, partition_by=(), keys=()):
+        def write(ok: DataFrame) -> None:
+            if partition_by:
+                ok = sinks.clustered_by(ok, partition_by[0], keys)
+            ok.write.mode("overwrite").partitionBy(*partition_by).parquet(self.wh.path(name))
+
+        return write
 
     def gold(self, name: str):
         g = lambda n, s: self._gold(n, s)
@@ -182,7 +187,8 @@ class Run:
             fact = star.fact_sales(orders, g("dim_product", schemas.DIM_PRODUCT))
             month_name, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
             return self.publish("gold.fact_sales", fact.withColumn(month_name, month),
-                                rules.FACT_SALES, self._overwrite("gold.fact_sales", [INVOICE_MONTH]))
+                                rules.FACT_SALES,
+                                self._overwrite("gold.fact_sales", [INVOICE_MONTH], ["order_line_id"]))
         else:
             fact = g("fact_sales", FACT_STORED).drop(INVOICE_MONTH)
             dim_c = g("dim_customer", schemas.DIM_CUSTOMER)
