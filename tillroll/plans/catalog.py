@@ -18,7 +18,6 @@ from tillroll.operators import sinks
 from tillroll.operators.asof import asof_join
 from tillroll.operators.dedup import latest_per_key
 from tillroll.operators.quality import (
-    FAILED,
     QUARANTINE,
     failed_rules_text,
     quarantined,
@@ -539,9 +538,11 @@ def adhoc_multi_country(spark, sf_dir):
     return (
         bronze.filter(F.trim("customer_id") != "")
         .groupBy(F.trim("customer_id").alias("customer_id"))
-        .agg(
-            F.array_join(F.array_sort(F.collect_set("country")), "|").alias("countries"),
-            F.count_distinct("country").alias("n_countries"),
+        .agg(F.array_sort(F.collect_set("country")).alias("_countries"))
+        .select(
+            "customer_id",
+            F.array_join("_countries", "|").alias("countries"),
+            F.size("_countries").cast("bigint").alias("n_countries"),
         )
         .filter(F.col("n_countries") > 1)
     )

@@ -52,3 +52,23 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path below the shared folder (one per call)."""
     return "/".join([shared_dir(spark), "tillroll", *parts, uuid.uuid4().hex])
+
+
+def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Spark settings sized for a job reading ``input_bytes`` on ``cores`` cores.
+
+    Shuffle partitions start at ~one per ``partition_bytes`` of input (never fewer
+    than 2 per core, capped at 100k); AQE coalesces small ones and splits skewed
+    ones at run time, so the number only has to be large enough for the biggest
+    stage to fit in executor memory. Scan splits use the same target size.
+    """
+    shuffle = min(max(input_bytes // partition_bytes, 2 * cores), 100_000)
+    return {
+        "spark.sql.shuffle.partitions": str(int(shuffle)),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
