@@ -45,6 +45,16 @@ def product_code(partkey: Column) -> Column:
     )
 
 
+def us_datetime_text(ts: Column) -> Column:
+    """``M/d/yyyy H:mm`` text of a TIMESTAMP_NTZ, built from its fields (no
+    time-zone conversion, unlike ``date_format``)."""
+    return F.concat(
+        F.month(ts).cast("string"), F.lit("/"), F.dayofmonth(ts).cast("string"), F.lit("/"),
+        F.year(ts).cast("string"), F.lit(" "), F.hour(ts).cast("string"), F.lit(":"),
+        F.lpad(F.minute(ts).cast("string"), 2, "0"),
+    )
+
+
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customers feed: one row per customer in load 1, a second-country row for some
     customers in load 1, and a moved-country row for others in load 2."""
@@ -141,7 +151,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(ok_o % 503 == 0, F.lit("15/5/2011 14:48"))
-        .otherwise(F.date_format("o_orderdate", "M/d/yyyy H:mm"))
+        .otherwise(us_datetime_text(F.col("o_orderdate")))
         .alias("invoice_date"),
         F.when(F.col("o_custkey") % 4 == 0, F.lit(None).cast("string"))
         .otherwise(F.col("o_custkey").cast("string"))
