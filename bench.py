@@ -41,7 +41,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from tillroll.plans import catalog
-    from tillroll.session import local_session
+    from tillroll.session import local_session, remove_path, stage_root
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")))
     qs = catalog.queries()
@@ -50,7 +50,9 @@ def main() -> None:
         def run() -> float:
             t0 = time.perf_counter()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            return time.perf_counter() - t0
+            elapsed = time.perf_counter() - t0
+            remove_path(spark, stage_root(spark))  # staged layers of this run only
+            return elapsed
 
         run()  # warm-up: JIT, file listing, broadcast of dims
         timings[name] = round(statistics.median(run() for _ in range(runs)), 3)

@@ -71,10 +71,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     pushdown and exact size statistics, and the lineage is cut, so a lost
     executor never recomputes the upstream layers.
     """
-    from tillroll.session import scratch_path
+    import uuid
+
+    from tillroll.session import stage_root
 
     spark = df.sparkSession
-    path = scratch_path(spark, "stage", name)
+    path = f"{stage_root(spark)}/{name}/{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -328,7 +328,7 @@ def left_join_unknown_bucket(spark, sf_dir):
 )
 def price_at_instant(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    instant = star.latest_month(layers.orders_for_gold, "invoice_ts").cast(NTZ)
+    instant = star.latest_month(layers.orders_for_anchor, "invoice_ts").cast(NTZ)
     return star.price_at_instant(layers.dim_product_for_gold, instant).select(
         "stock_code", "version", "unit_price"
     )

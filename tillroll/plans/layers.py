@@ -49,6 +49,17 @@ class Layers:
     def orders_for_gold(self) -> DataFrame:
         return self._staged(self.silver_orders, "silver_orders")
 
+    @property
+    def orders_for_anchor(self) -> DataFrame:
+        """Published orders as far as ``max(invoice_ts)`` can tell: the staged silver
+        orders when the fact already needs them, else the rule-checked lines
+        *without* dedup (a max is unchanged by removing duplicates: copies share
+        every typed field and rule outcome), i.e. one scan and a partial max."""
+        if "orders_for_gold" in self.__dict__:
+            return self.orders_for_gold
+        lines = clean.typed_lines(self.bronze("orders"))
+        return passed(evaluate(lines, rules.SILVER_ORDERS))
+
     @cached_property
     def dim_product_for_gold(self) -> DataFrame:
         return self._staged(self.dim_product, "dim_product")
@@ -85,7 +96,7 @@ class Layers:
     @cached_property
     def tagged_dim_product(self) -> DataFrame:
         return evaluate(
-            star.dim_product(self.silver_products, self.orders_for_gold), rules.DIM_PRODUCT
+            star.dim_product(self.silver_products, self.orders_for_anchor), rules.DIM_PRODUCT
         )
 
     @cached_property

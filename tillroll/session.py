@@ -72,3 +72,18 @@ def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
     }
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Recursively delete ``path`` through the Hadoop FileSystem of the session
+    (works for local, HDFS and object-store paths alike)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)
+
+
+def stage_root(spark: SparkSession) -> str:
+    """Folder of the layers staged by ``operators.sinks.stage`` in this application."""
+    return f"{shared_dir(spark)}/tillroll/stage/{spark.sparkContext.applicationId}"
