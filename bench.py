@@ -43,7 +43,7 @@ def main() -> None:
     from tillroll.plans import catalog
     from tillroll.session import local_session, remove_path, stage_root
 
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", "16")))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", cpus)))
     qs = catalog.queries()
     timings: dict[str, float] = {}
     for name in names:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from tillroll.operators import sinks
 from tillroll.operators.quality import evaluate, passed, quarantined, rule_results, table_counts
 from tillroll.plans import clean, marts, rules, schemas, star
+from tillroll.session import path_exists
 from tillroll.sources import landing
 
 FEEDS = {
@@ -59,11 +60,58 @@ class Warehouse:
     def read(self, spark: SparkSession, name: str, schema) -> DataFrame:
         return sinks.read_table(spark, self.path(name), schema)
 
+    def register(self, spark: SparkSession) -> list[str]:
+        """Expose every stored table as ``<layer>.<table>`` in the session catalog
+        (external Parquet tables; partitions recovered), so the documented SQL runs
+        as is: ``spark.table("gold.revenue_by_country")``."""
+        registered = []
+        for name, schema in STORED_TABLES.items():
+            if not path_exists(spark, self.path(name)):
+                continue
+            database = name.split(".")[0]
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            partitioned = f"PARTITIONED BY (`{PARTITIONED[name]}`)" if name in PARTITIONED else ""
+            spark.sql(
+                f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} "
+                f"LOCATION '{self.path(name)}'"
+            )
+            if name in PARTITIONED:
+                spark.catalog.recoverPartitions(name)
+            registered.append(name)
+        return registered
+
 
 BRONZE_STORED = {n: with_column(s, INGEST_DAY, "date") for n, (_, s) in FEEDS.items()}
 ORDERS_STORED = with_column(schemas.SILVER_ORDERS, INVOICE_MONTH, "date")
 FACT_STORED = with_column(schemas.FACT_SALES, INVOICE_MONTH, "date")
 
+STORED_TABLES = {
+    **{f"bronze.{n}": s for n, s in BRONZE_STORED.items()},
+    "silver.customers": schemas.SILVER_CUSTOMERS,
+    "silver.products": schemas.SILVER_PRODUCTS,
+    "silver.orders": ORDERS_STORED,
+    "gold.dim_customer": schemas.DIM_CUSTOMER,
+    "gold.dim_product": schemas.DIM_PRODUCT,
+    "gold.fact_sales": FACT_STORED,
+    "gold.top_countries_by_customers": schemas.TOP_COUNTRIES_BY_CUSTOMERS,
+    "gold.revenue_by_country": schemas.REVENUE_BY_COUNTRY,
+    "gold.price_vs_volume": schemas.PRICE_VS_VOLUME,
+    "gold.top_price_drops": schemas.TOP_PRICE_DROPS,
+    "dq.results": schemas.DQ_RESULTS,
+    "dq.quarantine": schemas.DQ_QUARANTINE,
+    "ops.run_log": schemas.RUN_LOG,
+}
+PARTITIONED = {
+    "bronze.customers": INGEST_DAY,
+    "bronze.products": INGEST_DAY,
+    "bronze.orders": INGEST_DAY,
+    "silver.orders": INVOICE_MONTH,
+    "gold.fact_sales": INVOICE_MONTH,
+    "dq.quarantine": "table_name",
+}
+
 
 class Run:
     def __init__(self, spark: SparkSession, warehouse: Warehouse, landing_dir: str, run_id: str):

@@ -74,12 +74,22 @@ def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
     }
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists on the session's Hadoop FileSystem."""
+    fs, hpath = _fs_path(spark, path)
+    return bool(fs.exists(hpath))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Recursively delete ``path`` through the Hadoop FileSystem of the session
     (works for local, HDFS and object-store paths alike)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
 
