@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, DecimalType
 
 from tillroll.functions.text import lenient_integer, lenient_us_timestamp
 from tillroll.operators import sinks
@@ -38,11 +39,39 @@ ORACLE: dict[str, str] = {}
 NTZ = "timestamp_ntz"
 
 
-def query(name: str, sql: str | None = None):
+def engine_neutral(df: DataFrame) -> DataFrame:
+    """Driver-facing output types: money (DECIMAL) as DOUBLE and DATE as
+    TIMESTAMP_NTZ, which both engines hand back as the same Python/pandas types."""
+    out = []
+    for f in df.schema:
+        if isinstance(f.dataType, DecimalType):
+            out.append(F.col(f.name).cast("double").alias(f.name))
+        elif isinstance(f.dataType, DateType):
+            out.append(F.col(f.name).cast(NTZ).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+def query(name: str, sql: str | None = None, money=(), dates=(), texts=()):
+    """Register a query; ``money``/``dates`` name its DECIMAL/DATE output columns,
+    cast the same way in the oracle SQL. ``texts`` are timestamps emitted as
+    canonical text because they hold open-interval ends (9999-12-31) that
+    nanosecond-based consumers (pandas) cannot represent."""
+
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            out = engine_neutral(fn(spark, sf_dir))
+            return out.withColumns({c: F.col(c).cast("string") for c in texts}) if texts else out
+
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = oracle.q(sql)
+            casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in money]
+            casts += [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates]
+            casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts]
+            body = sql if not casts else f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})"
+            ORACLE[name] = oracle.q(body)
         return fn
 
     return register
@@ -114,7 +143,9 @@ def clean_customers(spark, sf_dir):
     return Layers(spark, sf_dir).silver_customers.select(*SILVER_CUSTOMER_COLS)
 
 
-@query("clean_products", f"SELECT {cols(SILVER_PRODUCT_COLS)} FROM silver_products")
+@query(
+    "clean_products", f"SELECT {cols(SILVER_PRODUCT_COLS)} FROM silver_products", money=['unit_price']
+)
 def clean_products(spark, sf_dir):
     return Layers(spark, sf_dir).silver_products.select(*SILVER_PRODUCT_COLS)
 
@@ -236,7 +267,7 @@ def customer_countries(spark, sf_dir):
 
 @query(
     "price_versions",
-    "SELECT stock_code, version, description_raw, unit_price, _row_id FROM prod_versions",
+    "SELECT stock_code, version, description_raw, unit_price, _row_id FROM prod_versions", money=['unit_price']
 )
 def price_versions(spark, sf_dir):
     snap = clean.latest_snapshot(Layers(spark, sf_dir).bronze("products"))
@@ -254,6 +285,7 @@ def product_names(spark, sf_dir):
 @query(
     "scd2_validity",
     "SELECT stock_code, version, valid_from, valid_to, is_current FROM dim_product",
+    texts=["valid_from", "valid_to"],
 )
 def scd2_validity(spark, sf_dir):
     return Layers(spark, sf_dir).dim_product.select(
@@ -278,12 +310,17 @@ def dim_customer(spark, sf_dir):
     return Layers(spark, sf_dir).dim_customer
 
 
-@query("dim_product", f"SELECT {cols(DIM_PRODUCT_COLS)} FROM dim_product")
+@query(
+    "dim_product", f"SELECT {cols(DIM_PRODUCT_COLS)} FROM dim_product", money=['unit_price'],
+    texts=["valid_from", "valid_to"],
+)
 def dim_product(spark, sf_dir):
     return Layers(spark, sf_dir).dim_product.select(*DIM_PRODUCT_COLS)
 
 
-@query("fact_sales", f"SELECT {cols(FACT_COLS)} FROM fact_sales")
+@query(
+    "fact_sales", f"SELECT {cols(FACT_COLS)} FROM fact_sales", money=['unit_price', 'line_amount']
+)
 def fact_sales(spark, sf_dir):
     return Layers(spark, sf_dir).fact_sales.select(*FACT_COLS)
 
@@ -292,7 +329,7 @@ def fact_sales(spark, sf_dir):
     "asof_price_join",
     """SELECT o.order_line_id, o.stock_code, o.invoice_ts, d.version, d.unit_price
        FROM silver_orders o LEFT JOIN dim_product d
-         ON o.stock_code = d.stock_code AND o.invoice_ts >= d.valid_from AND o.invoice_ts < d.valid_to""",
+         ON o.stock_code = d.stock_code AND o.invoice_ts >= d.valid_from AND o.invoice_ts < d.valid_to""", money=['unit_price']
 )
 def asof_price_join(spark, sf_dir):
     layers = Layers(spark, sf_dir)
@@ -307,7 +344,7 @@ def asof_price_join(spark, sf_dir):
     """SELECT f.customer_id, coalesce(c.country, 'Unknown') AS country,
               CAST(sum(f.line_amount) AS DECIMAL(18,2)) AS revenue
        FROM fact_sales f LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
-       WHERE f.is_revenue GROUP BY f.customer_id, c.country""",
+       WHERE f.is_revenue GROUP BY f.customer_id, c.country""", money=['revenue']
 )
 def left_join_unknown_bucket(spark, sf_dir):
     layers = Layers(spark, sf_dir)
@@ -324,7 +361,7 @@ def left_join_unknown_bucket(spark, sf_dir):
 @query(
     "price_at_instant",
     """SELECT d.stock_code, d.version, d.unit_price FROM dim_product d, anchor a
-       WHERE d.valid_from < a.anchor AND d.valid_to >= a.anchor""",
+       WHERE d.valid_from < a.anchor AND d.valid_to >= a.anchor""", money=['unit_price']
 )
 def price_at_instant(spark, sf_dir):
     layers = Layers(spark, sf_dir)
@@ -361,7 +398,7 @@ def top_countries_by_customers(spark, sf_dir):
 
 @query(
     "revenue_by_country",
-    "SELECT rank, country, revenue, revenue_share_pct FROM revenue_by_country",
+    "SELECT rank, country, revenue, revenue_share_pct FROM revenue_by_country", money=['revenue']
 )
 def revenue_by_country(spark, sf_dir):
     return Layers(spark, sf_dir).revenue_by_country
@@ -369,7 +406,7 @@ def revenue_by_country(spark, sf_dir):
 
 @query(
     "price_vs_volume",
-    "SELECT stock_code, description, avg_unit_price, units_sold FROM price_vs_volume",
+    "SELECT stock_code, description, avg_unit_price, units_sold FROM price_vs_volume", money=['avg_unit_price']
 )
 def price_vs_volume(spark, sf_dir):
     return Layers(spark, sf_dir).price_vs_volume
@@ -378,7 +415,7 @@ def price_vs_volume(spark, sf_dir):
 @query(
     "top_price_drops",
     """SELECT rank, stock_code, description, month, price_before, price_after, price_drop
-       FROM top_price_drops""",
+       FROM top_price_drops""", money=['price_before', 'price_after', 'price_drop']
 )
 def top_price_drops(spark, sf_dir):
     return Layers(spark, sf_dir).top_price_drops
@@ -397,7 +434,7 @@ def units_by_product(spark, sf_dir):
 
 @query(
     "avg_price_by_product",
-    "SELECT stock_code, description, avg_unit_price FROM avg_price_by_product",
+    "SELECT stock_code, description, avg_unit_price FROM avg_price_by_product", money=['avg_unit_price']
 )
 def avg_price_by_product(spark, sf_dir):
     return marts.avg_price_by_product(Layers(spark, sf_dir).dim_product)
@@ -652,7 +689,7 @@ ORDERS_PARTITIONED = schemas.ddl(
                CASE WHEN invoice_ts >= TIMESTAMP '{UPSERT_FROM}' THEN 'merged:' || _source_file
                     ELSE _source_file END AS _source_file,
                quantity, invoice_ts
-        FROM silver_orders""",
+        FROM silver_orders""", dates=['invoice_month']
 )
 def upsert_orders(spark, sf_dir):
     """Silver orders up to 2000 are in the table; lines from 2000-06 on arrive again
@@ -708,7 +745,7 @@ FACT_PARTITIONED = schemas.ddl(
     "fact_month_slice",
     """SELECT order_line_id, invoice_ts, line_amount,
               CAST(date_trunc('month', invoice_ts) AS DATE) AS invoice_month
-       FROM fact_sales WHERE CAST(date_trunc('month', invoice_ts) AS TIMESTAMP) = (SELECT ms FROM last_month)""",
+       FROM fact_sales WHERE CAST(date_trunc('month', invoice_ts) AS TIMESTAMP) = (SELECT ms FROM last_month)""", money=['line_amount'], dates=['invoice_month']
 )
 def fact_month_slice(spark, sf_dir):
     """fact_sales stored partitioned by month; readers of one month prune the rest."""

@@ -25,7 +25,6 @@ SPECIAL_CODES = ["POST", "DOT", "C2", "D", "M", "BANK CHARGES", "AMAZONFEE", "CR
 # Country spellings the source uses for nation keys 0..4.
 SOURCE_COUNTRY_BY_NATION = [" EIRE ", "RSA", "USA", "Unspecified", "European Community"]
 
-LOAD_FILES = {"customers": "customers_{}.csv", "products": "products_{}.csv", "orders": "orders_{}.csv"}
 LOAD_TS = {1: "2024-01-01 00:00:00", 2: "2024-01-02 00:00:00"}
 
 
