@@ -2,8 +2,9 @@
 
 A run is plain function composition over stored Parquet tables:
 
-1. bronze: new ``<feed>_*.csv`` deliveries (anti-join on delivered file name) are
-   appended with one load timestamp, partitioned by ingest day.
+1. bronze: new ``<feed>_*.csv`` deliveries (files listed without reading them,
+   anti-joined on the delivered name; only new files are read) are appended with
+   one load timestamp, partitioned by ingest day.
 2. silver: the rows *of this run's load* are cleaned, checked and upserted
    (orders: only the touched invoice months are rewritten). A replayed line has
    the same key as the original, a customer's newest load replaces its country,
@@ -166,10 +167,13 @@ class Run:
     def bronze(self, feed: str) -> tuple[int, int]:
         prefix, schema = FEEDS[feed]
         stored = self.wh.read(self.spark, f"bronze.{feed}", BRONZE_STORED[feed])
-        delivered = landing.read_landing(
-            self.spark, self.landing_dir, prefix, schema, load_ts=self.load_ts.isoformat(" ")
+        files = landing.new_delivery_files(self.spark, self.landing_dir, prefix, stored)
+        if not files:
+            return 0, 0
+        new = landing.read_landing(
+            self.spark, self.landing_dir, prefix, schema,
+            load_ts=self.load_ts.isoformat(" "), files=files,
         )
-        new = landing.new_deliveries(delivered, stored)
         new = sinks.stage(new.withColumn(INGEST_DAY, F.to_date("_ingested_at")), f"bronze_{feed}_new")
         sinks.append(new, self.wh.path(f"bronze.{feed}"), [INGEST_DAY])
         return new.count(), 0

@@ -31,11 +31,16 @@ def source_schema(bronze_schema: StructType) -> StructType:
     )
 
 
+def delivery_name_pattern(landing_dir: str, prefix: str) -> str:
+    """Regex whose group 1 is the delivery name in a file path: the path component
+    right below the landing folder, when it is ``<prefix>*.csv``."""
+    folder = re.escape(landing_dir.rstrip("/").split(":", 1)[-1])
+    return folder + r"/(" + re.escape(prefix) + r"[^/]*\.csv)(/|$)"
+
+
 def delivered_file(landing_dir: str, prefix: str):
-    """Name of the delivery a row came from: the path component right below the
-    landing folder, when it is ``<prefix>*.csv``; '' otherwise."""
-    pattern = re.escape(landing_dir.rstrip("/").split(":", 1)[-1]) + r"/(" + re.escape(prefix) + r"[^/]*\.csv)(/|$)"
-    return F.regexp_extract(F.col("_metadata.file_path"), pattern, 1)
+    """Name of the delivery a row came from ('' when not a ``<prefix>`` delivery)."""
+    return F.regexp_extract(F.col("_metadata.file_path"), delivery_name_pattern(landing_dir, prefix), 1)
 
 
 def read_landing(
@@ -44,14 +49,17 @@ def read_landing(
     prefix: str,
     bronze_schema: StructType,
     load_ts: str | None = None,
+    files: list[str] | None = None,
 ) -> DataFrame:
-    """S1/S3/S4/S5: every ``<prefix>*.csv`` delivery as bronze rows."""
-    rows = (
+    """S1/S3/S4/S5: every ``<prefix>*.csv`` delivery (or only ``files``) as bronze rows."""
+    reader = (
         spark.read.schema(source_schema(bronze_schema))
         .option("header", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
-        .csv(landing_dir)
+    )
+    rows = (
+        (reader.csv(landing_dir) if files is None else reader.csv(files))
         .withColumn("_source_file", delivered_file(landing_dir, prefix))
         .filter(F.col("_source_file") != "")
     )
@@ -61,6 +69,32 @@ def read_landing(
     )
 
 
+def new_delivery_files(
+    spark: SparkSession, landing_dir: str, prefix: str, bronze: DataFrame
+) -> list[str]:
+    """S2/J7 at file level: paths of ``<prefix>*.csv`` deliveries not loaded yet.
+
+    Files are listed by the ``binaryFile`` source with only its ``path`` column, so
+    no file content is read; the anti-join on the delivered name runs in Spark and
+    only the new paths (one per new delivery, i.e. metadata) reach the driver to
+    plan the read. Old deliveries are never read again.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.csv")
+        .load(landing_dir)
+        .select("path")
+    )
+    name = F.regexp_extract("path", delivery_name_pattern(landing_dir, prefix), 1)
+    listed = listed.withColumn("_source_file", name).filter(
+        F.col("_source_file") != ""
+    )
+    loaded = bronze.select("_source_file").distinct()
+    new = listed.join(loaded, "_source_file", "left_anti")
+    return sorted(r["path"] for r in new.select("path").collect())
+
+
 def new_deliveries(landing: DataFrame, bronze: DataFrame) -> DataFrame:
     """S2/J7: rows of deliveries not loaded yet (anti-join on the file name; the
     loaded-name side is one row per delivered file, so it is broadcast by size)."""
