@@ -30,7 +30,7 @@ from tillroll.plans import clean, marts, oracle, schemas, star
 from tillroll.plans.layers import Layers
 from tillroll.session import scratch_path
 from tillroll.sources import landing
-from tillroll.streaming.ingest import ingest_available, read_bronze
+from tillroll.streaming.ingest import ingest_available, read_bronze, stream_orders_to_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -780,6 +780,25 @@ def ingest_incremental(spark, sf_dir):
     )
 
 
+@query(
+    "stream_silver_orders",
+    f"SELECT {cols(SILVER_ORDER_COLS[:-1])} FROM silver_orders",
+)
+def stream_silver_orders(spark, sf_dir):
+    """Two deliveries streamed (availableNow, one run each) into silver orders:
+    the replayed lines of the second delivery replace their first copies."""
+    layers = Layers(spark, sf_dir)
+    landing_dir = scratch_path(spark, "landing")
+    bronze_path = scratch_path(spark, "tables", "bronze_orders")
+    silver_path = scratch_path(spark, "tables", "silver_orders")
+    checkpoint = scratch_path(spark, "streams", "silver_orders")
+    for load in (1, 2):
+        deliver_orders(spark, layers, landing_dir, load)
+        stream_orders_to_silver(spark, landing_dir, bronze_path, silver_path, checkpoint)
+    silver = spark.read.parquet(silver_path)
+    return silver.select(*SILVER_ORDER_COLS[:-1])
+
+
 @query(
     "product_key_uniqueness",
     "SELECT CAST(count(*) AS BIGINT) AS versions, CAST(count(*) AS BIGINT) AS distinct_keys FROM dim_product",
