@@ -50,9 +50,15 @@ def revenue_per_customer(fact: DataFrame) -> DataFrame:
     )
 
 
-def revenue_per_country(fact: DataFrame, dim_customer_df: DataFrame) -> DataFrame:
-    """(country, revenue): missing, unknown and unspecified customers are ``Unknown``."""
-    per_customer = revenue_per_customer(fact).join(
+def revenue_per_country(
+    fact: DataFrame, dim_customer_df: DataFrame, per_customer: DataFrame | None = None
+) -> DataFrame:
+    """(country, revenue): missing, unknown and unspecified customers are ``Unknown``.
+
+    ``per_customer`` (customer_id, revenue) replaces the scan of ``fact`` when a
+    maintained aggregate is at hand."""
+    per_customer = revenue_per_customer(fact) if per_customer is None else per_customer
+    per_customer = per_customer.join(
         dim_customer_df.select("customer_id", "country"), "customer_id", "left"
     )
     return per_customer.groupBy(
@@ -60,9 +66,11 @@ def revenue_per_country(fact: DataFrame, dim_customer_df: DataFrame) -> DataFram
     ).agg(F.sum("revenue").cast("decimal(18,2)").alias("revenue"))
 
 
-def revenue_by_country(fact: DataFrame, dim_customer_df: DataFrame) -> DataFrame:
+def revenue_by_country(
+    fact: DataFrame | None, dim_customer_df: DataFrame, per_customer: DataFrame | None = None
+) -> DataFrame:
     """Q2: revenue per country, its share of the total (HALF_UP, 2 places), rank."""
-    per_country = revenue_per_country(fact, dim_customer_df)
+    per_country = revenue_per_country(fact, dim_customer_df, per_customer)
     total = F.sum("revenue").over(Window.partitionBy())
     shared = per_country.withColumn("revenue_share_pct", share_pct_half_up(F.col("revenue"), total))
     return conform(ranked(shared, "revenue"), schemas.REVENUE_BY_COUNTRY)
@@ -80,13 +88,20 @@ def avg_price_by_product(dim_product_df: DataFrame) -> DataFrame:
     )
 
 
-def units_by_product(fact: DataFrame, dim_product_df: DataFrame) -> DataFrame:
-    """(stock_code, units_sold): sales minus cancellations, any product type."""
-    per_version = (
+def units_per_version(fact: DataFrame) -> DataFrame:
+    """(product_key, units): sales minus cancellations per price version."""
+    return (
         fact.filter(F.col("transaction_type").isin(SALE, CANCELLATION))
         .groupBy("product_key")
         .agg(F.sum("quantity").alias("units"))
     )
+
+
+def units_by_product(
+    fact: DataFrame | None, dim_product_df: DataFrame, per_version: DataFrame | None = None
+) -> DataFrame:
+    """(stock_code, units_sold): sales minus cancellations, any product type."""
+    per_version = units_per_version(fact) if per_version is None else per_version
     return (
         per_version.join(dim_product_df.select("product_key", "stock_code"), "product_key")
         .groupBy("stock_code")
@@ -94,21 +109,25 @@ def units_by_product(fact: DataFrame, dim_product_df: DataFrame) -> DataFrame:
     )
 
 
-def price_vs_volume(fact: DataFrame, dim_product_df: DataFrame) -> DataFrame:
+def price_vs_volume(
+    fact: DataFrame | None, dim_product_df: DataFrame, per_version: DataFrame | None = None
+) -> DataFrame:
     """Q3: average unit price next to units sold, one row per merchandise product."""
     out = avg_price_by_product(dim_product_df).join(
-        units_by_product(fact, dim_product_df), "stock_code", "left"
+        units_by_product(fact, dim_product_df, per_version), "stock_code", "left"
     )
     return conform(out.fillna(0, ["units_sold"]), schemas.PRICE_VS_VOLUME)
 
 
-def price_drops(fact: DataFrame, dim_product_df: DataFrame) -> DataFrame:
+def price_drops(fact: DataFrame, dim_product_df: DataFrame, ts: str = "invoice_ts") -> DataFrame:
     """Per merchandise product: price just before the last month and at its end.
 
-    One pass over the versions with conditional aggregates (validity intervals of
-    a product never overlap, so each condition matches at most one version).
+    ``fact`` only provides the latest ``ts`` (any frame with that column will do,
+    e.g. a monthly aggregate carrying each month's latest invoice time). One pass
+    over the versions with conditional aggregates (validity intervals of a
+    product never overlap, so each condition matches at most one version).
     """
-    month = latest_month(fact, "invoice_ts")
+    month = latest_month(fact, ts)
     start = month.cast("timestamp_ntz")
     end = F.add_months(month, 1).cast("timestamp_ntz")
     before = just_before(start, F.col("valid_from"), F.col("valid_to"))
@@ -135,7 +154,33 @@ def price_drops(fact: DataFrame, dim_product_df: DataFrame) -> DataFrame:
     )
 
 
-def top_price_drops(fact: DataFrame, dim_product_df: DataFrame, top: int = 3) -> DataFrame:
+def top_price_drops(
+    fact: DataFrame, dim_product_df: DataFrame, top: int = 3, ts: str = "invoice_ts"
+) -> DataFrame:
     """Q4: products with the largest price drop over the last month (dense rank)."""
-    drops = price_drops(fact, dim_product_df).filter(F.col("price_drop") > 0)
+    drops = price_drops(fact, dim_product_df, ts).filter(F.col("price_drop") > 0)
     return conform(ranked(drops, "price_drop", top), schemas.TOP_PRICE_DROPS)
+
+
+# ---------------------------------------------------------------- maintained aggregates
+
+
+def sales_by_customer_month(fact: DataFrame, month_col: str = "invoice_month") -> DataFrame:
+    """(month, customer_id, revenue, last_invoice_ts) over published fact lines.
+
+    Additive per month, so it is maintained incrementally (only touched months are
+    recomputed) and the marts read it instead of the whole fact.
+    """
+    return fact.groupBy(month_col, "customer_id").agg(
+        F.sum(F.when(F.col("is_revenue"), F.col("line_amount"))).cast("decimal(38,2)").alias("revenue"),
+        F.max("invoice_ts").alias("last_invoice_ts"),
+    )
+
+
+def units_by_version_month(fact: DataFrame, month_col: str = "invoice_month") -> DataFrame:
+    """(month, product_key, units) of sales and cancellations."""
+    return (
+        fact.filter(F.col("transaction_type").isin(SALE, CANCELLATION))
+        .groupBy(month_col, "product_key")
+        .agg(F.sum("quantity").cast("bigint").alias("units"))
+    )

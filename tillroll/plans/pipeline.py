@@ -97,6 +97,8 @@ STORED_TABLES = {
     "gold.dim_customer": schemas.DIM_CUSTOMER,
     "gold.dim_product": schemas.DIM_PRODUCT,
     "gold.fact_sales": FACT_STORED,
+    "gold.sales_by_customer_month": schemas.SALES_BY_CUSTOMER_MONTH,
+    "gold.units_by_version_month": schemas.UNITS_BY_VERSION_MONTH,
     "gold.top_countries_by_customers": schemas.TOP_COUNTRIES_BY_CUSTOMERS,
     "gold.revenue_by_country": schemas.REVENUE_BY_COUNTRY,
     "gold.price_vs_volume": schemas.PRICE_VS_VOLUME,
@@ -111,6 +113,8 @@ PARTITIONED = {
     "bronze.orders": INGEST_DAY,
     "silver.orders": INVOICE_MONTH,
     "gold.fact_sales": INVOICE_MONTH,
+    "gold.sales_by_customer_month": INVOICE_MONTH,
+    "gold.units_by_version_month": INVOICE_MONTH,
     "dq.quarantine": "table_name",
 }
 
@@ -239,16 +243,28 @@ class Run:
             return self.gold_dim_product()
         elif name == "fact_sales":
             return self.gold_fact_sales()
+        elif name in ("sales_by_customer_month", "units_by_version_month"):
+            return self.gold_monthly(name)
         else:
-            fact = g("fact_sales", FACT_STORED).drop(INVOICE_MONTH)
+            # marts read the maintained monthly aggregates, not the fact
+            sales = g("sales_by_customer_month", schemas.SALES_BY_CUSTOMER_MONTH)
+            units = g("units_by_version_month", schemas.UNITS_BY_VERSION_MONTH)
+            per_customer = (
+                sales.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
+                .filter(F.col("revenue").isNotNull())  # customers with revenue lines only
+            )
+            per_version = units.groupBy("product_key").agg(F.sum("units").alias("units"))
             dim_c = g("dim_customer", schemas.DIM_CUSTOMER)
             dim_p = g("dim_product", schemas.DIM_PRODUCT)
             df, table_rules = {
                 "top_countries_by_customers": (marts.top_countries_by_customers(dim_c),
                                                rules.TOP_COUNTRIES_BY_CUSTOMERS),
-                "revenue_by_country": (marts.revenue_by_country(fact, dim_c), rules.REVENUE_BY_COUNTRY),
-                "price_vs_volume": (marts.price_vs_volume(fact, dim_p), rules.PRICE_VS_VOLUME),
-                "top_price_drops": (marts.top_price_drops(fact, dim_p), rules.TOP_PRICE_DROPS),
+                "revenue_by_country": (marts.revenue_by_country(None, dim_c, per_customer),
+                                       rules.REVENUE_BY_COUNTRY),
+                "price_vs_volume": (marts.price_vs_volume(None, dim_p, per_version),
+                                    rules.PRICE_VS_VOLUME),
+                "top_price_drops": (marts.top_price_drops(sales, dim_p, ts="last_invoice_ts"),
+                                    rules.TOP_PRICE_DROPS),
             }[name]
         return self.publish(f"gold.{name}", df, table_rules, self._overwrite(f"gold.{name}"))
 
@@ -286,6 +302,7 @@ class Run:
             touched = (
                 passed(self.tagged["silver.orders"]).select(month.alias(month_name)).distinct()
             )
+            self.touched_months = touched
             orders = orders.join(touched, month_name, "left_semi")
         fact = star.fact_sales(orders.drop(month_name), dim).withColumn(month_name, month)
 
@@ -299,6 +316,27 @@ class Run:
         self.fact_mode = "incremental" if incremental else "full"
         return self.publish("gold.fact_sales", fact, rules.FACT_SALES, write)
 
+    def gold_monthly(self, name: str):
+        """Monthly aggregates of the fact, recomputed for the fact's touched months
+        only (or in full when the fact was rebuilt in full)."""
+        build = {
+            "sales_by_customer_month": marts.sales_by_customer_month,
+            "units_by_version_month": marts.units_by_version_month,
+        }[name]
+        path = self.wh.path(f"gold.{name}")
+        fact = self._gold("fact_sales", FACT_STORED)
+        incremental = getattr(self, "fact_mode", "full") == "incremental" and path_exists(self.spark, path)
+        if incremental:
+            fact = fact.join(self.touched_months, INVOICE_MONTH, "left_semi")
+
+        def write(ok: DataFrame) -> None:
+            writer = ok.write.mode("overwrite").partitionBy(INVOICE_MONTH)
+            if incremental:
+                writer = writer.option("partitionOverwriteMode", "dynamic")
+            writer.parquet(path)
+
+        return self.publish(f"gold.{name}", build(fact, INVOICE_MONTH), (), write)
+
     # ------------------------------------------------------------ run
 
     def run(self) -> str:
@@ -311,10 +349,12 @@ class Run:
             "dim_customer": ("silver.customers",),
             "dim_product": ("silver.products", "silver.orders"),
             "fact_sales": ("silver.orders", "gold.dim_product"),
+            "sales_by_customer_month": ("gold.fact_sales",),
+            "units_by_version_month": ("gold.fact_sales",),
             "top_countries_by_customers": ("gold.dim_customer",),
-            "revenue_by_country": ("gold.fact_sales", "gold.dim_customer"),
-            "price_vs_volume": ("gold.fact_sales", "gold.dim_product"),
-            "top_price_drops": ("gold.fact_sales", "gold.dim_product"),
+            "revenue_by_country": ("gold.sales_by_customer_month", "gold.dim_customer"),
+            "price_vs_volume": ("gold.units_by_version_month", "gold.dim_product"),
+            "top_price_drops": ("gold.sales_by_customer_month", "gold.dim_product"),
         }
         for name, deps in gold_deps.items():
             self.step(f"gold.{name}", "gold", deps, lambda n=name: self.gold(n))

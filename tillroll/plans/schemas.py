@@ -37,6 +37,7 @@ _TYPES: dict[str, DataType] = {
     "timestamp_ntz": TimestampNTZType(),
     "decimal(10,2)": DecimalType(10, 2),
     "decimal(18,2)": DecimalType(18, 2),
+    "decimal(38,2)": DecimalType(38, 2),
     "array<string>": ArrayType(StringType()),
 }
 
@@ -105,3 +106,9 @@ RUN_LOG = ddl(
     "rows_published bigint, rows_quarantined bigint, message string, started_at timestamp, "
     "finished_at timestamp"
 )
+
+# maintained monthly aggregates of the fact (incremental marts)
+SALES_BY_CUSTOMER_MONTH = ddl(
+    "invoice_month date, customer_id bigint, revenue decimal(38,2), last_invoice_ts timestamp_ntz"
+)
+UNITS_BY_VERSION_MONTH = ddl("invoice_month date, product_key bigint, units bigint")
