@@ -53,16 +53,20 @@ def engine_neutral(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def query(name: str, sql: str | None = None, money=(), dates=(), texts=()):
+def query(name: str, sql: str | None = None, money=(), dates=(), texts=(), doubles=()):
     """Register a query; ``money``/``dates`` name its DECIMAL/DATE output columns,
     cast the same way in the oracle SQL. ``texts`` are timestamps emitted as
     canonical text because they hold open-interval ends (9999-12-31) that
-    nanosecond-based consumers (pandas) cannot represent."""
+    nanosecond-based consumers (pandas) cannot represent. ``doubles`` are nullable
+    integer columns (ids, quantities) emitted as DOUBLE: pandas turns a nullable
+    integer into float64 on one engine and Int64 on the other."""
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             out = engine_neutral(fn(spark, sf_dir))
-            return out.withColumns({c: F.col(c).cast("string") for c in texts}) if texts else out
+            recast = {c: F.col(c).cast("string") for c in texts}
+            recast.update({c: F.col(c).cast("double") for c in doubles})
+            return out.withColumns(recast) if recast else out
 
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run
@@ -70,6 +74,7 @@ def query(name: str, sql: str | None = None, money=(), dates=(), texts=()):
             casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in money]
             casts += [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates]
             casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts]
+            casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
             body = sql if not casts else f"SELECT * REPLACE ({', '.join(casts)}) FROM ({sql})"
             ORACLE[name] = oracle.q(body)
         return fn
@@ -113,7 +118,7 @@ def snapshot_latest_load(spark, sf_dir):
 @query(
     "conform_orders",
     """SELECT order_line_id, invoice_no, stock_code, quantity, invoice_ts, customer_id,
-              CAST(NULL AS VARCHAR) AS transaction_type, _source_file, _row_id FROM order_lines""",
+              CAST(NULL AS VARCHAR) AS transaction_type, _source_file, _row_id FROM order_lines""", doubles=['customer_id', 'quantity']
 )
 def conform_orders(spark, sf_dir):
     lines = clean.typed_lines(Layers(spark, sf_dir).bronze("orders"))
@@ -138,7 +143,9 @@ def cols(names):
     return ", ".join(names)
 
 
-@query("clean_customers", f"SELECT {cols(SILVER_CUSTOMER_COLS)} FROM silver_customers")
+@query(
+    "clean_customers", f"SELECT {cols(SILVER_CUSTOMER_COLS)} FROM silver_customers", doubles=['customer_id']
+)
 def clean_customers(spark, sf_dir):
     return Layers(spark, sf_dir).silver_customers.select(*SILVER_CUSTOMER_COLS)
 
@@ -150,12 +157,16 @@ def clean_products(spark, sf_dir):
     return Layers(spark, sf_dir).silver_products.select(*SILVER_PRODUCT_COLS)
 
 
-@query("clean_orders", f"SELECT {cols(SILVER_ORDER_COLS)} FROM silver_orders")
+@query(
+    "clean_orders", f"SELECT {cols(SILVER_ORDER_COLS)} FROM silver_orders", doubles=['customer_id', 'quantity']
+)
 def clean_orders(spark, sf_dir):
     return Layers(spark, sf_dir).silver_orders.select(*SILVER_ORDER_COLS)
 
 
-@query("recode_countries", "SELECT customer_id, country, _source_file, _row_id FROM cust_typed")
+@query(
+    "recode_countries", "SELECT customer_id, country, _source_file, _row_id FROM cust_typed", doubles=['customer_id']
+)
 def recode_countries(spark, sf_dir):
     typed = clean.typed_customers(Layers(spark, sf_dir).bronze("customers"))
     return typed.select("customer_id", "country", "_source_file", "_row_id")
@@ -163,7 +174,7 @@ def recode_countries(spark, sf_dir):
 
 @query(
     "classify_transactions",
-    "SELECT _source_file, _row_id, invoice_no, quantity, transaction_type FROM order_lines_typed",
+    "SELECT _source_file, _row_id, invoice_no, quantity, transaction_type FROM order_lines_typed", doubles=['quantity']
 )
 def classify_transactions(spark, sf_dir):
     lines = clean.typed_lines(Layers(spark, sf_dir).bronze("orders"))
@@ -184,7 +195,7 @@ def classify_products(spark, sf_dir):
     f"""SELECT _source_file, _row_id, quantity AS quantity_text,
                {oracle.lenient_int_sql('quantity', 'INTEGER')} AS quantity,
                {oracle.lenient_int_sql('customer_id', 'BIGINT')} AS customer_id
-        FROM raw_orders""",
+        FROM raw_orders""", doubles=['quantity', 'customer_id']
 )
 def fn_lenient_numbers(spark, sf_dir):
     bronze = Layers(spark, sf_dir).bronze("orders")
@@ -226,7 +237,7 @@ def dedup_lines(spark, sf_dir):
     "latest_per_key",
     """SELECT customer_id, country, _source_file, _row_id FROM cust_typed
        QUALIFY customer_id IS NULL
-            OR row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC, _row_id DESC) = 1""",
+            OR row_number() OVER (PARTITION BY customer_id ORDER BY _ingested_at DESC, _row_id DESC) = 1""", doubles=['customer_id']
 )
 def latest_per_key_customers(spark, sf_dir):
     typed = clean.typed_customers(Layers(spark, sf_dir).bronze("customers"))
@@ -241,7 +252,7 @@ def latest_per_key_customers(spark, sf_dir):
 @query(
     "newest_load_per_customer",
     """SELECT customer_id, coalesce(array_to_string(arr, ','), '') AS countries,
-              _source_file, _row_id FROM cust_known""",
+              _source_file, _row_id FROM cust_known""", doubles=['customer_id']
 )
 def newest_load_per_customer(spark, sf_dir):
     typed = clean.typed_customers(Layers(spark, sf_dir).bronze("customers"))
@@ -256,7 +267,7 @@ def newest_load_per_customer(spark, sf_dir):
 
 @query(
     "customer_countries",
-    "SELECT customer_id, country, countries FROM customers_clean WHERE customer_id IS NOT NULL",
+    "SELECT customer_id, country, countries FROM customers_clean WHERE customer_id IS NOT NULL", doubles=['customer_id']
 )
 def customer_countries(spark, sf_dir):
     customers = clean.clean_customers(Layers(spark, sf_dir).bronze("customers"))
@@ -305,7 +316,9 @@ FACT_COLS = [
 ]
 
 
-@query("dim_customer", "SELECT customer_id, country, countries FROM dim_customer")
+@query(
+    "dim_customer", "SELECT customer_id, country, countries FROM dim_customer", doubles=['customer_id']
+)
 def dim_customer(spark, sf_dir):
     return Layers(spark, sf_dir).dim_customer
 
@@ -319,7 +332,7 @@ def dim_product(spark, sf_dir):
 
 
 @query(
-    "fact_sales", f"SELECT {cols(FACT_COLS)} FROM fact_sales", money=['unit_price', 'line_amount']
+    "fact_sales", f"SELECT {cols(FACT_COLS)} FROM fact_sales", money=['unit_price', 'line_amount'], doubles=['customer_id', 'quantity']
 )
 def fact_sales(spark, sf_dir):
     return Layers(spark, sf_dir).fact_sales.select(*FACT_COLS)
@@ -329,7 +342,7 @@ def fact_sales(spark, sf_dir):
     "asof_price_join",
     """SELECT o.order_line_id, o.stock_code, o.invoice_ts, d.version, d.unit_price
        FROM silver_orders o LEFT JOIN dim_product d
-         ON o.stock_code = d.stock_code AND o.invoice_ts >= d.valid_from AND o.invoice_ts < d.valid_to""", money=['unit_price']
+         ON o.stock_code = d.stock_code AND o.invoice_ts >= d.valid_from AND o.invoice_ts < d.valid_to""", money=['unit_price'], doubles=['version']
 )
 def asof_price_join(spark, sf_dir):
     layers = Layers(spark, sf_dir)
@@ -344,7 +357,7 @@ def asof_price_join(spark, sf_dir):
     """SELECT f.customer_id, coalesce(c.country, 'Unknown') AS country,
               CAST(sum(f.line_amount) AS DECIMAL(18,2)) AS revenue
        FROM fact_sales f LEFT JOIN dim_customer c ON f.customer_id = c.customer_id
-       WHERE f.is_revenue GROUP BY f.customer_id, c.country""", money=['revenue']
+       WHERE f.is_revenue GROUP BY f.customer_id, c.country""", money=['revenue'], doubles=['customer_id']
 )
 def left_join_unknown_bucket(spark, sf_dir):
     layers = Layers(spark, sf_dir)
@@ -463,6 +476,7 @@ for _name, (_attr, _keys, _cte) in TAG_KEYS.items():
     query(
         f"dq_tag_{_name}",
         f"SELECT {cols(_keys)}, failed_rules, quarantined FROM {_cte}",
+        doubles=[k for k in _keys if k == "customer_id"],
     )(_tag_query(_attr, _keys))
 
 
@@ -529,6 +543,7 @@ for _name, (_attr, _table, _keys, _cte) in QUARANTINE_KEYS.items():
         f"dq_quarantine_{_name}",
         f"SELECT '{_table}' AS table_name, {cols([k for k, _ in _keys])}, failed_rules "
         f"FROM {_cte} WHERE quarantined",
+        doubles=[k for k, _ in _keys if k == "customer_id"],
     )(_quarantine_query(_attr, _table, _keys))
 
 
@@ -689,7 +704,7 @@ ORDERS_PARTITIONED = schemas.ddl(
                CASE WHEN invoice_ts >= TIMESTAMP '{UPSERT_FROM}' THEN 'merged:' || _source_file
                     ELSE _source_file END AS _source_file,
                quantity, invoice_ts
-        FROM silver_orders""", dates=['invoice_month']
+        FROM silver_orders""", dates=['invoice_month'], doubles=['quantity']
 )
 def upsert_orders(spark, sf_dir):
     """Silver orders up to 2000 are in the table; lines from 2000-06 on arrive again
@@ -711,7 +726,7 @@ def upsert_orders(spark, sf_dir):
 
 @query(
     "upsert_customers",
-    "SELECT customer_id, country, countries, _source_file FROM silver_customers",
+    "SELECT customer_id, country, countries, _source_file FROM silver_customers", doubles=['customer_id']
 )
 def upsert_customers(spark, sf_dir):
     """Customers of load 1 are in the table; load 2 is merged in on customer_id."""
@@ -782,7 +797,7 @@ def ingest_incremental(spark, sf_dir):
 
 @query(
     "stream_silver_orders",
-    f"SELECT {cols(SILVER_ORDER_COLS[:-1])} FROM silver_orders",
+    f"SELECT {cols(SILVER_ORDER_COLS[:-1])} FROM silver_orders", doubles=['customer_id', 'quantity']
 )
 def stream_silver_orders(spark, sf_dir):
     """Two deliveries streamed (availableNow, one run each) into silver orders:
