@@ -87,3 +87,15 @@ def test_streaming_silver_upsert_absorbs_replays(spark, tmp_path):
         ("2", "orders_1.csv", "2011-04-01"),
         ("4", "orders_2.csv", "2011-04-01"),
     ]  # line 3 (day-first date) quarantined
+
+
+def test_upsert_reads_only_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "p")
+    rows(spark, [("a", 1, "2020-01-01"), ("c", 1, "2020-02-01")]).write.partitionBy("m").parquet(path)
+    source = rows(spark, [("a", 2, "2020-01-01")])
+    target = sinks.read_table(spark, path, SCHEMA)
+    pruned = target.filter(sinks.in_partitions("m", sinks.partition_values(source, "m")))
+    text = pruned._jdf.queryExecution().executedPlan().toString()
+    # the partition filter is applied when listing files: m=2020-02-01 is never read
+    assert "PartitionFilters: [isnotnull(m" in text and "= 2020-01-01)]" in text
+    assert sorted(r["k"] for r in pruned.collect()) == ["a"]

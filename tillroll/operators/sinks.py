@@ -108,9 +108,10 @@ def upsert(
     if partition_col is None:
         replace(merged(target, source, keys), path)
         return
-    touched = source.select(partition_col).distinct()
-    in_touched = target.join(touched, partition_col, "left_semi")
-    rewrite = merged(in_touched, source, keys)
+    touched = partition_values(source, partition_col)
+    if not touched:
+        return
+    rewrite = merged(target.filter(in_partitions(partition_col, touched)), source, keys)
     (
         # range-partition by (partition, key): few files per partition, and a hot
         # partition (one month with a third of all rows) is split over many tasks
@@ -122,6 +123,21 @@ def upsert(
     )
 
 
+def partition_values(df: DataFrame, partition_col: str) -> list:
+    """Distinct partition values present in ``df`` (metadata: bounded by the number
+    of partitions of the table, e.g. calendar months), to plan a pruned read."""
+    return [r[0] for r in df.select(partition_col).distinct().collect()]
+
+
+def in_partitions(partition_col: str, values: list) -> F.Column:
+    """Literal partition filter: Spark prunes the other partitions at listing time
+    (``PartitionFilters``), so untouched partitions are never read."""
+    col = F.col(partition_col)
+    known = [v for v in values if v is not None]
+    cond = col.isin(known) if known else F.lit(False)
+    return cond | col.isNull() if len(known) < len(values) else cond
+
+
 def clustered_by(df: DataFrame, partition_col: str, keys: Sequence[str]) -> DataFrame:
     """Rows ordered into tasks by (partition value, key) ranges before a partitioned
     write: each task writes few partition values, no partition value is one task."""

@@ -299,11 +299,11 @@ class Run:
             and path_exists(self.spark, path)
         )
         if incremental:
-            touched = (
-                passed(self.tagged["silver.orders"]).select(month.alias(month_name)).distinct()
+            touched = sinks.partition_values(
+                passed(self.tagged["silver.orders"]).select(month.alias(month_name)), month_name
             )
             self.touched_months = touched
-            orders = orders.join(touched, month_name, "left_semi")
+            orders = orders.filter(sinks.in_partitions(month_name, touched))  # pruned scan
         fact = star.fact_sales(orders.drop(month_name), dim).withColumn(month_name, month)
 
         def write(ok: DataFrame) -> None:
@@ -327,7 +327,7 @@ class Run:
         fact = self._gold("fact_sales", FACT_STORED)
         incremental = getattr(self, "fact_mode", "full") == "incremental" and path_exists(self.spark, path)
         if incremental:
-            fact = fact.join(self.touched_months, INVOICE_MONTH, "left_semi")
+            fact = fact.filter(sinks.in_partitions(INVOICE_MONTH, self.touched_months))
 
         def write(ok: DataFrame) -> None:
             writer = ok.write.mode("overwrite").partitionBy(INVOICE_MONTH)
