@@ -112,3 +112,22 @@ def test_position_in_group_matches_a_window_across_many_chunks(spark):
     # the hot key is numbered in pieces: no window partition holds all its rows
     text = plan(got)
     assert "_chunk0" in text
+
+
+def test_hot_customer_collapses_before_the_shuffle(spark, bronze):
+    from conftest import DAY2
+
+    from tillroll.plans import clean
+
+    # one customer id delivered 3,000 times (a third of the rows), across two loads
+    hot = [("7", "Spain")] * 1500 + [("7", "France")] * 1500
+    rest = [(str(i), "Peru") for i in range(100, 6100)]
+    df = bronze("customers", hot[:1000] + rest).unionByName(
+        bronze("customers", hot[1000:], DAY2, "new.csv")
+    )
+    out = clean.clean_customers(df)
+    text = plan(out)
+    assert "partial_collect_set" in text  # map-side partial aggregation per (customer, load)
+    got = {r["customer_id"]: (r["country"], r["countries"]) for r in out.collect()}
+    assert got[7] == ("Multiple", "France, Spain")  # newest load lists both countries
+    assert len(got) == 6001
