@@ -36,24 +36,31 @@ def position_in_group(
     chunk: Sequence[Column],
     position: str = "_position",
     size: str = "_group_size",
-    chunk_aggs: Sequence[Column] = (),
+    chunk_aggs: Sequence[tuple[str, Column]] = (),
     group_aggs: Sequence[tuple[str, Column]] = (),
 ) -> DataFrame:
     """Add ``position`` (1-based, ascending ``order``) and ``size`` (rows in group).
 
     ``order`` must be unique within a group; ``chunk`` must be non-decreasing
-    along ``order`` within a group. ``chunk_aggs`` are aggregates per (key, chunk)
-    (aliased); ``group_aggs`` are (name, window-aggregate over the group's chunk
-    rows) pairs computed on the small table and joined back with the offsets.
+    along ``order`` within a group. ``chunk_aggs`` are (name, aggregate) pairs per
+    (key, chunk); ``group_aggs`` are (name, aggregate over the group's chunk rows)
+    pairs computed on the small table and joined back with the offsets.
+
+    The per-chunk count and aggregates are window aggregates over the same
+    (key, chunk) partitioning as the numbering, so the rows are shuffled once and
+    both branches of the final join reuse that exchange.
     """
     chunk_names = [f"_chunk{i}" for i in range(len(chunk))]
     rows = df.select("*", *[c.alias(n) for c, n in zip(chunk, chunk_names)])
-    local = Window.partitionBy(*keys, *chunk_names).orderBy(*order)
-    rows = rows.withColumn("_local", F.row_number().over(local))
-
-    per_chunk = rows.groupBy(*keys, *chunk_names).agg(
-        F.count(F.lit(1)).alias("_n"), *chunk_aggs
+    in_chunk = Window.partitionBy(*keys, *chunk_names)
+    rows = rows.withColumns(
+        {
+            "_local": F.row_number().over(in_chunk.orderBy(*order)),
+            "_n": F.count(F.lit(1)).over(in_chunk),
+            **{name: agg.over(in_chunk) for name, agg in chunk_aggs},
+        }
     )
+    per_chunk = rows.select(*keys, *chunk_names, "_n", *[n for n, _ in chunk_aggs]).distinct()
     in_key = Window.partitionBy(*keys)
     before = in_key.orderBy(*chunk_names).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_chunk.select(

@@ -167,8 +167,8 @@ def price_versions(snapshot: DataFrame) -> DataFrame:
         order=["_source_file", "_row_id"],
         chunk=[F.col("_source_file"), F.shiftright(F.col("_row_id"), 20)],
         chunk_aggs=[
-            first_from_top(is_name_case(raw)).alias("_chunk_name"),
-            first_from_top(raw.isNotNull()).alias("_chunk_text"),
+            ("_chunk_name", first_from_top(is_name_case(raw))),
+            ("_chunk_text", first_from_top(raw.isNotNull())),
         ],
         group_aggs=[("_name", F.min("_chunk_name")), ("_text", F.min("_chunk_text"))],
     )
