@@ -47,8 +47,8 @@ def position_in_group(
     pairs computed on the small table and joined back with the offsets.
 
     The per-chunk count and aggregates are window aggregates over the same
-    (key, chunk) partitioning as the numbering, so the rows are shuffled once and
-    both branches of the final join reuse that exchange.
+    (key, chunk) partitioning as the numbering (each bounded by the chunk size);
+    the small per-chunk table is then a ``distinct`` of that clustered output.
     """
     chunk_names = [f"_chunk{i}" for i in range(len(chunk))]
     rows = df.select("*", *[c.alias(n) for c, n in zip(chunk, chunk_names)])
