@@ -128,9 +128,18 @@ def ngram_hashes(joined: bytes, n: int, spans: tuple[np.ndarray, np.ndarray]) ->
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
-def text_bytes(column) -> list[bytes | None]:
-    """Arrow binary column -> Python bytes."""
-    return column.to_pylist()
+def prefix_hashes(joined: bytes, sizes: tuple[int, ...], spans: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
+    """Per size, 64-bit hashes of the first ``size`` bytes of the words that are longer."""
+    starts, ends = spans
+    data, out = np.frombuffer(joined, np.uint8), []
+    up, _ = _Powers.upto(max(sizes))
+    for size in sizes:
+        s = starts[ends - starts > size]
+        h = np.zeros(len(s), np.uint64)
+        for i in range(size):
+            h += (data[s + i].astype(np.uint64) + np.uint64(1)) * up[i]
+        out.append(mix(h ^ np.uint64(size)))
+    return out
 
 
 def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20) -> Iterator:

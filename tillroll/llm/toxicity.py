@@ -1,13 +1,15 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Confirmed toxic texts (P) and unlabelled texts (U) train a linear classifier on hashed
-words, in numpy, with the class-prior corrected risk of Kiryo et al. (2017):
+Confirmed toxic texts (P) and unlabelled texts (U) train a linear classifier on hashed words
+and word beginnings, in numpy, with the class-prior corrected risk of Kiryo et al. (2017):
 
-    prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)])        l(z) = ln(1 + exp(-z))
+    prior * E_P[l(f)] + max(0, E_U[l(-f)] - prior * E_P[l(-f)])        l(z) = 1 / (1 + exp(z))
 
 When the second term would turn negative, the step goes against it (as published), so that the
 classifier cannot fit U as all negative. The prior is the share of toxic rows among the
-labelled training rows, counted by Spark over all of them.
+labelled training rows, counted by Spark over all of them. A feature's value is
+``ln(1 + times)``; only features whose means in P and U differ by ``least_z`` standard errors
+get a weight.
 
 Only the fit uses a sample, bounded by ``most_positive`` and ``most_unlabelled`` documents (those
 with the least hash of their id); texts are then scored whole and all.
@@ -28,15 +30,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import letters_and_digits, ngram_hashes, slices, word_spans
+from tillroll.llm.common import letters_and_digits, ngram_hashes, prefix_hashes, slices, word_spans
 
-CELLS = 1 << 18
+CELLS = 1 << 20
+BEGINNINGS = (4, 5, 6, 7)
+Features = tuple[np.ndarray, np.ndarray]  # cells (sorted), times
 
 
-def word_cells(text: bytes | None) -> np.ndarray:
-    """Cells of the distinct words of a text, sorted."""
+def word_cells(text: bytes | None) -> Features:
+    """Cells of the words of a text and of their beginnings, and how often each occurs."""
     joined = letters_and_digits(text or b"")
-    return np.unique((ngram_hashes(joined, 1, word_spans(joined)) & np.uint64(CELLS - 1)).astype(np.int32))
+    spans = word_spans(joined)
+    hashes = [ngram_hashes(joined, 1, spans), *prefix_hashes(joined, BEGINNINGS, spans)]
+    cells, times = np.unique((np.concatenate(hashes) & np.uint64(CELLS - 1)).astype(np.int32), return_counts=True)
+    return cells, np.minimum(times, 255).astype(np.uint8)
 
 
 @dataclass(frozen=True)
@@ -45,55 +52,71 @@ class ToxicityModel:
     intercept: float
 
     def score(self, text: bytes | None) -> float:
-        z = self.intercept + float(self.weights[word_cells(text)].sum())
+        cells, times = word_cells(text)
+        z = self.intercept + float(self.weights[cells] @ _LOG[times])
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -50, 50))))
 
 
+_LOG = np.log1p(np.arange(256)).astype(np.float32)
 NEVER = ToxicityModel(np.zeros(CELLS, np.float32), -np.inf)
 
 
-def _softplus(z: np.ndarray) -> np.ndarray:
-    return np.logaddexp(0.0, z)
-
-
 def _sigmoid(z: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50, 50)))
 
 
+def differing(positive: list[Features], unlabelled: list[Features], least_z: float, least: int) -> np.ndarray:
+    """Cells seen in ``least`` texts or more whose mean value differs between P and U."""
+    seen, sums, squares = np.zeros(CELLS), [], []
+    for group in (positive, unlabelled):
+        cells, values = np.concatenate([c for c, _ in group]), _LOG[np.concatenate([t for _, t in group])].astype(float)
+        seen += np.bincount(cells, minlength=CELLS)
+        sums.append(np.bincount(cells, weights=values, minlength=CELLS))
+        squares.append(np.bincount(cells, weights=values**2, minlength=CELLS))
+    n_p, n_u = len(positive), len(unlabelled)
+    mean = (sums[0] + sums[1]) / (n_p + n_u)
+    spread = np.maximum((squares[0] + squares[1]) / (n_p + n_u) - mean**2, 1e-12)
+    z = (sums[0] / n_p - sums[1] / n_u) / np.sqrt(spread * (1 / n_p + 1 / n_u))
+    return np.flatnonzero((seen >= least) & (np.abs(z) >= least_z))
+
+
 def fit(
-    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
-    steps: int = 1200, batch: int = 256, rate: float = 0.05, decay: float = 2e-4, least: int = 3, seed: int = 7,
+    positive: list[Features], unlabelled: list[Features], prior: float, steps: int = 1200, batch: int = 256,
+    rate: float = 0.05, decay: float = 1e-5, least: int = 8, least_z: float = 5.0, seed: int = 7,
 ) -> ToxicityModel:
-    """nnPU with Adam on batches of ``batch`` positive and twice as many unlabelled texts.
-    Words seen in fewer than ``least`` training texts get no weight."""
-    seen = np.bincount(np.concatenate([np.concatenate(positive), np.concatenate(unlabelled)]), minlength=CELLS)
-    used = np.flatnonzero(seen >= least)
+    """nnPU with Adam on batches of ``batch`` positive and twice as many unlabelled texts."""
+    used = differing(positive, unlabelled, least_z, least)
     place = np.full(CELLS, -1)
     place[used] = np.arange(len(used))
-    pos, unl = ([(p := place[x])[p >= 0] for x in group] for group in (positive, unlabelled))
+
+    def chosen(group: list[Features]) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [((p := place[c])[p >= 0], _LOG[t[p >= 0]].astype(float)) for c, t in group]
+
+    pos, unl = chosen(positive), chosen(unlabelled)
     rng = np.random.default_rng(seed)
-    w, b = np.zeros(len(used)), float(np.log(prior / (1 - prior)))
+    w, b = np.zeros(len(used)), -1.0
     m, v, mb, vb = np.zeros(len(used)), np.zeros(len(used)), 0.0, 0.0
 
-    def draw(group: list[np.ndarray], n: int) -> tuple[np.ndarray, np.ndarray, int]:
+    def draw(group: list, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         picked = [group[i] for i in rng.integers(0, len(group), n)]
-        return np.concatenate(picked), np.repeat(np.arange(n), [len(x) for x in picked]), n
+        cells, values = (np.concatenate([x[k] for x in picked]) for k in (0, 1))
+        return cells, values, np.repeat(np.arange(n), [len(x[0]) for x in picked]), n
 
-    def values(part: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
-        return np.bincount(part[1], weights=w[part[0]], minlength=part[2]) + b
+    def outputs(part: tuple) -> np.ndarray:
+        return np.bincount(part[2], weights=w[part[0]] * part[1], minlength=part[3]) + b
 
-    def slope(part: tuple[np.ndarray, np.ndarray, int], by_doc: np.ndarray) -> tuple[np.ndarray, float]:
-        return np.bincount(part[0], weights=by_doc[part[1]], minlength=len(used)), float(by_doc.sum())
+    def slope(part: tuple, by_doc: np.ndarray) -> tuple[np.ndarray, float]:
+        return np.bincount(part[0], weights=by_doc[part[2]] * part[1], minlength=len(used)), float(by_doc.sum())
 
     for step in range(1, steps + 1):
         p, u = draw(pos, batch), draw(unl, 2 * batch)
-        fp, fu = values(p), values(u)
-        negative = _softplus(fu).mean() - prior * _softplus(fp).mean()
-        gu, gub = slope(u, _sigmoid(fu) / u[2])
-        gn, gnb = slope(p, prior * _sigmoid(fp) / p[2])
-        if negative >= 0:
-            gp, gpb = slope(p, -prior * _sigmoid(-fp) / p[2])
-            g, gb = gp + gu - gn, gpb + gub - gnb
+        fp, fu = outputs(p), outputs(u)
+        sp, su = _sigmoid(fp), _sigmoid(fu)
+        negative = su.mean() - prior * sp.mean()
+        gu, gub = slope(u, su * (1 - su) / u[3])
+        gn, gnb = slope(p, prior * sp * (1 - sp) / p[3])
+        if negative >= 0:  # the loss of P as positive has the slope -gn
+            g, gb = gu - 2 * gn, gub - 2 * gnb
         else:
             g, gb = gn - gu, gnb - gub
         g += decay * w
@@ -107,26 +130,25 @@ def fit(
     return ToxicityModel(weights, float(b))
 
 
-def _sample(documents: DataFrame, ids: DataFrame, most: int) -> list[np.ndarray]:
-    """Word cells of the documents of at most ``most`` ids, those with the least hash."""
+def _sample(documents: DataFrame, ids: DataFrame, most: int) -> list[Features]:
+    """Features of the documents of at most ``most`` ids, those with the least hash."""
     picked = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             rows = [word_cells(t) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], ["cells"])
+            cells = pa.array([c for c, _ in rows], pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([cells, pa.array([t.tobytes() for _, t in rows], pa.binary())], ["cells", "times"])
 
     texts = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(picked), "doc_id")
-    rows = texts.select("text").mapInArrow(run, "cells array<int>").limit(2 * most).toArrow().column("cells").combine_chunks()
-    whole = rows.chunks[0] if isinstance(rows, pa.ChunkedArray) and rows.num_chunks else rows
-    if not len(whole):
-        return []
-    flat, at = whole.flatten().to_numpy(), np.concatenate([[0], np.cumsum([len(x) for x in whole])])
-    return [flat[a:b] for a, b in zip(at[:-1], at[1:])]
+    got = texts.select("text").mapInArrow(run, "cells array<int>, times binary").limit(2 * most).toArrow()
+    return [
+        (c.values.to_numpy(), np.frombuffer(t.as_py(), np.uint8)) for c, t in zip(got.column("cells"), got.column("times"))
+    ]
 
 
 def train(
-    documents: DataFrame, labels: DataFrame, learn_from: Column, most_positive: int = 8_000, most_unlabelled: int = 16_000
+    documents: DataFrame, labels: DataFrame, learn_from: Column, most_positive: int = 4_000, most_unlabelled: int = 8_000
 ) -> ToxicityModel:
     """Fit on rows (of documents and of labels) where ``learn_from``, a test of doc_id, holds."""
     known = labels.filter(learn_from & F.col("toxic").isNotNull()).select(F.col("doc_id"), F.col("toxic").cast("int").alias("toxic"))
