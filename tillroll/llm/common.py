@@ -142,6 +142,13 @@ def prefix_hashes(joined: bytes, sizes: tuple[int, ...], spans: tuple[np.ndarray
     return out
 
 
+def fresh(name: str, taken: list[str]) -> str:
+    """``name``, lengthened until no column bears it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20) -> Iterator:
     """Cut Arrow batches into pieces of about ``most_bytes`` of the column ``weigh``."""
     for batch in batches:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import mix, slices
+from tillroll.llm.common import fresh, mix, slices
 
 ORDER, CELLS = 3, 1 << 14
 _HELD = 32
@@ -169,21 +169,23 @@ def predict(spark: SparkSession, documents: DataFrame, models: LanguageModels) -
     sent = spark.sparkContext.broadcast(models)
     added = "lang_pred string, score double, languages array<struct<code:string,share:double>>"
 
+    own = fresh("_text", documents.columns)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
         share = pa.list_(pa.struct([("code", pa.string()), ("share", pa.float64())]))
-        for b in slices(batches, "_text"):
-            got = [m.mixture(t) for t in b.column("_text").to_pylist()]
+        for b in slices(batches, own):
+            got = [m.mixture(t) for t in b.column(own).to_pylist()]
             more = [
                 pa.array([g[0] for g in got], pa.string()),
                 pa.array([g[1] for g in got], pa.float64()),
                 pa.array([[{"code": c, "share": v} for c, v in g[2]] for g in got], share),
             ]
-            rest = b.select([n for n in b.schema.names if n != "_text"])
+            rest = b.select([n for n in b.schema.names if n != own])
             yield pa.RecordBatch.from_arrays([*rest.columns, *more], [*rest.schema.names, "lang_pred", "score", "languages"])
 
     clash = {"lang_pred", "score", "languages"}
     kept = [c for c in documents.columns if c not in clash]
-    source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias("_text"))
+    source = documents.select(*[F.col(f"`{c}`") for c in kept], F.col("text").alias(own))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*[F.col(f"`{c}`") for c in kept]).schema)
     return source.mapInArrow(run, f"{fields}, {added}")

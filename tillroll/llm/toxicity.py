@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import letters_and_digits, ngram_hashes, prefix_hashes, slices, word_spans
+from tillroll.llm.common import fresh, letters_and_digits, ngram_hashes, prefix_hashes, slices, word_spans
 
 CELLS = 1 << 20
 BEGINNINGS = (4, 5, 6, 7)
@@ -54,6 +54,8 @@ class ToxicityModel:
     def score(self, text: bytes | None) -> float:
         cells, times = word_cells(text)
         z = self.intercept + float(self.weights[cells] @ _LOG[times])
+        if z == -np.inf:  # there was nothing to learn from
+            return 0.0
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -50, 50))))
 
 
@@ -106,7 +108,7 @@ def fit(
         return np.bincount(part[2], weights=w[part[0]] * part[1], minlength=part[3]) + b
 
     def slope(part: tuple, by_doc: np.ndarray) -> tuple[np.ndarray, float]:
-        return np.bincount(part[0], weights=by_doc[part[2]] * part[1], minlength=len(used)), float(by_doc.sum())
+        return np.bincount(part[0], weights=by_doc[part[2]] * part[1], minlength=len(used)).astype(float), float(by_doc.sum())
 
     for step in range(1, steps + 1):
         p, u = draw(pos, batch), draw(unl, 2 * batch)
@@ -167,14 +169,16 @@ def score(spark: SparkSession, documents: DataFrame, model: ToxicityModel, into:
     """The documents' columns with the score; only ``text`` is looked at."""
     sent = spark.sparkContext.broadcast(model)
 
+    own = fresh("_text", [*documents.columns, into])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in slices(batches, "_text"):
-            got = pa.array([m.score(t) for t in b.column("_text").to_pylist()], pa.float64())
-            rest = b.select([n for n in b.schema.names if n != "_text"])
+        for b in slices(batches, own):
+            got = pa.array([m.score(t) for t in b.column(own).to_pylist()], pa.float64())
+            rest = b.select([n for n in b.schema.names if n != own])
             yield pa.RecordBatch.from_arrays([*rest.columns, got], [*rest.schema.names, into])
 
     kept = documents.select(*[F.col(f"`{c}`") for c in documents.columns if c != into])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema)
-    source = documents.select(*[F.col(f"`{c}`") for c in kept.columns], F.col("text").cast("binary").alias("_text"))
+    source = documents.select(*[F.col(f"`{c}`") for c in kept.columns], F.col("text").cast("binary").alias(own))
     return source.mapInArrow(run, f"{fields}, `{into}` double")
