@@ -32,6 +32,8 @@ def library_ids(text):
 @given(st.text(max_size=60) | st.text(alphabet="aé'sve 1\n\t<|endoftxsar>́ \x1c", max_size=60))
 def test_words_apart_have_the_ids_of_the_whole_text(text):
     assert np.frombuffer(CACHE.ids([text.encode()])[0], "<u4").tolist() == library_ids(text)
+    many = [text, text[::-1], "", text + " " + text]
+    assert [np.frombuffer(i, "<u4").tolist() for i in CACHE.ids([t.encode() for t in many])] == [library_ids(t) for t in many]
 
 
 @given(st.integers(1, 20_000))

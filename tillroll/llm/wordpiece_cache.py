@@ -17,35 +17,60 @@ import os
 import numpy as np
 
 
+SEPARATOR = "<|startoftext|>"  # a special string of the vocabulary: texts on its sides don't meet
+_TOGETHER, _LONGEST = 512, 64
+
+
 class WordCache:
-    """``ids(text)`` as little-endian unsigned 32-bit ids. At most ``most`` words of at most
-    64 bytes are kept; when full the table starts anew (a matter of speed only)."""
+    """``ids(text)`` as little-endian unsigned 32-bit ids.
+
+    The ids of about ``most`` words of at most 64 bytes are kept, in two halves: when the newer
+    is full the older is dropped, and words that are met again move to the newer (a matter of
+    speed only). Unknown words go to the library together, with a special string
+    between them; it cuts texts before anything else is done, so each word is encoded alone.
+    """
 
-    def __init__(self, path: str, most: int = 300_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.most, self.known = Tokenizer.from_file(path), most, {}
+        self.library, self.half = Tokenizer.from_file(path), most // 2
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.library.no_padding()
         self.library.no_truncation()
-
-    def encode(self, words: list[bytes]) -> list[bytes]:
-        found = self.library.encode_batch_fast([w.decode("utf-8") for w in words], add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        self.separator_id = self.library.token_to_id(SEPARATOR)
+
+    def encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {}
+        mark = SEPARATOR.encode()
+        odd = [w for w in words if mark in w]
+        plain = [w for w in words if mark not in w]
+        for e, w in zip(self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False), odd):
+            out[w] = np.array(e.ids, "<u4").tobytes()
+        for lo in range(0, len(plain), _TOGETHER):
+            part = plain[lo : lo + _TOGETHER]
+            joined = mark.join(part).decode()
+            ids = np.array(self.library.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.separator_id) * 4
+            data = ids.tobytes()
+            out.update((w, data[a:b]) for w, a, b in zip(part, [0, *(cuts + 4).tolist()], [*cuts.tolist(), len(data)]))
+        return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
         out = []
-        for words in split:
-            parts = list(map(self.known.get, words))
-            if None in parts:
-                new = list({w for w, p in zip(words, parts) if p is None})
-                if len(self.known) + len(new) > self.most:
-                    self.known.clear()
-                learnt = dict(zip(new, self.encode(new)))
-                self.known.update((w, i) for w, i in learnt.items() if len(w) <= 64)
-                parts = [learnt[w] if p is None else p for w, p in zip(words, parts)]
-            out.append(b"".join(parts))
+        for lo in range(0, len(texts), 256):  # unknown words of several texts go together
+            if len(self.known) > self.half:
+                self.known, self.older = {}, self.known
+            known, older = self.known, self.older
+            split = [t.split() for t in texts[lo : lo + 256]]
+            new = {w for words in split for w in words if w not in known}
+            known.update((w, older[w]) for w in new if w in older)
+            known.update(self.encode([w for w in new if w not in known]))
+            out += [b"".join(map(known.__getitem__, words)) for words in split]
+            for w in new:
+                if len(w) > _LONGEST:
+                    del known[w]
         return out
 
 
