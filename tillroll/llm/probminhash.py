@@ -14,13 +14,13 @@ as its next arrival comes after the latest register (early termination).
 2. Bands of ``rows`` registers; classes that share a band are candidates. Each bucket is first
    joined in a star to its least class (rows, not pairs), the pairs are sifted by the
    signatures' estimate and verified on the words; links make components.
-3. Buckets that still hold several components are compared in blocks of signatures, so that no
-   task gets a whole hot bucket and no pairs are emitted but those of different components
-   that the estimate can't rule out. They are verified too, and the components made anew.
+3. Buckets that still hold several components are compared in blocks of bounded size, so that no
+   task gets a whole hot bucket. Inside a pair of blocks texts are compared exactly, and only
+   the links that join components are emitted (never the pairs). Components are made anew.
 
 Every candidate that two classes' bands give is thus verified or lies inside one component:
 no link between different texts is dropped beyond the banding's own chance (1.5e-4 at a
-similarity of 0.8, less above).
+similarity of 0.8, less above) and that of the estimate (3e-5).
 
 Components are found by rounds of minimum labels with pointer jumping over staged tables.
 Nothing of the documents passes through the driver but a fixed-size bit table and counts.
@@ -55,7 +55,7 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 50, 8
 #: Pairs whose signatures agree on less than this share are not verified: four standard
 #: deviations below the threshold for BANDS * ROWS registers.
 ESTIMATE = 0.72
-BLOCK = 256
+BLOCK, BLOCK_BYTES = 256, 8 << 20
 SIGNATURES = "doc_id long, words_hash binary, signature binary"
 
 
@@ -205,37 +205,75 @@ def components(ws: Workspace, links: DataFrame) -> DataFrame:
         labels = labels_now.select("node", "label")
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (bucket, i, j): pairs of different components, of block i with block j,
-    that the estimate can't rule out. A group has two blocks of about BLOCK rows."""
+def block_links(cls: np.ndarray, label: np.ndarray, own: np.ndarray, i: int, j: int, texts: list[bytes], threshold: float):
+    """Links (a, b) of a similarity of ``threshold`` or more between block i and block j that join
+    different components; a pair that other links of the blocks have joined already is left out.
 
-    def pairs(group: pa.Table) -> pa.RecordBatch:
+    A text is compared with all of a block at once: its shingles are marked in a table of all
+    the blocks' shingles, and the marks are summed per text. Where no shingle repeats this
+    gives the exact similarity; elsewhere it decides which pairs are computed in full.
+    """
+    sets = [weighted_shingles(t) for t in texts]
+    _, place = np.unique(np.concatenate([h for h, _ in sets]), return_inverse=True)
+    ends = np.cumsum([len(h) for h, _ in sets])
+    starts = ends - np.array([len(h) for h, _ in sets])
+    sizes = (ends - starts).astype(float)
+    plain = np.array([bool((w == 1.0).all()) for _, w in sets])
+    mark = np.zeros(len(place) + 1, np.int64)
+    group = {x: x for x in label.tolist()}
+
+    def find(x: int) -> int:
+        while group[x] != x:
+            group[x] = group[group[x]]
+            x = group[x]
+        return x
+
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    for x in left.tolist():
+        to = right[(label[right] != label[x]) & ((cls[right] > cls[x]) if i == j else True)]
+        if not len(to):
+            continue
+        mine = place[starts[x] : ends[x]]
+        mark[mine] = 1
+        shared = np.add.reduceat(mark[place], starts)[to]
+        mark[mine] = 0
+        jaccard = shared / (sizes[x] + sizes[to] - shared)
+        exact = plain[x] & plain[to]
+        for y, similar, known in zip(to.tolist(), jaccard.tolist(), exact.tolist()):
+            if known and similar < threshold or similar == 0 or find(int(label[x])) == find(int(label[y])):
+                continue
+            if known or probability_jaccard(sets[x], sets[y]) >= threshold:
+                group[find(int(label[x]))] = find(int(label[y]))
+                yield int(min(cls[x], cls[y])), int(max(cls[x], cls[y]))
+
+
+def _links_of_blocks(threshold: float):
+    """Rows sorted by (bucket, i, j) -> verified links. A group holds two blocks; one that Arrow
+    batches cut apart is put together first."""
+
+    def links(group: pa.Table) -> pa.RecordBatch:
         cls, label, own = (group.column(c).to_numpy() for c in ("class", "label", "block"))
-        sig = np.frombuffer(b"".join(group.column("signature").to_pylist()), np.uint8).reshape(len(cls), -1)
         i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        a, b = [], []
-        for x in left.tolist():
-            to = right[(label[right] != label[x]) & ((cls[right] > cls[x]) if i == j else True)]
-            if len(to):
-                near = to[estimate(sig[x], sig[to]) >= ESTIMATE]
-                a += np.minimum(cls[x], cls[near]).tolist()
-                b += np.maximum(cls[x], cls[near]).tolist()
+        found = list(block_links(cls, label, own, i, j, group.column("words").to_pylist(), threshold))
+        a, b = zip(*found) if found else ((), ())
         return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    held: pa.Table | None = None
-    for batch in batches:
-        if batch.num_rows == 0:
-            continue
-        rows = pa.Table.from_batches([batch])
-        rows = pa.concat_tables([held, rows]).combine_chunks() if held is not None else rows
-        key = np.stack([rows.column(c).to_numpy() for c in ("bucket", "i", "j")])
-        edges = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
-        for lo, hi in zip([0, *edges[:-1].tolist()], edges.tolist()):
-            yield pairs(rows.slice(lo, hi - lo))
-        held = rows.slice(int(edges[-1]) if len(edges) else 0)
-    if held is not None:
-        yield pairs(held)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]).combine_chunks() if held is not None else rows
+            key = np.stack([rows.column(c).to_numpy() for c in ("bucket", "i", "j")])
+            edges = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+            for lo, hi in zip([0, *edges[:-1].tolist()], edges.tolist()):
+                yield links(rows.slice(lo, hi - lo))
+            held = rows.slice(int(edges[-1]) if len(edges) else 0)
+        if held is not None:
+            yield links(held)
+
+    return run
 
 
 def near_duplicates(
@@ -285,23 +323,24 @@ def near_duplicates(
     )
     mixed = labelled.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("bucket")
     left = ws.stage(
-        labelled.filter(F.col("class") != F.col("least")).join(mixed, "bucket").select("bucket", "class", "label", "n"), "mixed"
+        labelled.filter(F.col("class") != F.col("least")).join(mixed, "bucket").select("bucket", "class", "label"), "mixed"
     )
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    spread = (
-        left.withColumn("blocks", blocks)
-        .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "class", "label", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        .join(sign, "class")
-        .select("bucket", "i", "j", "class", "label", "block", "signature")
-        .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    )
-    crossing = ws.stage(spread.mapInArrow(_block_pairs, "a long, b long").distinct(), "crossing")
-    if not crossing.isEmpty():
-        more = ws.stage(verified(crossing, words_of(crossing, "crossing"), threshold), "more")
+    if not left.isEmpty():
+        words = words_of(left.select(F.col("class").alias("a"), F.col("class").alias("b")), "mixed")
+        in_bytes = left.join(words.select("class", F.length("words").alias("bytes")), "class")
+        blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int")
+        bucket_blocks = in_bytes.groupBy("bucket").agg(blocks.alias("blocks"))
+        spread = (
+            left.join(bucket_blocks, "bucket")
+            .withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
+            .join(words, "class").select("bucket", "i", "j", "class", "label", "block", "words")
+            .repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+        )
+        more = ws.stage(spread.mapInArrow(_links_of_blocks(threshold), "a long, b long"), "more")
         if not more.isEmpty():
-            labels = components(ws, links.union(more))
+            labels = components(ws, links.union(more).distinct())
 
     named = classes.join(labels.withColumnRenamed("node", "class"), "class", "left").select(
         "words_hash", F.coalesce("label", "class").alias("group")
