@@ -41,7 +41,8 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
 
     from tillroll.plans import catalog
-    from tillroll.session import local_session, remove_path, stage_root
+    from tillroll.operators.staging import release
+    from tillroll.session import local_session
 
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE", cpus)))
     qs = catalog.queries()
@@ -51,7 +52,7 @@ def main() -> None:
             t0 = time.perf_counter()
             qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             elapsed = time.perf_counter() - t0
-            remove_path(spark, stage_root(spark))  # staged layers of this run only
+            release(spark)  # what this run staged
             return elapsed
 
         run()  # warm-up: JIT, file listing, broadcast of dims

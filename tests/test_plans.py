@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from conftest import SF001, DAY1
+from conftest import LOADS, SF001
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -35,24 +35,39 @@ def test_scans_read_only_needed_columns(spark):
     assert lineitem and all("l_comment" not in s and "l_tax" not in s for s in lineitem)
 
 
-def test_dedup_pre_aggregates_before_the_shuffle(spark, bronze):
-    # one line replayed 500 times (a "hot" key) plus a few distinct lines
-    hot = [("1", "X", "2", "3/4/2011 10:00", "7")] * 500
-    df = bronze("orders", hot + [(str(i), "Y", "1", "3/4/2011 10:00", "8") for i in range(2, 6)])
+def test_dedup_pre_aggregates_before_the_shuffle_without_sorting(spark, delivered):
     from tillroll.plans import clean
 
-    out = clean.clean_orders(df)
+    hot = delivered("orders", *["1;X;2;3/4/2031 10:00;7"] * 500, *[f"{i};Y;1;3/4/2031 10:00;8" for i in range(2, 6)])
+    out = clean.clean_orders(hot)
     text = plan(out)
     # partial aggregation happens below the exchange, the final one above it
     assert re.search(r"partial_max_by", text) and "Exchange hashpartitioning" in text
     rows = out.collect()
-    assert len(rows) == 5
-    assert [r["_row_id"] for r in rows if r["invoice_no"] == "1"] == [499]
+    assert len(rows) == 5 and [r["_row_id"] for r in rows if r["invoice_no"] == "1"] == [499]
+
+
+def test_clean_orders_sorts_only_for_the_feed_join(spark):
+    assert "SortAggregate" not in plan(entry.queries()["clean_orders"](spark, SF001))
+
+
+def test_dim_product_reads_parts_at_most_twice(spark):
+    assert len(re.findall(r"ReadSchema: struct<[^>]*p_partkey", plan(entry.queries()["dim_product"](spark, SF001)))) <= 2
+
+
+def test_marts_stage_no_orders(spark):
+    from tillroll.operators import staging
+    from tillroll.session import child_names
+
+    staging.release(spark)
+    Layers(spark, SF001).revenue_by_country.collect()
+    staged = child_names(spark, staging.session_workspace(spark).root)
+    assert sorted(n.rsplit("-", 1)[0] for n in staged) == ["dim_product", "silver_products"]
 
 
 def test_latest_per_key_keeps_every_null_key_row(spark):
     df = spark.createDataFrame(
-        [(None, "a", "f", 1, DAY1), (None, "b", "f", 2, DAY1), (1, "c", "f", 3, DAY1), (1, "d", "f", 4, DAY1)],
+        [(None, "a", "f", 1, LOADS[1]), (None, "b", "f", 2, LOADS[1]), (1, "c", "f", 3, LOADS[1]), (1, "d", "f", 4, LOADS[1])],
         "k bigint, v string, _source_file string, _row_id bigint, _ingested_at timestamp",
     )
     got = sorted((r["k"] or 0, r["v"]) for r in latest_per_key(df, ["k"]).collect())
@@ -114,20 +129,13 @@ def test_position_in_group_matches_a_window_across_many_chunks(spark):
     assert "_chunk0" in text
 
 
-def test_hot_customer_collapses_before_the_shuffle(spark, bronze):
-    from conftest import DAY2
-
+def test_hot_customer_collapses_before_the_shuffle(spark, delivered):
     from tillroll.plans import clean
 
     # one customer id delivered 3,000 times (a third of the rows), across two loads
-    hot = [("7", "Spain")] * 1500 + [("7", "France")] * 1500
-    rest = [(str(i), "Peru") for i in range(100, 6100)]
-    df = bronze("customers", hot[:1000] + rest).unionByName(
-        bronze("customers", hot[1000:], DAY2, "new.csv")
-    )
-    out = clean.clean_customers(df)
-    text = plan(out)
-    assert "partial_collect_set" in text  # map-side partial aggregation per (customer, load)
+    first = delivered("customers", *["7;Togo"] * 1000, *[f"{i};Peru" for i in range(100, 6100)])
+    second = delivered("customers", *["7;Togo"] * 500, *["7;Mali"] * 1500, load=2)
+    out = clean.clean_customers(first.unionByName(second))
+    assert "partial_collect_set" in plan(out)  # map-side partial aggregation per (customer, load)
     got = {r["customer_id"]: (r["country"], r["countries"]) for r in out.collect()}
-    assert got[7] == ("Multiple", "France, Spain")  # newest load lists both countries
-    assert len(got) == 6001
+    assert got[7] == ("Multiple", "Mali, Togo") and len(got) == 6001

@@ -1,12 +1,12 @@
 """Interval (as-of) joins: match each fact row to the version valid at its instant.
 
-The join is an equi-join on the entity key plus a range residual, so Catalyst
-plans it as a hash or sort-merge join on the key (never a nested loop). No join
-hint is forced: a small version table is broadcast by the optimizer's size check
-(``autoBroadcastJoinThreshold``, re-checked at runtime by AQE), a large one is
-joined by sort-merge, where AQE's skew handling splits a hot key on the fact
-side. Each key carries only its own version history on the build side, so the
-range residual never multiplies rows.
+A join on the key alone would compare each fact with every version of its key. Here time
+is cut into slots at the month starts on which any version begins or ends (a list bounded by the
+calendar, computed as a scalar subquery). A version stands in each slot it touches, a fact in
+the slot of its instant, and the join is an equi-join on (key, slot) with the exact
+interval as residual. So a fact only meets the versions of its own slot, and a hot key is spread
+over its slots. No hint is forced: the optimizer broadcasts by checked size, else joins by
+sort-merge, where AQE can split the fact side.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+SLOT = "_slot"
+
 
 def half_open(at: Column, start: Column, end: Column) -> Column:
     """``start <= at < end``: the version valid AT the instant."""
@@ -25,6 +27,26 @@ def just_before(at: Column, start: Column, end: Column) -> Column:
     return (start < at) & (end >= at)
 
 
+def _month(c: Column) -> Column:
+    return F.trunc(F.to_date(c), "MM")
+
+
+def slotted(facts: DataFrame, versions: DataFrame, at: str, valid_from: str, valid_to: str) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their slots: facts one row each, versions one row per slot they touch."""
+    edges = versions.select(F.explode(F.array(_month(F.col(valid_from)), _month(F.col(valid_to)))).alias("m"))
+    starts = edges.agg(F.array_sort(F.collect_set("m")).alias("starts")).scalar()
+
+    def slot(ts: Column) -> Column:
+        return F.size(F.filter("_starts", lambda m: m.cast("timestamp_ntz") <= ts))
+
+    last = F.col(valid_to) - F.expr("INTERVAL '0.000001' SECOND")
+    first_slot = slot(F.col(valid_from))
+    touched = F.sequence(first_slot, F.greatest(first_slot, slot(last)))
+    f = facts.withColumn("_starts", starts).withColumn(SLOT, slot(F.col(at))).drop("_starts")
+    v = versions.withColumn("_starts", starts).withColumn(SLOT, F.explode(touched)).drop("_starts")
+    return f, v
+
+
 def asof_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -34,12 +56,11 @@ def asof_join(
     valid_to: str = "valid_to",
     how: str = "left",
 ) -> DataFrame:
-    """Join ``facts`` to the ``versions`` row with the same key valid at ``facts.at``.
+    """J1: ``facts`` with the ``versions`` row of the same key valid at ``facts.at``.
 
     Returns the aliases ``f`` (facts) and ``v`` (versions) for the caller's select.
     """
-    f, v = facts.alias("f"), versions.alias("v")
-    cond = (F.col(f"f.{key}") == F.col(f"v.{key}")) & half_open(
-        F.col(f"f.{at}"), F.col(f"v.{valid_from}"), F.col(f"v.{valid_to}")
-    )
-    return f.join(v, cond, how)
+    f, v = slotted(facts, versions, at, valid_from, valid_to)
+    cond = (F.col(f"f.{key}") == F.col(f"v.{key}")) & (F.col(f"f.{SLOT}") == F.col(f"v.{SLOT}"))
+    valid = half_open(F.col(f"f.{at}"), F.col(f"v.{valid_from}"), F.col(f"v.{valid_to}"))
+    return f.alias("f").join(v.alias("v"), cond & valid, how)

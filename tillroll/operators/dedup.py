@@ -1,42 +1,55 @@
 """Keep the newest row per key.
 
-Written as an aggregation, not a ``row_number`` window: ``max_by`` is computed
-partially on the map side, so a key replayed millions of times (one group holding
-a third of all rows) is collapsed in every map task before the shuffle instead of
-being sorted in a single task. Rows with a NULL key are not deduplicated: each
-forms its own group (keyed by its lineage), so every one of them reaches the
-quality rules.
+Both forms are aggregations, not ``row_number`` windows: a key that was replayed millions of
+times (one group with a third of all rows) is collapsed by every map task before the
+shuffle instead of being sorted in a single task. Rows are ordered by (load, row id).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_ORDER = ("_ingested_at", "_row_id")
+NEWEST_BY = ("_ingested_at", "_row_id")
 LINEAGE = ("_source_file", "_row_id", "_ingested_at")
 
 
-def latest_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str] = DEFAULT_ORDER,
-    row_identity: Sequence[str] = LINEAGE,
-) -> DataFrame:
-    """One row per non-NULL key: the one with the greatest ``order`` tuple.
+def load_and_row() -> Column:
+    """(load, row id) as one fixed-width number: microseconds * 2**63 + row id."""
+    micros = F.unix_micros("_ingested_at").cast("decimal(20,0)")
+    return (micros * F.lit(1 << 62).cast("decimal(19,0)") * 2 + F.col("_row_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def newest_copies(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """One row per distinct line, with the lineage of its newest copy.
 
-    ``row_identity`` must identify a delivered row; it separates NULL-key rows.
+    All columns but the lineage are the line (the key determines them), so they are the group;
+    the lineage is aggregated as fixed-width numbers (a file by its hash), which keeps the
+    plan on hash aggregates without sorts and lets Catalyst prune lineage nobody reads.
+    ``files`` (_source_file) lists the delivered files; it gives the names back.
     """
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    single = F.when(null_key, F.struct(*row_identity)).alias("_null_key_row")
-    payload = [c for c in df.columns if c not in keys]
-    newest = F.max_by(F.struct(*payload), F.struct(*order)).alias("_newest")
-    return (
-        df.groupBy(*keys, single)
-        .agg(newest)
-        .select(*keys, "_newest.*")
-        .select(*df.columns)
+    line = [c for c in lines.columns if c not in LINEAGE]
+    order = load_and_row()
+    newest = lines.groupBy(*line).agg(
+        F.max_by(F.xxhash64("_source_file"), order).alias("_file"),
+        F.max_by("_row_id", order).alias("_row_id"),
+        F.max("_ingested_at").alias("_ingested_at"),
     )
+    names = files.select(F.xxhash64("_source_file").alias("_file"), "_source_file").distinct()
+    return newest.join(names, "_file", "left").select(*lines.columns)
+
+
+def latest_per_key(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWEST_BY, row_identity: Sequence[str] = LINEAGE
+) -> DataFrame:
+    """W1: of each key the row with the greatest ``order``. Rows whose key has a NULL are no
+    duplicates of each other: each is a group of its own, told apart by ``row_identity``."""
+    known = F.lit(True)
+    for key in keys:
+        known &= F.col(key).isNotNull()
+    alone = F.when(~known, F.struct(*row_identity)).alias("_alone")
+    rest = [c for c in df.columns if c not in keys]
+    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
+    return df.groupBy(*keys, alone).agg(best).select(*keys, "_best.*").select(*df.columns)

@@ -6,7 +6,7 @@ third of the table. ``position_in_group`` gets the same numbers in bounded
 pieces:
 
 1. rows are cut into chunks of a key that follow the sort order (e.g. the file
-   and ``_row_id // 2**20``), so no (key, chunk) holds more than a bounded number
+   and ``chunk_of(_row_id)``), so no (key, chunk) holds more than a bounded number
    of rows; a window numbers rows inside each (key, chunk);
 2. an aggregate counts rows per (key, chunk) (and can carry per-chunk partial
    aggregates, e.g. the first name seen);
@@ -26,7 +26,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CHUNK_ROWS = 1 << 20
+CHUNK_BITS = 20  # a chunk has at most 2**20 consecutive row ids
+
+
+def chunk_of(row_number: Column) -> Column:
+    """Chunk of a number that follows the sort order."""
+    return F.shiftright(row_number, CHUNK_BITS)
 
 
 def position_in_group(

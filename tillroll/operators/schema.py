@@ -8,18 +8,19 @@ from pyspark.sql.types import StructType
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the declared columns in order, ``try_cast`` to the declared type;
-    a missing column becomes NULL, an extra one is dropped, an overflowing value
-    becomes NULL instead of failing the job (ANSI)."""
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
-            for f in schema
-        ]
+    """``df`` in the shape of ``schema``. What is missing is NULL, what is not declared goes,
+    and a value that the declared type can't hold is NULL (no ANSI failure)."""
+    absent = set(schema.names).difference(df.columns)
+    whole = df.withColumns({name: F.lit(None) for name in absent}) if absent else df
+    return whole.selectExpr(
+        *(f"try_cast(`{name}` AS {kind}) AS `{name}`" for name, kind in zip(schema.names, _kinds(schema)))
     )
 
 
+def _kinds(schema: StructType) -> list[str]:
+    return [field.dataType.simpleString() for field in schema.fields]
+
+
 def empty(spark, schema: StructType) -> DataFrame:
     """An empty DataFrame of the schema (a table that does not exist yet)."""
     return spark.createDataFrame([], schema)

@@ -1,24 +1,24 @@
-"""Table sinks on plain Parquet: append, replace, keyed upsert, partitioned layout.
-
-No table format (Iceberg/Delta) is assumed, so MERGE is expressed with DataFrame
-operators:
-
-- ``upsert`` on a table partitioned by a column the key never moves across
-  (orders: the key hashes the invoice date text, so a line never changes month):
-  only the partitions the source touches are rewritten, with dynamic partition
-  overwrite. ``kept = target[touched] anti-join source keys``; write
-  ``kept UNION source``. Untouched partitions are never read or written.
-- ``upsert`` on an unpartitioned table, and ``replace``: the new content is
-  computed from the old, so its lineage is cut with a reliable ``checkpoint()``
-  (written to the shared ``spark.checkpoint.dir``, so it survives executor loss)
-  before the path is overwritten.
-
-Source keys must be unique (MERGE rejects duplicates too); NULL keys never match
-an existing row, so they are inserted.
+"""Table sinks on plain Parquet: append, atomic replace, keyed upsert.
+
+No table format (Iceberg/Delta) is assumed, so:
+
+- ``replace`` writes the new content to a folder of its own and then adds an empty file
+  ``_current-<number>-<folder>``. Creating a file is atomic on every store, and readers take
+  the highest number, so they see the old content or the new, never half of it. A crash
+  before that leaves the table as it was.
+- ``upsert`` of an unpartitioned table is a ``replace`` by the merged rows.
+- ``upsert`` of a table partitioned by a column that a key never moves across (orders: the key
+  hashes the invoice date text, so a line never changes month) rewrites only the partitions
+  that the source touches, with dynamic partition overwrite. It is not atomic across
+  partitions; repeating it gives the same table.
+
+A source must have one row per key: repeated keys are refused, as MERGE does. NULL keys match
+nothing and are inserted. Read tables with ``read_table``, which follows ``_current``.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -27,73 +27,94 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.operators.schema import conform, empty
-from tillroll.session import shared_dir
+from tillroll.operators.staging import Workspace, session_workspace
+from tillroll.session import child_names, fs_path, remove_path
+
+POINTER = "_current-"
+
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once in the session's workspace and read it back (lineage cut)."""
+    return session_workspace(df.sparkSession).stage(df, name)
+
+
+# ---------------------------------------------------------------- reading
+
+
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    names = [n[len(POINTER) :] for n in child_names(spark, path) if n.startswith(POINTER)]
+    return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
+
+
+def content_path(spark: SparkSession, path: str) -> str:
+    """Folder of the table's current content (the table's own path if it was never replaced)."""
+    pointers = _pointers(spark, path)
+    return f"{path.rstrip('/')}/{pointers[-1][1]}" if pointers else path
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Read a Parquet table with its declared schema; empty if it does not exist.
+    """S6: the table with its declared schema; empty if it does not exist.
 
     The explicit schema also stops partition values being re-inferred (a month
     partition would otherwise come back as a date or string).
     """
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(content_path(spark, path))
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return empty(spark, schema)
         raise
 
 
+# ---------------------------------------------------------------- writing
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K1: add rows."""
     df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def create_if_absent(spark: SparkSession, path: str, schema: StructType) -> None:
-    """K4: an empty table with the declared schema (no-op when it exists)."""
-    try:
-        spark.read.schema(schema).parquet(path).limit(0).collect()
-    except AnalysisException:
-        empty(spark, schema).write.mode("overwrite").parquet(path)
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder (reliable, not local)."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared folder and read it back.
-
-    Used where one layer feeds several consumers (the way a materialised
-    pipeline reads its own tables): later reads get column pruning, predicate
-    pushdown and exact size statistics, and the lineage is cut, so a lost
-    executor never recomputes the upstream layers.
-    """
-    import uuid
-
-    from tillroll.session import stage_root
-
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = ()) -> None:
+    """K2: full replace, atomic. ``df`` may read the table itself. With ``partition_by`` rows are
+    clustered by (partition, keys) first, so that a task writes few partitions."""
     spark = df.sparkSession
-    path = f"{stage_root(spark)}/{name}/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """K2: full replace. Safe when ``df`` was computed from the same path."""
-    cut_lineage(df).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    folder = f"version-{uuid.uuid4().hex[:12]}"
+    rows = clustered_by(df, partition_by[0], keys) if partition_by else df
+    rows.write.partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
+    _switch(spark, path, folder)
+
+
+def _switch(spark: SparkSession, path: str, folder: str) -> None:
+    """Make ``folder`` the table's content; the content before it stays for running readers,
+    anything older goes."""
+    before = _pointers(spark, path)
+    number = before[-1][0] + 1 if before else 1
+    fs, pointer = fs_path(spark, f"{path.rstrip('/')}/{POINTER}{number:012d}-{folder}")
+    fs.create(pointer, False).close()
+    kept = {folder, *(f for _, f in before[-1:])}
+    for name in child_names(spark, path):
+        old_pointer = name.startswith(POINTER) and name.split("-", 2)[2] not in kept
+        if old_pointer or not name.startswith(POINTER) and name not in kept:
+            remove_path(spark, f"{path.rstrip('/')}/{name}")
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The state after MERGE: matched rows take the source row, the rest are kept,
+    """J8: the state after MERGE: matched rows take the source row, the rest are kept,
     new source rows are inserted, nothing is deleted (lazy)."""
     source = source.select(*target.columns)
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source)
 
 
+def refuse_repeated_keys(source: DataFrame, keys: Sequence[str]) -> None:
+    """Raises if a (non-NULL) key stands in several rows."""
+    found = (
+        source.select(*keys).dropna().groupBy(*keys).count().filter("count > 1").limit(1).collect()
+    )  # one row at most
+    if found:
+        raise ValueError(f"the source of an upsert repeats the key {found[0].asDict()}")
+
+
 def upsert(
     spark: SparkSession,
     source: DataFrame,
@@ -102,24 +123,30 @@ def upsert(
     keys: Sequence[str],
     partition_col: str | None = None,
 ) -> None:
-    """K3: keyed upsert into the Parquet table at ``path``."""
-    source = conform(source, schema)
-    target = read_table(spark, path, schema)
-    if partition_col is None:
-        replace(merged(target, source, keys), path)
-        return
-    touched = partition_values(source, partition_col)
-    if not touched:
-        return
-    rewrite = merged(target.filter(in_partitions(partition_col, touched)), source, keys)
+    """K3: keyed upsert into the Parquet table at ``path``. The source is computed once."""
+    with Workspace(spark, "upsert") as ws:
+        source = ws.stage(conform(source, schema), "source")
+        refuse_repeated_keys(source, keys)
+        target = read_table(spark, path, schema)
+        if partition_col is None:
+            replace(merged(target, source, keys), path)
+            return
+        touched = partition_values(source, partition_col)
+        if touched:
+            rows = merged(target.filter(in_partitions(partition_col, touched)), source, keys)
+            overwrite_partitions(rows, content_path(spark, path), partition_col, keys)
+
+
+def overwrite_partitions(df: DataFrame, folder: str, partition_col: str, keys: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of, and no others. Rows are range-partitioned
+    by (partition, key): few files per partition, and a hot partition (one month with a third
+    of all rows) is split over many tasks."""
     (
-        # range-partition by (partition, key): few files per partition, and a hot
-        # partition (one month with a third of all rows) is split over many tasks
-        clustered_by(rewrite, partition_col, keys)
+        clustered_by(df, partition_col, keys)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
-        .parquet(path)
+        .parquet(folder)
     )
 
 

@@ -17,20 +17,28 @@ from pyspark.sql.types import DateType, DecimalType
 from tillroll.functions.text import lenient_integer, lenient_us_timestamp
 from tillroll.operators import sinks
 from tillroll.operators.asof import asof_join
-from tillroll.operators.dedup import latest_per_key
+from tillroll.operators.dedup import latest_per_key, newest_copies
 from tillroll.operators.quality import (
-    QUARANTINE,
+    REJECTED,
+    evaluate,
     failed_rules_text,
+    published,
     quarantined,
     rule_results,
     table_counts,
 )
 from tillroll.operators.schema import conform
-from tillroll.plans import clean, marts, oracle, schemas, star
+from tillroll.operators.staging import session_workspace
+from tillroll.plans import clean, marts, oracle, pipeline, rules, schemas, star
 from tillroll.plans.layers import Layers
-from tillroll.session import scratch_path
-from tillroll.sources import landing
-from tillroll.streaming.ingest import ingest_available, read_bronze, stream_orders_to_silver
+from tillroll.session import child_names, fs_path
+from tillroll.sources import feeds, landing
+from tillroll.streaming.ingest import (
+    SILVER_ORDERS_BY_MONTH,
+    ingest_available,
+    read_bronze,
+    stream_orders_to_silver,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,12 +48,12 @@ NTZ = "timestamp_ntz"
 
 
 def engine_neutral(df: DataFrame) -> DataFrame:
-    """Driver-facing output types: money (DECIMAL) as DOUBLE and DATE as
+    """Driver-facing output types: money (DECIMAL) as its exact text, scale included, and DATE as
     TIMESTAMP_NTZ, which both engines hand back as the same Python/pandas types."""
     out = []
     for f in df.schema:
         if isinstance(f.dataType, DecimalType):
-            out.append(F.col(f.name).cast("double").alias(f.name))
+            out.append(F.col(f.name).cast("string").alias(f.name))
         elif isinstance(f.dataType, DateType):
             out.append(F.col(f.name).cast(NTZ).alias(f.name))
         else:
@@ -71,7 +79,7 @@ def query(name: str, sql: str | None = None, money=(), dates=(), texts=(), doubl
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            casts = [f"CAST({c} AS DOUBLE) AS {c}" for c in money]
+            casts = [f"CAST({c} AS VARCHAR) AS {c}" for c in money]
             casts += [f"CAST({c} AS TIMESTAMP) AS {c}" for c in dates]
             casts += [f"CAST({c} AS VARCHAR) AS {c}" for c in texts]
             casts += [f"CAST({c} AS DOUBLE) AS {c}" for c in doubles]
@@ -85,9 +93,24 @@ def query(name: str, sql: str | None = None, money=(), dates=(), texts=(), doubl
 SOURCE_COLS = ["invoice_no", "stock_code", "quantity", "invoice_date", "customer_id"]
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the session's workspace."""
+    return session_workspace(spark).path(name)
+
+
+def source_columns(feed: str) -> list[str]:
+    return [c for c in pipeline.FEEDS[feed][1].names if c[0] != "_"]
+
+
+def deliver(layers: Layers, feed: str, load: int, landing_dir: str, file_name: str | None = None) -> None:
+    """One load of a feed as a CSV delivery, in the order of its rows."""
+    rows = layers.bronze(feed).filter(F.col("_source_file") == f"{feed}_{load}.csv")
+    ordered = rows.repartitionByRange("_row_id").sortWithinPartitions("_row_id")
+    landing.write_delivery(ordered.select(*source_columns(feed)), landing_dir, file_name or f"{feed}_{load}.csv")
+
+
 def deliver_orders(spark: SparkSession, layers: Layers, landing_dir: str, load: int) -> None:
-    rows = layers.bronze("orders").filter(F.col("_source_file") == f"orders_{load}.csv")
-    landing.write_delivery(rows.select(*SOURCE_COLS), landing_dir, f"orders_{load}.csv")
+    deliver(layers, "orders", load, landing_dir)
 
 
 # ------------------------------------------------------------------ feeds / scans
@@ -99,7 +122,7 @@ def deliver_orders(spark: SparkSession, layers: Layers, landing_dir: str, load:
 )
 def scan_raw_orders(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    landing_dir = scratch_path(spark, "landing")
+    landing_dir = scratch(spark, "landing")
     for load in (1, 2):
         deliver_orders(spark, layers, landing_dir, load)
     scanned = landing.read_landing(spark, landing_dir, "orders_", schemas.BRONZE_ORDERS)
@@ -230,7 +253,7 @@ def line_hash_keys(spark, sf_dir):
 @query("dedup_lines", "SELECT order_line_id, _source_file, _row_id FROM orders_clean")
 def dedup_lines(spark, sf_dir):
     lines = clean.typed_lines(Layers(spark, sf_dir).bronze("orders"))
-    return latest_per_key(lines, ["order_line_id"]).select("order_line_id", "_source_file", "_row_id")
+    return newest_copies(lines, feeds.files(spark, "orders")).select("order_line_id", "_source_file", "_row_id")
 
 
 @query(
@@ -346,7 +369,7 @@ def fact_sales(spark, sf_dir):
 )
 def asof_price_join(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    joined = asof_join(layers.orders_for_gold, layers.dim_product_for_gold, "stock_code", "invoice_ts")
+    joined = asof_join(layers.silver_orders, layers.dim_product_for_gold, "stock_code", "invoice_ts")
     return joined.select(
         "f.order_line_id", "f.stock_code", "f.invoice_ts", "v.version", "v.unit_price"
     )
@@ -390,7 +413,7 @@ def price_at_instant(spark, sf_dir):
 )
 def latest_month(spark, sf_dir):
     layers = Layers(spark, sf_dir)
-    return layers.orders_for_gold.agg(
+    return layers.orders_for_anchor.agg(
         star.month_of(F.max("invoice_ts")).cast(NTZ).alias("orders_month")
     ).select(
         "orders_month",
@@ -466,7 +489,7 @@ def _tag_query(attr, keys):
     def run(spark, sf_dir):
         tagged = getattr(Layers(spark, sf_dir), attr)
         return tagged.select(
-            *keys, failed_rules_text().alias("failed_rules"), F.col(QUARANTINE).alias("quarantined")
+            *keys, failed_rules_text().alias("failed_rules"), F.col(REJECTED).alias("quarantined")
         )
 
     return run
@@ -480,6 +503,8 @@ for _name, (_attr, _keys, _cte) in TAG_KEYS.items():
     )(_tag_query(_attr, _keys))
 
 
+FACT_READERS = {"gold.revenue_by_country", "gold.price_vs_volume", "gold.top_price_drops"}
+
 RESULT_GROUPS = {
     "customers": ["silver.customers"],
     "products": ["silver.products"],
@@ -492,6 +517,8 @@ RESULT_GROUPS = {
 
 
 def _results(layers: Layers, names) -> DataFrame:
+    if len([n for n in names if n in FACT_READERS]) > 1:
+        layers.share_fact()
     frames = [rule_results(layers.tagged(n), Layers.TABLES[n][2], n) for n in names]
     out = frames[0]
     for f in frames[1:]:
@@ -513,43 +540,54 @@ for _group, _names in RESULT_GROUPS.items():
     )(_results_query(_names))
 
 
-QUARANTINE_KEYS = {
-    "customers": ("tagged_customers", "silver.customers",
-                  [("customer_id", "bigint"), ("_source_file", "string"), ("_row_id", "bigint")],
-                  "silver_customers_tagged"),
-    "products": ("tagged_products", "silver.products",
-                 [("stock_code", "string"), ("version", "int")], "silver_products_tagged"),
-    "orders": ("tagged_orders", "silver.orders", [("order_line_id", "string")],
-               "silver_orders_tagged"),
-    "fact": ("tagged_fact_sales", "gold.fact_sales", [("order_line_id", "string")],
-             "fact_sales_tagged"),
-}
-
-
-def _quarantine_query(attr, table_name, keys):
+# fields of the quarantine record that are compared: (name, type it is read back as)
+QUARANTINE_FIELDS = {
+    "customers": ("tagged_customers", "silver.customers", "silver_customers_tagged", [
+        ("customer_id", "bigint"), ("country", "string"), ("countries", "string"), ("_source_file", "string"),
+        ("_row_id", "bigint"),
+    ]),
+    "products": ("tagged_products", "silver.products", "silver_products_tagged", [
+        ("stock_code", "string"), ("version", "int"), ("description", "string"), ("description_raw", "string"),
+        ("unit_price", "decimal(10,2)"), ("product_type", "string"), ("_source_file", "string"),
+    ]),
+    "orders": ("tagged_orders", "silver.orders", "silver_orders_tagged", [
+        ("order_line_id", "string"), ("invoice_no", "string"), ("stock_code", "string"), ("quantity", "int"),
+        ("invoice_ts", "timestamp_ntz"), ("customer_id", "bigint"), ("transaction_type", "string"),
+    ]),
+    "fact": ("tagged_fact_sales", "gold.fact_sales", "fact_sales_tagged", [
+        ("order_line_id", "string"), ("invoice_no", "string"), ("invoice_ts", "timestamp_ntz"), ("quantity", "int"),
+        ("unit_price", "decimal(10,2)"), ("line_amount", "decimal(18,2)"), ("is_revenue", "boolean"),
+    ]),
+}
+
+
+def record_field(name: str, type_name: str) -> F.Column:
+    return F.get_json_object("record", f"$.{name}").cast(type_name).alias(name)
+
+
+def _quarantine_query(attr, table_name, fields):
     def run(spark, sf_dir):
         records = quarantined(getattr(Layers(spark, sf_dir), attr), table_name)
         return records.select(
-            "table_name",
-            *[F.get_json_object("record", f"$.{k}").cast(t).alias(k) for k, t in keys],
-            F.array_join("failed_rules", ",").alias("failed_rules"),
+            "table_name", *[record_field(k, t) for k, t in fields], F.array_join("failed_rules", ",").alias("failed_rules")
         )
 
     return run
 
 
-for _name, (_attr, _table, _keys, _cte) in QUARANTINE_KEYS.items():
+for _name, (_attr, _table, _cte, _fields) in QUARANTINE_FIELDS.items():
     query(
         f"dq_quarantine_{_name}",
-        f"SELECT '{_table}' AS table_name, {cols([k for k, _ in _keys])}, failed_rules "
+        f"SELECT '{_table}' AS table_name, {cols([k for k, _ in _fields])}, failed_rules "
         f"FROM {_cte} WHERE quarantined",
-        doubles=[k for k, _ in _keys if k == "customer_id"],
-    )(_quarantine_query(_attr, _table, _keys))
+        doubles=[k for k, _ in _fields if k in ("customer_id", "quantity")],
+        money=[k for k, t in _fields if t.startswith("decimal")],
+    )(_quarantine_query(_attr, _table, _fields))
 
 
 @query("run_metrics", oracle.run_metrics_sql())
 def run_metrics(spark, sf_dir):
-    layers = Layers(spark, sf_dir)
+    layers = Layers(spark, sf_dir).share_fact()
     frames = []
     for b in ("customers", "products", "orders"):
         frames.append(
@@ -646,18 +684,32 @@ def adhoc_duplicate_lines(spark, sf_dir):
 
 
 ALL_TABLES = [t[0] for t in oracle.TABLES]
+TAG_TABLES = ("silver.customers", "silver.products", "silver.orders")
 
 
 @query(
     "ops_last_run_failures",
-    "SELECT table_name, rule, severity, failed_rows FROM ("
+    "SELECT 'run-2' AS run_id, table_name, rule, severity, failed_rows FROM ("
     + oracle.results_sql(oracle.TABLES)
     + ") WHERE failed_rows > 0",
 )
 def ops_last_run_failures(spark, sf_dir):
-    results = _results(Layers(spark, sf_dir), ALL_TABLES)
-    return results.filter(F.col("failed_rows") > 0).select(
-        "table_name", "rule", "severity", "failed_rows"
+    """The documented question over stored metrics: two runs' results are stored (the first one
+    over the first load only), the rules that failed in the last run are asked for."""
+    everything = Layers(spark, sf_dir)
+    first = Layers(spark, bronze={
+        feed: everything.bronze(feed).filter(F.col("_source_file") == f"{feed}_1.csv") for feed in pipeline.FEEDS
+    })
+    path = scratch(spark, "dq_results")
+    runs = {"run-1": (first, list(TAG_TABLES)), "run-2": (everything, ALL_TABLES)}
+    for run_id, (layers, names) in runs.items():
+        results = _results(layers, names).select(F.lit(run_id).alias("run_id"), "*", F.current_timestamp().alias("checked_at"))
+        sinks.append(conform(results, schemas.DQ_RESULTS), path)
+    stored = sinks.read_table(spark, path, schemas.DQ_RESULTS)
+    return spark.sql(
+        """SELECT run_id, table_name, rule, severity, failed_rows FROM {results}
+           WHERE run_id = (SELECT MAX(run_id) FROM {results}) AND failed_rows > 0""",
+        results=stored,
     )
 
 
@@ -667,10 +719,15 @@ def ops_last_run_failures(spark, sf_dir):
        WHERE quarantined AND list_contains(string_split(failed_rules, ','), 'invoice_ts_valid')""",
 )
 def ops_rule_quarantine(spark, sf_dir):
-    records = quarantined(Layers(spark, sf_dir).tagged_orders, "silver.orders")
-    return records.filter(F.array_contains("failed_rules", "invoice_ts_valid")).select(
-        F.get_json_object("record", "$.order_line_id").alias("order_line_id"),
-        F.get_json_object("record", "$.invoice_no").alias("invoice_no"),
+    """The records of one rule, from a stored quarantine of several tables."""
+    layers, path = Layers(spark, sf_dir), scratch(spark, "quarantine")
+    for attr, table_name in (("tagged_products", "silver.products"), ("tagged_orders", "silver.orders")):
+        records = quarantined(getattr(layers, attr), table_name, "run-1")
+        sinks.append(conform(records, schemas.DQ_QUARANTINE), path, ["table_name"])
+    stored = sinks.read_table(spark, path, schemas.DQ_QUARANTINE)
+    return stored.filter(F.array_contains("failed_rules", "invoice_ts_valid")).select(
+        record_field("order_line_id", "string"),
+        record_field("invoice_no", "string"),
         F.array_join("failed_rules", ",").alias("failed_rules"),
     )
 
@@ -717,7 +774,7 @@ def upsert_orders(spark, sf_dir):
     source = silver.filter(ts >= F.lit(UPSERT_FROM).cast(NTZ)).withColumn(
         "_source_file", F.concat(F.lit("merged:"), "_source_file")
     )
-    path = scratch_path(spark, "tables", "silver_orders")
+    path = scratch(spark, "silver_orders")
     target.write.partitionBy(month_name).parquet(path)
     sinks.upsert(spark, source, path, ORDERS_PARTITIONED, ["order_line_id"], month_name)
     table = sinks.read_table(spark, path, ORDERS_PARTITIONED)
@@ -734,16 +791,13 @@ def upsert_customers(spark, sf_dir):
     bronze = layers.bronze("customers")
     silver_schema = schemas.SILVER_CUSTOMERS
 
-    def published(load_file):
-        from tillroll.operators.quality import evaluate, passed
-        from tillroll.plans import rules
-
+    def load(load_file):
         cleaned = clean.clean_customers(bronze.filter(F.col("_source_file") == load_file))
-        return passed(evaluate(cleaned, rules.SILVER_CUSTOMERS))
+        return published(evaluate(cleaned, rules.SILVER_CUSTOMERS))
 
-    path = scratch_path(spark, "tables", "silver_customers")
-    published("customers_1.csv").write.parquet(path)
-    sinks.upsert(spark, published("customers_2.csv"), path, silver_schema, ["customer_id"])
+    path = scratch(spark, "silver_customers")
+    load("customers_1.csv").write.parquet(path)
+    sinks.upsert(spark, load("customers_2.csv"), path, silver_schema, ["customer_id"])
     return sinks.read_table(spark, path, silver_schema).select(
         "customer_id", "country", "countries", "_source_file"
     )
@@ -766,8 +820,8 @@ def fact_month_slice(spark, sf_dir):
     """fact_sales stored partitioned by month; readers of one month prune the rest."""
     fact = Layers(spark, sf_dir).fact_sales
     month_name, month = sinks.month_partition("invoice_ts")
-    path = scratch_path(spark, "tables", "fact_sales")
-    sinks.replace(fact.withColumn(month_name, month), path, [month_name])
+    path = scratch(spark, "fact_sales")
+    sinks.replace(fact.withColumn(month_name, month), path, [month_name], ["order_line_id"])
     table = sinks.read_table(spark, path, FACT_PARTITIONED)
     newest = table.select(F.max(month_name)).scalar()
     return table.filter(F.col(month_name) == newest).select(
@@ -775,24 +829,93 @@ def fact_month_slice(spark, sf_dir):
     )
 
 
+LATE_FILE = "orders_2 late.csv"
+
+
 @query(
     "ingest_incremental",
-    "SELECT invoice_no, stock_code, quantity, invoice_date, customer_id, _source_file FROM raw_orders",
+    f"""SELECT invoice_no, stock_code, quantity, invoice_date, customer_id,
+               replace(_source_file, 'orders_2.csv', '{LATE_FILE}') AS _source_file FROM raw_orders""",
 )
 def ingest_incremental(spark, sf_dir):
-    """Two deliveries, two runs of the availableNow stream: each file read once."""
-    layers = Layers(spark, sf_dir)
-    landing_dir = scratch_path(spark, "landing")
-    bronze_path = scratch_path(spark, "tables", "bronze_orders")
-    checkpoint = scratch_path(spark, "streams", "bronze_orders")
-    for load in (1, 2):
-        deliver_orders(spark, layers, landing_dir, load)
-        ingest_available(
-            spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint
-        )
-    return read_bronze(spark, bronze_path, schemas.BRONZE_ORDERS).select(
-        *SOURCE_COLS, "_source_file"
-    )
+    """Two deliveries, three runs of the availableNow stream: each file is read once. The second
+    delivery has a space in its name and files that are a month older than the first ones."""
+    layers, landing_dir = Layers(spark, sf_dir), scratch(spark, "landing")
+    bronze_path, checkpoint = scratch(spark, "bronze_orders"), scratch(spark, "stream_bronze_orders")
+
+    def ingest():
+        ingest_available(spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint, 2)
+
+    deliver(layers, "orders", 1, landing_dir)
+    ingest()
+    deliver(layers, "orders", 2, landing_dir, LATE_FILE)
+    month_ago = (pipeline.now_micros() // 1000) - 30 * 24 * 3600 * 1000
+    for name in child_names(spark, f"{landing_dir}/{LATE_FILE}"):
+        fs, path = fs_path(spark, f"{landing_dir}/{LATE_FILE}/{name}")
+        fs.setTimes(path, month_ago, month_ago)
+    ingest()
+    ingest()
+    return read_bronze(spark, bronze_path, schemas.BRONZE_ORDERS).select(*SOURCE_COLS, "_source_file")
+
+
+@query(
+    "price_versions_of_parts",
+    "SELECT stock_code, version, description_raw, unit_price FROM prod_versions",
+    money=["unit_price"],
+)
+def price_versions_of_parts(spark, sf_dir):
+    """The products snapshot delivered as a folder of very unequal part files: versions follow the
+    order of the parts, not the order in which Spark reads them."""
+    snap = clean.latest_snapshot(Layers(spark, sf_dir).bronze("products"))
+    landing_dir, row = scratch(spark, "landing"), F.col("_row_id")
+    most = snap.select(F.max("_row_id")).scalar()
+    thirds = {"a": row < most * 0.05, "b": (row >= most * 0.05) & (row < most * 0.2), "c": row >= most * 0.2}
+    for part, rows in thirds.items():
+        pieces = {"a": 3, "b": 1, "c": 2}[part]
+        ordered = snap.filter(rows).repartitionByRange(pieces, "_row_id").sortWithinPartitions("_row_id")
+        landing.write_delivery(ordered.select(*source_columns("products")), f"{landing_dir}/products_2.csv", part)
+    delivered = landing.read_landing(spark, landing_dir, "products_", schemas.BRONZE_PRODUCTS)
+    return clean.price_versions(delivered).select("stock_code", "version", "description_raw", "unit_price")
+
+
+@query(
+    "pipeline_recovers",
+    f"SELECT {cols(FACT_COLS)} FROM fact_sales",
+    money=["unit_price", "line_amount"],
+    doubles=["customer_id", "quantity"],
+)
+def pipeline_recovers(spark, sf_dir):
+    """The stored fact after runs that failed: run 1 loses silver customers; run 2, with
+    new prices, customers and lines, loses the fact after it is stored; run 3 makes up for it."""
+    layers, landing_dir = Layers(spark, sf_dir), scratch(spark, "landing")
+    wh = pipeline.Warehouse(scratch(spark, "warehouse"))
+
+    def attempt(run_id, step=None, phase="start"):
+        def fail_at(name, at):
+            if (name, at) == (step, phase):
+                raise RuntimeError(f"planned failure of {name}")
+
+        try:
+            pipeline.run_pipeline(spark, wh.root, landing_dir, run_id, fail_at)
+        except RuntimeError:
+            if step is None:
+                raise
+
+    price = F.col("unit_price").cast("decimal(10,2)")
+    dearer = F.when(price == 0, F.col("unit_price")).otherwise((price + 1).cast("decimal(10,2)").cast("string"))
+    before = Layers(spark, bronze={
+        "products": layers.bronze("products").filter(F.col("_source_file") == "products_2.csv")
+        .withColumn("unit_price", dearer).withColumn("_source_file", F.lit("products_1.csv"))
+    })
+    deliver(before, "products", 1, landing_dir)
+    deliver(layers, "customers", 1, landing_dir)
+    deliver(layers, "orders", 1, landing_dir)
+    attempt("run-1", "silver.customers")
+    for feed in pipeline.FEEDS:
+        deliver(layers, feed, 2, landing_dir)
+    attempt("run-2", "gold.fact_sales", "stored")
+    attempt("run-3")
+    return wh.read(spark, "gold.fact_sales").select(*FACT_COLS)
 
 
 @query(
@@ -803,14 +926,14 @@ def stream_silver_orders(spark, sf_dir):
     """Two deliveries streamed (availableNow, one run each) into silver orders:
     the replayed lines of the second delivery replace their first copies."""
     layers = Layers(spark, sf_dir)
-    landing_dir = scratch_path(spark, "landing")
-    bronze_path = scratch_path(spark, "tables", "bronze_orders")
-    silver_path = scratch_path(spark, "tables", "silver_orders")
-    checkpoint = scratch_path(spark, "streams", "silver_orders")
+    landing_dir = scratch(spark, "landing")
+    bronze_path = scratch(spark, "bronze_orders")
+    silver_path = scratch(spark, "silver_orders")
+    checkpoint = scratch(spark, "silver_orders")
     for load in (1, 2):
         deliver_orders(spark, layers, landing_dir, load)
         stream_orders_to_silver(spark, landing_dir, bronze_path, silver_path, checkpoint)
-    silver = spark.read.parquet(silver_path)
+    silver = sinks.read_table(spark, silver_path, SILVER_ORDERS_BY_MONTH)
     return silver.select(*SILVER_ORDER_COLS[:-1])
 
 

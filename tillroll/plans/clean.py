@@ -1,14 +1,14 @@
 """Silver: typed, cleaned, one row per key (before the quality rules are applied).
 
 Each function maps a bronze DataFrame (source text + lineage) to the declared
-silver schema. Apply ``operators.quality.evaluate`` + ``passed`` to publish.
+silver schema. Apply ``operators.quality.evaluate`` + ``published`` to publish.
 
 Scale notes
 - customers: the country set is built by aggregation per (customer, load) with
   ``collect_set`` (map-side partial aggregation, bounded by the number of
   countries), then the newest load per customer with ``max_by``. A customer with
   a third of all rows is collapsed before any shuffle.
-- orders: replayed lines collapse with ``latest_per_key`` (aggregation, partial
+- orders: replayed lines collapse with ``newest_copies`` (hash aggregation, partial
   on the map side), not a window.
 - products: positions inside a stock code's history come from
   ``position_in_group`` (bounded chunks + offsets), names from partial ``min``
@@ -32,8 +32,8 @@ from tillroll.functions.text import (
     normalise_code,
     recode,
 )
-from tillroll.operators.dedup import LINEAGE, latest_per_key
-from tillroll.operators.ranking import position_in_group
+from tillroll.operators.dedup import LINEAGE, newest_copies
+from tillroll.operators.ranking import chunk_of, position_in_group
 from tillroll.operators.schema import conform
 from tillroll.plans import schemas
 
@@ -66,6 +66,8 @@ VOUCHER_TEXT = "GIFT VOUCHER"
 
 SALE, CANCELLATION, ADJUSTMENT = "SALE", "CANCELLATION", "ADJUSTMENT"
 
+FILE_ORDER = ["_source_file", "_source_part", "_row_id"]
+
 
 # ---------------------------------------------------------------- customers
 
@@ -109,18 +111,15 @@ def clean_customers(bronze: DataFrame) -> DataFrame:
     """One row per customer: its country, or ``Multiple`` when its newest load lists
     several; NULL-id rows of the newest NULL-id load pass one by one (quarantined)."""
     typed = typed_customers(bronze)
-    countries = F.array_sort("country_set")
-    known = newest_load_per_customer(typed).select(
+    known = newest_load_per_customer(typed).withColumn("listed", F.array_sort("country_set")).selectExpr(
         "customer_id",
-        F.when(F.size(countries) > 1, F.lit(MULTIPLE)).otherwise(F.get(countries, 0)).alias("country"),
-        F.when(F.size(countries) > 0, F.array_join(countries, ", ")).alias("countries"),
+        f"CASE size(listed) WHEN 0 THEN NULL WHEN 1 THEN listed[0] ELSE '{MULTIPLE}' END AS country",
+        "nullif(array_join(listed, ', '), '') AS countries",
         *LINEAGE,
     )
-    no_id = typed.filter(F.col("customer_id").isNull())
-    newest_no_id_load = no_id.select(F.max("_ingested_at")).scalar()
-    unknown = no_id.filter(F.col("_ingested_at") == newest_no_id_load).select(
-        "customer_id", "country", F.col("country").alias("countries"), *LINEAGE
-    )
+    nameless = typed.where("customer_id IS NULL")
+    newest = nameless.agg(F.max("_ingested_at")).scalar()
+    unknown = nameless.where(F.col("_ingested_at") == newest).withColumn("countries", F.col("country"))
     return conform(known.unionByName(unknown), schemas.SILVER_CUSTOMERS)
 
 
@@ -136,8 +135,8 @@ def latest_snapshot(bronze: DataFrame) -> DataFrame:
 def product_type(stock_code: Column, name: Column) -> Column:
     """Exact code > gift voucher (code prefix or name) > merchandise."""
     voucher = stock_code.startswith(VOUCHER_CODE_PREFIX) | F.upper(name).contains(VOUCHER_TEXT)
-    by_code = F.create_map(*[F.lit(x) for kv in PRODUCT_TYPE_BY_CODE.items() for x in kv])
-    return F.coalesce(by_code[stock_code], F.when(voucher, F.lit(NON_REVENUE)), F.lit(MERCHANDISE))
+    by_code = recode(stock_code, PRODUCT_TYPE_BY_CODE, fallback=F.lit(None).cast("string"))
+    return F.coalesce(by_code, F.when(voucher, F.lit(NON_REVENUE)), F.lit(MERCHANDISE))
 
 
 def price_versions(snapshot: DataFrame) -> DataFrame:
@@ -145,7 +144,7 @@ def price_versions(snapshot: DataFrame) -> DataFrame:
     and resolve the product name: the first row from the top written in capitals,
     else the first non-blank row.
 
-    File order is ``(_source_file, _row_id)``. Positions come from
+    File order is ``(_source_file, _source_part, _row_id)``. Positions come from
     ``position_in_group`` (bounded chunks, no window over a whole stock code); the
     two "first from the top" names are ``min`` aggregates of (order, text) structs,
     partial per chunk, then over the code's chunk rows.
@@ -154,18 +153,19 @@ def price_versions(snapshot: DataFrame) -> DataFrame:
         normalise_code("stock_code").alias("stock_code"),
         blank_to_null("description").alias("description_raw"),
         lenient_decimal("unit_price", 10, 2).alias("unit_price"),
-        *LINEAGE,
+        *FILE_ORDER,
+        "_ingested_at",
     )
     raw = F.col("description_raw")
 
     def first_from_top(cond: Column) -> Column:
-        return F.min(F.when(cond, F.struct("_source_file", "_row_id", raw.alias("text"))))
+        return F.min(F.when(cond, F.struct(*FILE_ORDER, raw.alias("text"))))
 
     ranked = position_in_group(
         rows,
         keys=["stock_code"],
-        order=["_source_file", "_row_id"],
-        chunk=[F.col("_source_file"), F.shiftright(F.col("_row_id"), 20)],
+        order=FILE_ORDER,
+        chunk=[F.col("_source_file"), F.col("_source_part"), chunk_of(F.col("_row_id"))],
         chunk_aggs=[
             ("_chunk_name", first_from_top(is_name_case(raw))),
             ("_chunk_text", first_from_top(raw.isNotNull())),
@@ -226,6 +226,8 @@ def typed_lines(bronze: DataFrame) -> DataFrame:
     )
 
 
-def clean_orders(bronze: DataFrame) -> DataFrame:
-    """One row per distinct line: the newest delivery (load, then row) wins."""
-    return conform(latest_per_key(typed_lines(bronze), ["order_line_id"]), schemas.SILVER_ORDERS)
+def clean_orders(bronze: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """One row per distinct line: the newest delivery (load, then row) wins. ``files`` lists the
+    delivered files (_source_file) where that is known; else it is read from ``bronze``."""
+    known = bronze.select("_source_file").distinct() if files is None else files
+    return conform(newest_copies(typed_lines(bronze), known), schemas.SILVER_ORDERS)

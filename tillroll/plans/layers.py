@@ -1,18 +1,17 @@
-"""The whole model as lazy DataFrames: feeds -> bronze -> silver -> gold.
+"""The whole model as DataFrames: feeds -> bronze -> silver -> gold.
 
 ``Layers`` wires the pure functions together. Every published table is
-``passed(evaluate(table, rules))`` of its inputs' *published* rows, exactly as a
-materialised pipeline would read them. Nothing here runs a job: a query touches
-only the subtree it needs and Catalyst optimises it end to end. The pipeline
-(``plans.pipeline``) writes the same DataFrames layer by layer instead.
+``published(evaluate(table, rules))`` of its inputs' *published* rows, exactly as a
+materialised pipeline would read them. The pipeline (``plans.pipeline``) writes the same
+DataFrames layer by layer instead.
 
 Pass ``bronze`` DataFrames to run the model on other inputs (tests, CSV landing).
 
-Layers that feed *several* consumers inside one plan (silver orders -> anchor
-month and fact; dim_product -> fact and the marts) are staged once as Parquet in
-the shared folder when a downstream layer is built (``stage=True``), like a
-materialised pipeline reads its own tables. The fact is consumed once per mart,
-so it stays lazy; a query that asks for a layer itself stays fully lazy.
+What runs a job, and what doesn't: silver tables, dim_customer and the marts' own plans
+are lazy. With ``stage=True`` two small tables that several branches of one plan read are
+written once, when a table below them is first asked for: published products (numbered in
+two passes) and dim_product. The fact is lazy too, and each mart reads only the columns it
+needs of it; ``share_fact()`` writes those columns once for callers that build several marts.
 """
 
 from __future__ import annotations
@@ -22,11 +21,16 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.operators import sinks
-from tillroll.operators.quality import evaluate, passed
+from tillroll.operators.quality import evaluate, published
 from tillroll.plans import clean, marts, rules, star
 from tillroll.sources import feeds
 
 
+MART_COLUMNS = [
+    "customer_id", "product_key", "quantity", "line_amount", "transaction_type", "is_revenue", "invoice_ts",
+]
+
+
 class Layers:
     def __init__(
         self,
@@ -38,27 +42,25 @@ class Layers:
         self.spark = spark
         self.sf_dir = sf_dir
         self._bronze = dict(bronze or {})
+        self._given = frozenset(self._bronze)
         self.stage = stage
 
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
         return sinks.stage(df, name) if self.stage else df
 
-    # inputs of downstream layers (staged once, read by every consumer)
-
-    @cached_property
-    def orders_for_gold(self) -> DataFrame:
-        return self._staged(self.silver_orders, "silver_orders")
+    # inputs of downstream layers
 
     @property
     def orders_for_anchor(self) -> DataFrame:
-        """Published orders as far as ``max(invoice_ts)`` can tell: the staged silver
-        orders when the fact already needs them, else the rule-checked lines
+        """Published orders as far as ``max(invoice_ts)`` can tell: the rule-checked lines
         *without* dedup (a max is unchanged by removing duplicates: copies share
         every typed field and rule outcome), i.e. one scan and a partial max."""
-        if "orders_for_gold" in self.__dict__:
-            return self.orders_for_gold
         lines = clean.typed_lines(self.bronze("orders"))
-        return passed(evaluate(lines, rules.SILVER_ORDERS))
+        return published(evaluate(lines, rules.SILVER_ORDERS))
+
+    @cached_property
+    def products_for_dim(self) -> DataFrame:
+        return self._staged(self.silver_products, "silver_products")
 
     @cached_property
     def dim_product_for_gold(self) -> DataFrame:
@@ -66,7 +68,12 @@ class Layers:
 
     @property
     def fact_for_marts(self) -> DataFrame:
-        return self.fact_sales
+        return self.__dict__.get("_shared_fact", self.fact_sales)
+
+    def share_fact(self) -> Layers:
+        """Write the columns of the fact that the marts read, once for all of them (a job)."""
+        self._shared_fact = sinks.stage(self.fact_sales.select(*MART_COLUMNS), "fact_for_marts")
+        return self
 
     def bronze(self, name: str) -> DataFrame:
         if name not in self._bronze:
@@ -87,7 +94,9 @@ class Layers:
 
     @cached_property
     def tagged_orders(self) -> DataFrame:
-        return evaluate(clean.clean_orders(self.bronze("orders")), rules.SILVER_ORDERS)
+        derived = self.sf_dir is not None and "orders" not in self._given
+        files = feeds.files(self.spark, "orders") if derived else None
+        return evaluate(clean.clean_orders(self.bronze("orders"), files), rules.SILVER_ORDERS)
 
     @cached_property
     def tagged_dim_customer(self) -> DataFrame:
@@ -96,13 +105,13 @@ class Layers:
     @cached_property
     def tagged_dim_product(self) -> DataFrame:
         return evaluate(
-            star.dim_product(self.silver_products, self.orders_for_anchor), rules.DIM_PRODUCT
+            star.dim_product(self.products_for_dim, self.orders_for_anchor), rules.DIM_PRODUCT
         )
 
     @cached_property
     def tagged_fact_sales(self) -> DataFrame:
         return evaluate(
-            star.fact_sales(self.orders_for_gold, self.dim_product_for_gold), rules.FACT_SALES
+            star.fact_sales(self.silver_orders, self.dim_product_for_gold), rules.FACT_SALES
         )
 
     @cached_property
@@ -136,43 +145,43 @@ class Layers:
 
     @property
     def silver_customers(self) -> DataFrame:
-        return passed(self.tagged_customers)
+        return published(self.tagged_customers)
 
     @property
     def silver_products(self) -> DataFrame:
-        return passed(self.tagged_products)
+        return published(self.tagged_products)
 
     @property
     def silver_orders(self) -> DataFrame:
-        return passed(self.tagged_orders)
+        return published(self.tagged_orders)
 
     @property
     def dim_customer(self) -> DataFrame:
-        return passed(self.tagged_dim_customer)
+        return published(self.tagged_dim_customer)
 
     @property
     def dim_product(self) -> DataFrame:
-        return passed(self.tagged_dim_product)
+        return published(self.tagged_dim_product)
 
     @property
     def fact_sales(self) -> DataFrame:
-        return passed(self.tagged_fact_sales)
+        return published(self.tagged_fact_sales)
 
     @property
     def top_countries_by_customers(self) -> DataFrame:
-        return passed(self.tagged_top_countries)
+        return published(self.tagged_top_countries)
 
     @property
     def revenue_by_country(self) -> DataFrame:
-        return passed(self.tagged_revenue_by_country)
+        return published(self.tagged_revenue_by_country)
 
     @property
     def price_vs_volume(self) -> DataFrame:
-        return passed(self.tagged_price_vs_volume)
+        return published(self.tagged_price_vs_volume)
 
     @property
     def top_price_drops(self) -> DataFrame:
-        return passed(self.tagged_top_price_drops)
+        return published(self.tagged_top_price_drops)
 
     # name -> (layer, tagged attribute, rules), in build order
     TABLES = {

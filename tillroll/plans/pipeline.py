@@ -1,40 +1,45 @@
 """Materialised run: landing -> bronze -> silver -> gold, with quality and run log.
 
-A run is plain function composition over stored Parquet tables:
-
-1. bronze: new ``<feed>_*.csv`` deliveries (files listed without reading them,
-   anti-joined on the delivered name; only new files are read) are appended with
-   one load timestamp, partitioned by ingest day.
-2. silver: the rows *of this run's load* are cleaned, checked and upserted
-   (orders: only the touched invoice months are rewritten). A replayed line has
-   the same key as the original, a customer's newest load replaces its country,
-   a products delivery is a full snapshot, so processing only the new load and
-   upserting gives the same table as re-reading all of bronze.
-3. gold: dimensions and marts are rebuilt from the stored silver/gold tables; the
-   fact (partitioned by month) is rebuilt in full only when the price dimension
-   changed, otherwise just the invoice months this run's orders touched.
-
-Every published table goes through ``publish``: the tagged rows are written
-once to the shared folder (lineage cut: no recomputation if an executor is
-lost, and one computation for counts, results, quarantine and publish), then
-``dq/results`` and ``dq/quarantine`` are appended and the passed rows written.
-A failing table marks the tables that depend on it SKIPPED; the rest still run.
+A run does whatever its tables have not taken in yet, so a step that failed (or a driver that
+died) is made up for by the next run. What a table has taken in is written to ``ops.state``
+*after* its rows are stored:
+
+1. bronze: deliveries that ``ops.ingested_files`` does not list are appended as one load (a folder
+   of its own) and then listed. A load folder that is not listed is the rest of a broken run
+   and is removed.
+2. silver: the bronze loads that the table has not taken in are cleaned, checked and upserted
+   (orders: only the touched invoice months are rewritten). Repeating a load changes nothing:
+   a replayed line has the same key, a customer's newest load gives its country, a products
+   delivery is a full snapshot.
+3. gold: dimensions and marts are rebuilt from the stored tables. The fact notes the content of
+   the price dimension that it was priced with and the loads it holds: if the dimension is
+   another one it is rebuilt, else only the months of the loads it lacks. The monthly
+   aggregates note the last change of the fact that they follow.
+
+``publish`` writes the tagged rows once to the shared folder, counts all rules in one aggregate over
+the two rule columns, then appends ``dq/results`` and ``dq/quarantine`` and writes the good
+rows. Whole tables are replaced atomically (``sinks.replace``). Everything staged is removed when
+the run ends. A failing table marks the tables that depend on it SKIPPED; the rest still run.
+Each table's line of the run log is written as it finishes.
 """
 
 from __future__ import annotations
 
+import json
+import time
 import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tillroll.operators import sinks
-from tillroll.operators.quality import evaluate, passed, quarantined, rule_results, table_counts
+from tillroll.operators.quality import Rule, counts, evaluate, published, quarantined
+from tillroll.operators.staging import Workspace
 from tillroll.plans import clean, marts, rules, schemas, star
-from tillroll.session import path_exists
+from tillroll.session import child_names, path_exists, remove_path
 from tillroll.sources import landing
 
 FEEDS = {
@@ -42,52 +47,13 @@ FEEDS = {
     "products": ("products_", schemas.BRONZE_PRODUCTS),
     "orders": ("orders_", schemas.BRONZE_ORDERS),
 }
-INGEST_DAY = "ingest_day"
-INVOICE_MONTH = "invoice_month"
+INGEST_DAY, LOAD_ID, INVOICE_MONTH = "ingest_day", "load_id", "invoice_month"
 
-
-def with_column(schema, name, type_name):
-    return schemas.ddl(
-        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema) + f", {name} {type_name}"
-    )
-
-
-@dataclass
-class Warehouse:
-    root: str
-
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name.replace('.', '/')}"
-
-    def read(self, spark: SparkSession, name: str, schema) -> DataFrame:
-        return sinks.read_table(spark, self.path(name), schema)
-
-    def register(self, spark: SparkSession) -> list[str]:
-        """Expose every stored table as ``<layer>.<table>`` in the session catalog
-        (external Parquet tables; partitions recovered), so the documented SQL runs
-        as is: ``spark.table("gold.revenue_by_country")``."""
-        registered = []
-        for name, schema in STORED_TABLES.items():
-            if not path_exists(spark, self.path(name)):
-                continue
-            database = name.split(".")[0]
-            spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-            partitioned = f"PARTITIONED BY (`{PARTITIONED[name]}`)" if name in PARTITIONED else ""
-            spark.sql(
-                f"CREATE TABLE {name} ({columns}) USING parquet {partitioned} "
-                f"LOCATION '{self.path(name)}'"
-            )
-            if name in PARTITIONED:
-                spark.catalog.recoverPartitions(name)
-            registered.append(name)
-        return registered
-
-
-BRONZE_STORED = {n: with_column(s, INGEST_DAY, "date") for n, (_, s) in FEEDS.items()}
-ORDERS_STORED = with_column(schemas.SILVER_ORDERS, INVOICE_MONTH, "date")
-FACT_STORED = with_column(schemas.FACT_SALES, INVOICE_MONTH, "date")
+BRONZE_STORED = {
+    n: schemas.with_column(schemas.with_column(s, INGEST_DAY, "date"), LOAD_ID, "string") for n, (_, s) in FEEDS.items()
+}
+ORDERS_STORED = schemas.with_column(schemas.SILVER_ORDERS, INVOICE_MONTH, "date")
+FACT_STORED = schemas.with_column(schemas.FACT_SALES, INVOICE_MONTH, "date")
 
 STORED_TABLES = {
     **{f"bronze.{n}": s for n, s in BRONZE_STORED.items()},
@@ -106,264 +72,317 @@ STORED_TABLES = {
     "dq.results": schemas.DQ_RESULTS,
     "dq.quarantine": schemas.DQ_QUARANTINE,
     "ops.run_log": schemas.RUN_LOG,
+    "ops.ingested_files": schemas.INGESTED_FILES,
+    "ops.state": schemas.STATE,
 }
-PARTITIONED = {
-    "bronze.customers": INGEST_DAY,
-    "bronze.products": INGEST_DAY,
-    "bronze.orders": INGEST_DAY,
-    "silver.orders": INVOICE_MONTH,
-    "gold.fact_sales": INVOICE_MONTH,
-    "gold.sales_by_customer_month": INVOICE_MONTH,
-    "gold.units_by_version_month": INVOICE_MONTH,
-    "dq.quarantine": "table_name",
+
+# what a table is built from: a table is skipped when one of these failed in the same run
+DEPENDS_ON = {
+    "bronze.customers": (),
+    "bronze.products": (),
+    "bronze.orders": (),
+    "silver.customers": ("bronze.customers",),
+    "silver.products": ("bronze.products",),
+    "silver.orders": ("bronze.orders",),
+    "gold.dim_customer": ("silver.customers",),
+    "gold.dim_product": ("silver.products", "silver.orders"),
+    "gold.fact_sales": ("silver.orders", "gold.dim_product"),
+    "gold.sales_by_customer_month": ("gold.fact_sales",),
+    "gold.units_by_version_month": ("gold.fact_sales",),
+    "gold.top_countries_by_customers": ("gold.dim_customer",),
+    "gold.revenue_by_country": ("gold.sales_by_customer_month", "gold.dim_customer"),
+    "gold.price_vs_volume": ("gold.units_by_version_month", "gold.dim_product"),
+    "gold.top_price_drops": ("gold.sales_by_customer_month", "gold.dim_product"),
 }
 
 
+def instant(micros: int) -> Column:
+    """An instant, whatever the session's time zone."""
+    return F.timestamp_micros(F.lit(micros))
+
+
+def now_micros() -> int:
+    return time.time_ns() // 1000
+
+
+def in_months(months: list[str]) -> Column:
+    """Literal filter on the month partitions (pruned at file listing)."""
+    return sinks.in_partitions(INVOICE_MONTH, [F.lit(m).cast("date") for m in months])
+
+
+@dataclass
+class Warehouse:
+    root: str
+
+    def path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/{name.replace('.', '/')}"
+
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
+        return sinks.read_table(spark, self.path(name), schema or STORED_TABLES[name])
+
+    def register(self, spark: SparkSession) -> list[str]:
+        """A temporary view ``<layer>_<table>`` of every stored table, as it is now: nothing of the
+        caller's catalog is touched. Returns the views' names."""
+        views = []
+        for name in STORED_TABLES:
+            if path_exists(spark, self.path(name)):
+                views.append(name.replace(".", "_"))
+                self.read(spark, name).createOrReplaceTempView(views[-1])
+        return views
+
+
+@dataclass
+class Outcome:
+    """Rows a step has seen, and how many of them were quarantined."""
+
+    rows: int
+    quarantined: int = 0
+
+
 class Run:
-    def __init__(self, spark: SparkSession, warehouse: Warehouse, landing_dir: str, run_id: str):
-        self.spark = spark
-        self.wh = warehouse
-        self.landing_dir = landing_dir
-        self.run_id = run_id
-        self.load_ts = datetime.now(timezone.utc).replace(tzinfo=None)
+    """One run. ``observer(step, phase)`` is called when a step starts ("start") and when its rows
+    are stored but not yet noted as taken in ("stored")."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        warehouse: Warehouse,
+        landing_dir: str,
+        run_id: str,
+        observer: Callable[[str, str], None] | None = None,
+    ):
+        self.spark, self.wh, self.landing_dir, self.run_id = spark, warehouse, landing_dir, run_id
+        self.observer = observer or (lambda step, phase: None)
+        self.micros = now_micros()
+        self.load = f"{self.micros:020d}"
         self.failed: set[str] = set()
-        self.log_rows: list[tuple] = []
-        self.tagged: dict[str, DataFrame] = {}
-        self.dim_product_changed = True
-
-    # ------------------------------------------------------------ bookkeeping
-
-    def _log(self, name, layer, status, started, total=None, published=None, quarantined_n=None, msg=None):
-        self.log_rows.append(
-            (self.run_id, name, layer, status, total, published, quarantined_n, msg, started,
-             datetime.now(timezone.utc).replace(tzinfo=None))
-        )
-
-    def step(self, name: str, layer: str, deps: tuple[str, ...], build: Callable[[], tuple[int, int]]):
-        started = datetime.now(timezone.utc).replace(tzinfo=None)
-        if any(d in self.failed for d in deps):
-            self.failed.add(name)
-            self._log(name, layer, "SKIPPED", started, msg="upstream failed")
-            return
-        try:
-            total, quarantined_n = build()
-        except Exception as exc:  # noqa: BLE001 - recorded in the run log
-            self.failed.add(name)
-            self._log(name, layer, "FAILED", started, msg=f"{type(exc).__name__}: {exc}"[:2000])
-            traceback.print_exc()
-        else:
-            self._log(name, layer, "SUCCESS", started, total, total - quarantined_n, quarantined_n)
+        self.modes: dict[str, str] = {}
+        self.work: Workspace
+
+    # ------------------------------------------------------------ what has been taken in
+
+    def read(self, name: str) -> DataFrame:
+        return self.wh.read(self.spark, name)
+
+    def notes(self, table: str) -> list[dict]:
+        """What the table has taken in so far, oldest first (a few rows per run)."""
+        rows = self.read("ops.state").filter(F.col("table_name") == table).orderBy("seq").collect()
+        return [json.loads(r["detail"]) | {"seq": r["seq"]} for r in rows]
+
+    def note(self, table: str, **detail) -> None:
+        self.observer(table, "stored")
+        row = self.spark.range(1).select(
+            F.lit(table).alias("table_name"), F.lit(now_micros()).alias("seq"),
+            F.lit(json.dumps(detail)).alias("detail"), instant(now_micros()).alias("committed_at"),
+        )
+        sinks.append(row, self.wh.path("ops.state"))
 
-    def publish(self, name: str, df: DataFrame, table_rules, write: Callable[[DataFrame], None]):
-        tagged = sinks.stage(evaluate(df, table_rules), name.replace(".", "_") + "_tagged")
-        self.tagged[name] = tagged
-        now = F.lit(self.load_ts.isoformat(" ")).cast("timestamp")
+    def loads_of(self, feed: str) -> dict[str, int]:
+        """Loads of a feed in bronze: load id -> instant (one per run that found deliveries)."""
+        rows = self.read("ops.ingested_files").filter(F.col("feed") == feed).select("load_id").distinct().collect()
+        return {r["load_id"]: int(r["load_id"]) for r in rows}
+
+    def taken_in(self, table: str) -> set[str]:
+        return {load for n in self.notes(table) for load in n["loads"]}
+
+    # ------------------------------------------------------------ one table
+
+    def publish(self, name: str, df: DataFrame, table_rules: tuple[Rule, ...], write: Callable[[DataFrame], None]) -> Outcome:
+        tagged = self.work.stage(evaluate(df, table_rules), name.replace(".", "_"))
+        got = tagged.agg(*counts(table_rules)).first()  # reads the two rule columns only
         if table_rules:
-            results = rule_results(tagged, table_rules, name).select(
-                F.lit(self.run_id).alias("run_id"), "table_name", "rule", "severity",
-                "failed_rows", "total_rows", now.alias("checked_at"),
-            )
-            sinks.append(results, self.wh.path("dq.results"))
-        bad = quarantined(tagged, name, self.run_id).withColumn("quarantined_at", now)
-        sinks.append(bad, self.wh.path("dq.quarantine"), ["table_name"])
-        write(passed(tagged))
-        counts = table_counts(tagged, name).first()
-        return counts["rows_total"], counts["rows_quarantined"]
+            lines = [
+                (self.run_id, name, r.name, r.severity, got[f"rule_{i}"], got["rows"]) for i, r in enumerate(table_rules)
+            ]
+            results = self.spark.createDataFrame(lines, StructType(schemas.DQ_RESULTS.fields[:-1]))
+            sinks.append(results.withColumn("checked_at", instant(self.micros)), self.wh.path("dq.results"))
+        if got["rejected"]:
+            bad = quarantined(tagged, name, self.run_id).withColumn("quarantined_at", instant(self.micros))
+            sinks.append(bad, self.wh.path("dq.quarantine"), ["table_name"])
+        write(published(tagged))
+        return Outcome(got["rows"], got["rejected"])
+
+    def replace(self, name: str) -> Callable[[DataFrame], None]:
+        return lambda good: sinks.replace(good, self.wh.path(name))
 
     # ------------------------------------------------------------ layers
 
-    def bronze(self, feed: str) -> tuple[int, int]:
+    def bronze(self, feed: str) -> Outcome:
         prefix, schema = FEEDS[feed]
-        stored = self.wh.read(self.spark, f"bronze.{feed}", BRONZE_STORED[feed])
-        files = landing.new_delivery_files(self.spark, self.landing_dir, prefix, stored)
-        if not files:
-            return 0, 0
-        new = landing.read_landing(
-            self.spark, self.landing_dir, prefix, schema,
-            load_ts=self.load_ts.isoformat(" "), files=files,
-        )
-        new = sinks.stage(new.withColumn(INGEST_DAY, F.to_date("_ingested_at")), f"bronze_{feed}_new")
-        sinks.append(new, self.wh.path(f"bronze.{feed}"), [INGEST_DAY])
-        return new.count(), 0
-
-    def this_load(self, feed: str) -> DataFrame:
-        stored = self.wh.read(self.spark, f"bronze.{feed}", BRONZE_STORED[feed])
-        # the same literal -> timestamp cast as at ingest (session time zone)
-        ts = F.lit(self.load_ts.isoformat(" ")).cast("timestamp")
-        rows = stored.filter((F.col(INGEST_DAY) == F.to_date(ts)) & (F.col("_ingested_at") == ts))
-        return rows.drop(INGEST_DAY)
-
-    def silver_customers(self):
-        df = clean.clean_customers(self.this_load("customers"))
-        return self.publish(
-            "silver.customers", df, rules.SILVER_CUSTOMERS,
-            lambda ok: sinks.upsert(self.spark, ok, self.wh.path("silver.customers"),
-                                    schemas.SILVER_CUSTOMERS, ["customer_id"]),
-        )
-
-    def silver_products(self):
-        df = clean.clean_products(self.this_load("products"))
-        return self.publish(
-            "silver.products", df, rules.SILVER_PRODUCTS,
-            lambda ok: sinks.upsert(self.spark, ok, self.wh.path("silver.products"),
-                                    schemas.SILVER_PRODUCTS, ["stock_code", "version"]),
-        )
-
-    def silver_orders(self):
-        df = clean.clean_orders(self.this_load("orders"))
-        month_name, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
-        return self.publish(
-            "silver.orders", df, rules.SILVER_ORDERS,
-            lambda ok: sinks.upsert(self.spark, ok.withColumn(month_name, month),
-                                    self.wh.path("silver.orders"), ORDERS_STORED,
-                                    ["order_line_id"], INVOICE_MONTH),
-        )
-
-    def _silver(self, name):
-        schema = {"customers": schemas.SILVER_CUSTOMERS, "products": schemas.SILVER_PRODUCTS,
-                  "orders": ORDERS_STORED}[name]
-        return self.wh.read(self.spark, f"silver.{name}", schema)
-
-    def _gold(self, name, schema):
-        return self.wh.read(self.spark, f"gold.{name}", schema)
-
-    def _overwrite(self, name, partition_by=(), keys=()):
-        def write(ok: DataFrame) -> None:
-            if partition_by:
-                ok = sinks.clustered_by(ok, partition_by[0], keys)
-            ok.write.mode("overwrite").partitionBy(*partition_by).parquet(self.wh.path(name))
-
-        return write
-
-    def gold(self, name: str):
-        g = lambda n, s: self._gold(n, s)
-        if name == "dim_customer":
-            df, table_rules = star.dim_customer(self._silver("customers")), rules.DIM_CUSTOMER
-        elif name == "dim_product":
-            return self.gold_dim_product()
-        elif name == "fact_sales":
-            return self.gold_fact_sales()
-        elif name in ("sales_by_customer_month", "units_by_version_month"):
-            return self.gold_monthly(name)
+        self.remove_unlisted_loads(feed)
+        listed = self.read("ops.ingested_files").filter(F.col("feed") == feed).select("file").collect()
+        names = landing.new_deliveries(self.spark, self.landing_dir, prefix, [r["file"] for r in listed])
+        if not names:
+            return Outcome(0)
+        rows = landing.read_deliveries(self.spark, self.landing_dir, names, schema, instant(self.micros))
+        rows = rows.withColumn(INGEST_DAY, F.to_date("_ingested_at")).withColumn(LOAD_ID, F.lit(self.load))
+        sinks.append(rows, self.wh.path(f"bronze.{feed}"), [INGEST_DAY, LOAD_ID])
+        self.observer(f"bronze.{feed}", "stored")
+        files = self.spark.createDataFrame([(feed, n, self.load) for n in names], "feed string, file string, load_id string")
+        sinks.append(files.withColumn("ingested_at", instant(self.micros)), self.wh.path("ops.ingested_files"))
+        return Outcome(self.read(f"bronze.{feed}").filter(F.col(LOAD_ID) == self.load).count())
+
+    def remove_unlisted_loads(self, feed: str) -> None:
+        path, listed = self.wh.path(f"bronze.{feed}"), self.loads_of(feed)
+        for day in child_names(self.spark, path):
+            for folder in child_names(self.spark, f"{path}/{day}") if day.startswith(f"{INGEST_DAY}=") else ():
+                if folder.partition("=")[2] not in listed:
+                    remove_path(self.spark, f"{path}/{day}/{folder}")
+
+    def silver(self, feed: str) -> Outcome:
+        name = f"silver.{feed}"
+        pending = sorted(set(self.loads_of(feed)) - self.taken_in(name))
+        new = self.read(f"bronze.{feed}").filter(sinks.in_partitions(LOAD_ID, pending)).drop(INGEST_DAY, LOAD_ID)
+        schema, path = STORED_TABLES[name], self.wh.path(name)
+        if feed == "customers":
+            df, keys, month = clean.clean_customers(new), ["customer_id"], None
+        elif feed == "products":
+            df, keys, month = clean.clean_products(new), ["stock_code", "version"], None
         else:
-            # marts read the maintained monthly aggregates, not the fact
-            sales = g("sales_by_customer_month", schemas.SALES_BY_CUSTOMER_MONTH)
-            units = g("units_by_version_month", schemas.UNITS_BY_VERSION_MONTH)
-            per_customer = (
-                sales.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
-                .filter(F.col("revenue").isNotNull())  # customers with revenue lines only
-            )
-            per_version = units.groupBy("product_key").agg(F.sum("units").alias("units"))
-            dim_c = g("dim_customer", schemas.DIM_CUSTOMER)
-            dim_p = g("dim_product", schemas.DIM_PRODUCT)
-            df, table_rules = {
-                "top_countries_by_customers": (marts.top_countries_by_customers(dim_c),
-                                               rules.TOP_COUNTRIES_BY_CUSTOMERS),
-                "revenue_by_country": (marts.revenue_by_country(None, dim_c, per_customer),
-                                       rules.REVENUE_BY_COUNTRY),
-                "price_vs_volume": (marts.price_vs_volume(None, dim_p, per_version),
-                                    rules.PRICE_VS_VOLUME),
-                "top_price_drops": (marts.top_price_drops(sales, dim_p, ts="last_invoice_ts"),
-                                    rules.TOP_PRICE_DROPS),
-            }[name]
-        return self.publish(f"gold.{name}", df, table_rules, self._overwrite(f"gold.{name}"))
-
-    def gold_dim_product(self):
-        """Rebuild the price dimension and note whether it changed (a new products
-        snapshot or a new anchor month re-dates versions, so every fact month may
-        be priced differently)."""
-        path = self.wh.path("gold.dim_product")
-        before = None
-        if path_exists(self.spark, path):  # small table: keep a copy to compare with
-            before = sinks.stage(self._gold("dim_product", schemas.DIM_PRODUCT), "dim_product_before")
-        orders = self._silver("orders").drop(INVOICE_MONTH)
-        df = star.dim_product(self._silver("products"), orders)
-        counts = self.publish("gold.dim_product", df, rules.DIM_PRODUCT, self._overwrite("gold.dim_product"))
-        after = self._gold("dim_product", schemas.DIM_PRODUCT)
-        self.dim_product_changed = before is None or not (
-            before.exceptAll(after).isEmpty() and after.exceptAll(before).isEmpty()
-        )
-        return counts
-
-    def gold_fact_sales(self):
-        """Full rebuild when the price dimension changed; otherwise only the invoice
-        months this run's orders touched are recomputed and overwritten (dynamic
-        partition overwrite), the other months are left as they are."""
-        month_name, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
-        dim = self._gold("dim_product", schemas.DIM_PRODUCT)
-        orders = self._silver("orders")
-        path = self.wh.path("gold.fact_sales")
-        incremental = (
-            not self.dim_product_changed
-            and "silver.orders" in self.tagged
-            and path_exists(self.spark, path)
-        )
-        if incremental:
-            touched = sinks.partition_values(
-                passed(self.tagged["silver.orders"]).select(month.alias(month_name)), month_name
-            )
-            self.touched_months = touched
-            orders = orders.filter(sinks.in_partitions(month_name, touched))  # pruned scan
-        fact = star.fact_sales(orders.drop(month_name), dim).withColumn(month_name, month)
-
-        def write(ok: DataFrame) -> None:
-            ok = sinks.clustered_by(ok, month_name, ["order_line_id"])
-            writer = ok.write.mode("overwrite").partitionBy(month_name)
-            if incremental:
-                writer = writer.option("partitionOverwriteMode", "dynamic")
-            writer.parquet(path)
-
-        self.fact_mode = "incremental" if incremental else "full"
-        return self.publish("gold.fact_sales", fact, rules.FACT_SALES, write)
-
-    def gold_monthly(self, name: str):
-        """Monthly aggregates of the fact, recomputed for the fact's touched months
-        only (or in full when the fact was rebuilt in full)."""
-        build = {
-            "sales_by_customer_month": marts.sales_by_customer_month,
-            "units_by_version_month": marts.units_by_version_month,
-        }[name]
-        path = self.wh.path(f"gold.{name}")
-        fact = self._gold("fact_sales", FACT_STORED)
-        incremental = getattr(self, "fact_mode", "full") == "incremental" and path_exists(self.spark, path)
-        if incremental:
-            fact = fact.filter(sinks.in_partitions(INVOICE_MONTH, self.touched_months))
-
-        def write(ok: DataFrame) -> None:
-            writer = ok.write.mode("overwrite").partitionBy(INVOICE_MONTH)
-            if incremental:
-                writer = writer.option("partitionOverwriteMode", "dynamic")
-            writer.parquet(path)
-
-        return self.publish(f"gold.{name}", build(fact, INVOICE_MONTH), (), write)
+            files = self.read("ops.ingested_files").filter(F.col("feed") == feed).select(F.col("file").alias("_source_file"))
+            df, keys, month = clean.clean_orders(new, files), ["order_line_id"], INVOICE_MONTH
+
+        months: list = []
+
+        def write(good: DataFrame) -> None:
+            if month:
+                good = good.withColumn(month, sinks.month_partition("invoice_ts")[1])
+                months.extend(sinks.partition_values(good, month))
+            sinks.upsert(self.spark, good, path, schema, keys, month)
+
+        out = self.publish(name, df, rules.BY_TABLE[name], write)
+        if pending:
+            self.note(name, loads=pending, months=[str(m) for m in months])
+        return out
+
+    def dim_customer(self) -> Outcome:
+        df = star.dim_customer(self.read("silver.customers"))
+        return self.publish("gold.dim_customer", df, rules.DIM_CUSTOMER, self.replace("gold.dim_customer"))
+
+    def dim_product(self) -> Outcome:
+        df = star.dim_product(self.read("silver.products"), self.read("silver.orders").drop(INVOICE_MONTH))
+        return self.publish("gold.dim_product", df, rules.DIM_PRODUCT, self.replace("gold.dim_product"))
+
+    def prices(self) -> str:
+        """Fingerprint of the price dimension's content (order does not matter)."""
+        dim = self.read("gold.dim_product")
+        got = dim.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64(*dim.columns)).alias("x")).first()
+        return f"{got['n']}:{got['x']}"
+
+    def fact_sales(self) -> Outcome:
+        name, path = "gold.fact_sales", self.wh.path("gold.fact_sales")
+        orders, prices = self.read("silver.orders"), self.prices()
+        notes, held = self.notes(name), self.taken_in(name)
+        new = [n for n in self.notes("silver.orders") if not held.issuperset(n["loads"])]
+        pending = sorted({load for n in new for load in n["loads"]})
+        months = sorted({m for n in new for m in n["months"]})
+        full = not notes or notes[-1]["prices"] != prices
+        if not full:
+            orders = orders.filter(in_months(months))
+        month = sinks.month_partition("invoice_ts")[1]
+        fact = star.fact_sales(orders.drop(INVOICE_MONTH), self.read("gold.dim_product")).withColumn(INVOICE_MONTH, month)
+
+        def write(good: DataFrame) -> None:
+            if full:
+                sinks.replace(good, path, [INVOICE_MONTH], ["order_line_id"])
+            else:
+                sinks.overwrite_partitions(good, sinks.content_path(self.spark, path), INVOICE_MONTH, ["order_line_id"])
+
+        self.modes[name] = "full" if full else "months"
+        out = self.publish(name, fact, rules.FACT_SALES, write)
+        if full or pending:
+            self.note(name, loads=pending, prices=prices, months=None if full else months)
+        return out
+
+    def monthly(self, table: str) -> Outcome:
+        """Monthly aggregates of the fact: the months that changed since the last one taken in."""
+        name, path = f"gold.{table}", self.wh.path(f"gold.{table}")
+        build, key = {
+            "sales_by_customer_month": (marts.sales_by_customer_month, "customer_id"),
+            "units_by_version_month": (marts.units_by_version_month, "product_key"),
+        }[table]
+        last = max((n["follows"] for n in self.notes(name)), default=-1)
+        changes = [n for n in self.notes("gold.fact_sales") if n["seq"] > last]
+        full = last < 0 or any(n["months"] is None for n in changes)
+        fact = self.read("gold.fact_sales")
+        if not full:
+            months = sorted({m for n in changes for m in n["months"]})
+            fact = fact.filter(in_months(months))
+
+        def write(good: DataFrame) -> None:
+            if full:
+                sinks.replace(good, path, [INVOICE_MONTH], [key])
+            else:
+                sinks.overwrite_partitions(good, sinks.content_path(self.spark, path), INVOICE_MONTH, [key])
+
+        self.modes[name] = "full" if full else "months"
+        out = self.publish(name, build(fact, INVOICE_MONTH), (), write)
+        if changes:
+            self.note(name, follows=changes[-1]["seq"])
+        return out
+
+    def mart(self, table: str) -> Outcome:
+        """The marts read the maintained monthly aggregates, not the fact."""
+        sales, units = self.read("gold.sales_by_customer_month"), self.read("gold.units_by_version_month")
+        dim_c, dim_p = self.read("gold.dim_customer"), self.read("gold.dim_product")
+        if table == "top_countries_by_customers":
+            df = marts.top_countries_by_customers(dim_c)
+        elif table == "revenue_by_country":
+            per_customer = sales.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
+            df = marts.revenue_by_country(None, dim_c, per_customer.filter("revenue IS NOT NULL"))
+        elif table == "price_vs_volume":
+            df = marts.price_vs_volume(None, dim_p, units.groupBy("product_key").agg(F.sum("units").alias("units")))
+        else:
+            df = marts.top_price_drops(sales, dim_p, ts="last_invoice_ts")
+        name = f"gold.{table}"
+        return self.publish(name, df, rules.BY_TABLE[name], self.replace(name))
+
+    def build(self, name: str) -> Outcome:
+        layer, table = name.split(".")
+        if layer in ("bronze", "silver"):
+            return getattr(self, layer)(table)
+        if table in ("dim_customer", "dim_product", "fact_sales"):
+            return getattr(self, table)()
+        return self.monthly(table) if table.endswith("_month") else self.mart(table)
 
     # ------------------------------------------------------------ run
 
+    def log(self, name: str, started: int, status: str, out: Outcome | None = None, message: str | None = None) -> None:
+        row = (
+            self.run_id, name, name.split(".")[0], status, out and out.rows, out and out.rows - out.quarantined,
+            out and out.quarantined, message,
+        )
+        frame = self.spark.createDataFrame([row], StructType(schemas.RUN_LOG.fields[:-2]))
+        frame = frame.withColumn("started_at", instant(started)).withColumn("finished_at", instant(now_micros()))
+        sinks.append(frame.coalesce(1), self.wh.path("ops.run_log"))
+
     def run(self) -> str:
-        for feed in FEEDS:
-            self.step(f"bronze.{feed}", "bronze", (), lambda f=feed: self.bronze(f))
-        self.step("silver.customers", "silver", ("bronze.customers",), self.silver_customers)
-        self.step("silver.products", "silver", ("bronze.products",), self.silver_products)
-        self.step("silver.orders", "silver", ("bronze.orders",), self.silver_orders)
-        gold_deps = {
-            "dim_customer": ("silver.customers",),
-            "dim_product": ("silver.products", "silver.orders"),
-            "fact_sales": ("silver.orders", "gold.dim_product"),
-            "sales_by_customer_month": ("gold.fact_sales",),
-            "units_by_version_month": ("gold.fact_sales",),
-            "top_countries_by_customers": ("gold.dim_customer",),
-            "revenue_by_country": ("gold.sales_by_customer_month", "gold.dim_customer"),
-            "price_vs_volume": ("gold.units_by_version_month", "gold.dim_product"),
-            "top_price_drops": ("gold.sales_by_customer_month", "gold.dim_product"),
-        }
-        for name, deps in gold_deps.items():
-            self.step(f"gold.{name}", "gold", deps, lambda n=name: self.gold(n))
-        log = self.spark.createDataFrame(self.log_rows, schemas.RUN_LOG)
-        sinks.append(log, self.wh.path("ops.run_log"))
+        with Workspace(self.spark, f"run-{self.load}") as self.work:
+            for name, inputs in DEPENDS_ON.items():
+                started = now_micros()
+                if self.failed.intersection(inputs):
+                    self.failed.add(name)
+                    self.log(name, started, "SKIPPED", message="upstream failed")
+                    continue
+                try:
+                    self.observer(name, "start")
+                    out = self.build(name)
+                except Exception as exc:  # noqa: BLE001 - recorded in the run log, raised at the end
+                    self.failed.add(name)
+                    traceback.print_exc()
+                    self.log(name, started, "FAILED", message="".join(traceback.format_exception_only(exc)).strip())
+                else:
+                    self.log(name, started, "SUCCESS", out)
         if self.failed:
             raise RuntimeError(f"run {self.run_id}: failed or skipped: {sorted(self.failed)}")
         return self.run_id
 
 
-def run_pipeline(spark: SparkSession, warehouse_root: str, landing_dir: str, run_id: str) -> str:
-    return Run(spark, Warehouse(warehouse_root), landing_dir, run_id).run()
+def run_pipeline(
+    spark: SparkSession,
+    warehouse_root: str,
+    landing_dir: str,
+    run_id: str,
+    observer: Callable[[str, str], None] | None = None,
+) -> str:
+    return Run(spark, Warehouse(warehouse_root), landing_dir, run_id, observer).run()

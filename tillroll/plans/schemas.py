@@ -52,11 +52,18 @@ def ddl(text: str) -> StructType:
     return StructType(fields)
 
 
-BRONZE_CUSTOMERS = ddl(f"customer_id string, country string, {LINEAGE}")
-BRONZE_PRODUCTS = ddl(f"stock_code string, description string, unit_price string, {LINEAGE}")
+def with_column(schema: StructType, name: str, type_name: str) -> StructType:
+    return StructType([*schema.fields, StructField(name, _TYPES[type_name])])
+
+
+# bronze also keeps the part file inside a delivery: (_source_file, _source_part, _row_id) is
+# the order of the delivery
+BRONZE_LINEAGE = "_source_file string, _source_part string, _row_id bigint, _ingested_at timestamp"
+BRONZE_CUSTOMERS = ddl(f"customer_id string, country string, {BRONZE_LINEAGE}")
+BRONZE_PRODUCTS = ddl(f"stock_code string, description string, unit_price string, {BRONZE_LINEAGE}")
 BRONZE_ORDERS = ddl(
     "invoice_no string, stock_code string, quantity string, invoice_date string, "
-    f"customer_id string, {LINEAGE}"
+    f"customer_id string, {BRONZE_LINEAGE}"
 )
 
 SILVER_CUSTOMERS = ddl(f"customer_id bigint, country string, countries string, {LINEAGE}")
@@ -107,6 +114,10 @@ RUN_LOG = ddl(
     "finished_at timestamp"
 )
 
+# deliveries that are in bronze; what each table has taken in (JSON)
+INGESTED_FILES = ddl("feed string, file string, load_id string, ingested_at timestamp")
+STATE = ddl("table_name string, seq bigint, detail string, committed_at timestamp")
+
 # maintained monthly aggregates of the fact (incremental marts)
 SALES_BY_CUSTOMER_MONTH = ddl(
     "invoice_month date, customer_id bigint, revenue decimal(38,2), last_invoice_ts timestamp_ntz"

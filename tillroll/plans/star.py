@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.keys import surrogate_key
 from tillroll.operators.asof import asof_join
-from tillroll.operators.ranking import position_in_group
+from tillroll.operators.ranking import chunk_of, position_in_group
 from tillroll.operators.schema import conform
 from tillroll.plans import schemas
 from tillroll.plans.clean import CANCELLATION, NON_REVENUE, SALE
@@ -69,7 +69,7 @@ def dim_product(silver_products: DataFrame, silver_orders: DataFrame) -> DataFra
         silver_products,
         keys=["stock_code"],
         order=["version"],
-        chunk=[F.shiftright(F.col("version"), 20)],
+        chunk=[chunk_of(F.col("version"))],
     )
     valid_from, valid_to = scd2_validity(F.col("_position"), F.col("_group_size"), anchor)
     dated = (

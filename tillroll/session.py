@@ -33,20 +33,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster-wide scratch folder named by ``spark.checkpoint.dir``.
+    """The scratch folder that all executors share: ``spark.checkpoint.dir``, else the folder
+    given to ``SparkContext.setCheckpointDir``.
 
-    On a cluster this must be a shared filesystem (HDFS/S3/...), never a machine-local
-    temp folder. Only when the session leaves it unset (tests, laptops) do we create
-    one under the local temp dir.
+    If neither is set, a local master (tests, laptops) gets a temporary folder. On a
+    cluster that is an error: executors would write to disks that nobody else sees.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not folder:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(conf_dir)
-    return conf_dir.rstrip("/")
+        sc.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
@@ -54,46 +55,29 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_dir(spark), "tillroll", *parts, uuid.uuid4().hex])
 
 
-def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Spark settings sized for a job reading ``input_bytes`` on ``cores`` cores.
-
-    Shuffle partitions start at ~one per ``partition_bytes`` of input (never fewer
-    than 2 per core, capped at 100k); AQE coalesces small ones and splits skewed
-    ones at run time, so the number only has to be large enough for the biggest
-    stage to fit in executor memory. Scan splits use the same target size.
-    """
-    shuffle = min(max(input_bytes // partition_bytes, 2 * cores), 100_000)
-    return {
-        "spark.sql.shuffle.partitions": str(int(shuffle)),
-        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
-    }
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
+def fs_path(spark: SparkSession, path: str):
+    """(Hadoop FileSystem, Path) of a path string, so that every store Spark reads works."""
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether ``path`` exists on the session's Hadoop FileSystem."""
-    fs, hpath = _fs_path(spark, path)
+    fs, hpath = fs_path(spark, path)
     return bool(fs.exists(hpath))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names directly below a folder ([] if it does not exist)."""
+    fs, hpath = fs_path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath))
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Recursively delete ``path`` through the Hadoop FileSystem of the session
     (works for local, HDFS and object-store paths alike)."""
-    fs, hpath = _fs_path(spark, path)
+    fs, hpath = fs_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
-
-
-def stage_root(spark: SparkSession) -> str:
-    """Folder of the layers staged by ``operators.sinks.stage`` in this application."""
-    return f"{shared_dir(spark)}/tillroll/stage/{spark.sparkContext.applicationId}"

@@ -28,6 +28,11 @@ SOURCE_COUNTRY_BY_NATION = [" EIRE ", "RSA", "USA", "Unspecified", "European Com
 LOAD_TS = {1: "2024-01-01 00:00:00", 2: "2024-01-02 00:00:00"}
 
 
+def files(spark: SparkSession, feed: str) -> DataFrame:
+    """The delivered files of a feed, one per load."""
+    return spark.createDataFrame([(f"{feed}_{load}.csv",) for load in LOAD_TS], "_source_file string")
+
+
 def load_ts(load: Column | int) -> Column:
     """Deterministic ingestion time of a load (one instant per load)."""
     load = F.lit(load) if isinstance(load, int) else load
@@ -99,6 +104,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("customers_"), F.col("load").cast("string"), F.lit(".csv")).alias(
             "_source_file"
         ),
+        F.lit("").alias("_source_part"),  # a plain file
         F.col("_row_id"),
         load_ts(F.col("load")).alias("_ingested_at"),
     )
@@ -134,6 +140,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         description.alias("description"),
         unit_price.alias("unit_price"),
         F.concat(F.lit("products_"), load.cast("string"), F.lit(".csv")).alias("_source_file"),
+        F.lit("").alias("_source_part"),  # a plain file
         (pk * 10 + F.greatest(n, F.lit(0))).alias("_row_id"),
         load_ts(load).alias("_ingested_at"),
     )
@@ -190,6 +197,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("orders_"), F.col("load").cast("string"), F.lit(".csv")).alias(
             "_source_file"
         ),
+        F.lit("").alias("_source_part"),  # a plain file
         (ok * 100 + F.col("l_linenumber") * 2 + F.col("load")).alias("_row_id"),
         load_ts(F.col("load")).alias("_ingested_at"),
     )

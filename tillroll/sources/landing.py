@@ -1,105 +1,114 @@
 """Landing folder: delivered CSV files -> bronze rows.
 
-A delivery is a file ``<prefix>*.csv`` directly below the landing folder. It may be
-a plain file or a Spark-written dataset (a directory of that name holding part
-files); both are read the same way. Source columns are read positionally as
-nullable strings with the declared names; a UTF-8 byte-order mark in the header is
-harmless.
+A delivery is a file ``<prefix>*.csv`` directly below the landing folder, or a folder of that
+name that holds part files (a dataset as Spark writes it). Source columns are read by
+position as nullable strings; a byte-order mark in the header is harmless.
+
+The folder may be given in any form that Spark accepts (``file:///``, relative, with spaces or
+doubled slashes): it is qualified by its file system, and a row's delivery is what stands below
+it in the row's own file path, decoded. A row from anywhere else is an error, never dropped.
 
 Bronze metadata:
-- ``_source_file``: the delivered file name (``_metadata.file_path``)
-- ``_row_id``:      ``monotonically_increasing_id()``, increasing with the position
-                    inside a file (splits of one file keep offset order); order
-                    rows *across* files by ``(_source_file, _row_id)``
-- ``_ingested_at``: one instant per load (``current_timestamp()`` is constant
-                    within a query, or pass ``load_ts``)
+- ``_source_file``: name of the delivery
+- ``_source_part``: path of the part file inside the delivery ('' for a plain file)
+- ``_row_id``:      place in the part: byte offset of the split plus the row's number in it.
+                    A split has no more rows than bytes, so the order of
+                    ``(_source_file, _source_part, _row_id)`` is the order of the delivery,
+                    however Spark packs splits into tasks
+- ``_ingested_at``: one instant per load
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
+
+from tillroll.session import child_names, fs_path
+
+_ROWS_OF_A_TASK = (1 << 33) - 1  # monotonically_increasing_id: the row number in its task
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with scheme and absolute path, as Hadoop writes it."""
+    fs, path = fs_path(spark, folder)
+    return fs.makeQualified(path).toString()
+
+
+def literal_glob(path: str) -> str:
+    """A path that Spark's globbing takes literally."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+
+
+def _encoded(spark: SparkSession, folder: str) -> str:
+    """The folder as it begins a file's ``_metadata.file_path``, slashes after the scheme made one."""
+    _, path = fs_path(spark, qualified(spark, folder))
+    return re.sub(r"^([A-Za-z][\w+.-]*):/+", r"\1:/", path.toUri().toString().rstrip("/"))
+
 
+def _decoded(c: Column) -> Column:
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
-def source_schema(bronze_schema: StructType) -> StructType:
-    """The bronze schema without metadata columns, all strings."""
-    return StructType(
-        [StructField(f.name, StringType()) for f in bronze_schema if not f.name.startswith("_")]
+
+def lineage(spark: SparkSession, landing_dir: str, file_path: Column, block_start: Column) -> dict[str, Column]:
+    """The lineage columns of a row, from where it was read."""
+    folder = _encoded(spark, landing_dir) + "/"
+    path = F.regexp_replace(file_path, r"^([A-Za-z][\w+.-]*):/+", "$1:/")
+    below = F.when(F.startswith(path, F.lit(folder)), F.substring(path, len(folder) + 1, F.length(path))).otherwise(
+        F.raise_error(F.concat(F.lit(f"not below the landing folder {folder}: "), path)).cast("string")
     )
+    name = F.substring_index(below, "/", 1)
+    return {
+        "_source_file": _decoded(name),
+        "_source_part": _decoded(F.substring(below, F.length(name) + 2, F.length(below))),
+        "_row_id": block_start + F.monotonically_increasing_id().bitwiseAND(_ROWS_OF_A_TASK),
+    }
 
 
-def delivery_name_pattern(landing_dir: str, prefix: str) -> str:
-    """Regex whose group 1 is the delivery name in a file path: the path component
-    right below the landing folder, when it is ``<prefix>*.csv``."""
-    folder = re.escape(landing_dir.rstrip("/").split(":", 1)[-1])
-    return folder + r"/(" + re.escape(prefix) + r"[^/]*\.csv)(/|$)"
+def text_columns(bronze_schema: StructType) -> str:
+    """DDL of the source columns of a bronze table: all text."""
+    return ", ".join(f"`{name}` string" for name in bronze_schema.names if name[0] != "_")
 
 
-def delivered_file(landing_dir: str, prefix: str):
-    """Name of the delivery a row came from ('' when not a ``<prefix>`` delivery)."""
-    return F.regexp_extract(F.col("_metadata.file_path"), delivery_name_pattern(landing_dir, prefix), 1)
+def deliveries(spark: SparkSession, landing_dir: str, prefix: str) -> list[str]:
+    """Names of the ``<prefix>*.csv`` deliveries in the folder (a listing, no content is read)."""
+    return [n for n in child_names(spark, landing_dir) if n.startswith(prefix) and n.endswith(".csv")]
 
 
-def read_landing(
-    spark: SparkSession,
-    landing_dir: str,
-    prefix: str,
-    bronze_schema: StructType,
-    load_ts: str | None = None,
-    files: list[str] | None = None,
+def read_deliveries(
+    spark: SparkSession, landing_dir: str, names: Sequence[str], bronze_schema: StructType, ingested_at: Column
 ) -> DataFrame:
-    """S1/S3/S4/S5: every ``<prefix>*.csv`` delivery (or only ``files``) as bronze rows."""
-    reader = (
-        spark.read.schema(source_schema(bronze_schema))
+    """S1/S3/S4/S5: the rows of the named deliveries; other files are not read."""
+    columns = text_columns(bronze_schema)
+    if not names:
+        return spark.createDataFrame([], bronze_schema)
+    folder = qualified(spark, landing_dir)
+    raw = (
+        spark.read.schema(columns)
         .option("header", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-    )
-    rows = (
-        (reader.csv(landing_dir) if files is None else reader.csv(files))
-        .withColumn("_source_file", delivered_file(landing_dir, prefix))
-        .filter(F.col("_source_file") != "")
+        .csv([literal_glob(f"{folder}/{n}") for n in names])
+        .select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"))
     )
-    ingested = F.lit(load_ts).cast("timestamp") if load_ts else F.current_timestamp()
-    return rows.withColumn("_row_id", F.monotonically_increasing_id()).withColumn(
-        "_ingested_at", ingested
-    )
-
+    found = lineage(spark, landing_dir, F.col("_path"), F.col("_start"))
+    return raw.withColumns({**found, "_ingested_at": ingested_at}).select(*bronze_schema.names)
 
-def new_delivery_files(
-    spark: SparkSession, landing_dir: str, prefix: str, bronze: DataFrame
-) -> list[str]:
-    """S2/J7 at file level: paths of ``<prefix>*.csv`` deliveries not loaded yet.
 
-    Files are listed by the ``binaryFile`` source with only its ``path`` column, so
-    no file content is read; the anti-join on the delivered name runs in Spark and
-    only the new paths (one per new delivery, i.e. metadata) reach the driver to
-    plan the read. Old deliveries are never read again.
-    """
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(landing_dir)
-        .select("path")
-    )
-    name = F.regexp_extract("path", delivery_name_pattern(landing_dir, prefix), 1)
-    listed = listed.withColumn("_source_file", name).filter(
-        F.col("_source_file") != ""
-    )
-    loaded = bronze.select("_source_file").distinct()
-    new = listed.join(loaded, "_source_file", "left_anti")
-    return sorted(r["path"] for r in new.select("path").collect())
+def read_landing(
+    spark: SparkSession, landing_dir: str, prefix: str, bronze_schema: StructType, ingested_at: Column | None = None
+) -> DataFrame:
+    """Every ``<prefix>*.csv`` delivery as bronze rows of one load."""
+    instant = F.current_timestamp() if ingested_at is None else ingested_at
+    return read_deliveries(spark, landing_dir, deliveries(spark, landing_dir, prefix), bronze_schema, instant)
 
 
-def new_deliveries(landing: DataFrame, bronze: DataFrame) -> DataFrame:
-    """S2/J7: rows of deliveries not loaded yet (anti-join on the file name; the
-    loaded-name side is one row per delivered file, so it is broadcast by size)."""
-    loaded = bronze.select("_source_file").distinct()
-    return landing.join(loaded, "_source_file", "left_anti")
+def new_deliveries(spark: SparkSession, landing_dir: str, prefix: str, loaded: Iterable[str]) -> list[str]:
+    """S2/J7: names of the deliveries that are not loaded yet, whatever their age."""
+    known = set(loaded)
+    return [n for n in deliveries(spark, landing_dir, prefix) if n not in known]
 
 
 def write_delivery(df: DataFrame, landing_dir: str, file_name: str) -> None:

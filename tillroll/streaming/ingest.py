@@ -1,69 +1,115 @@
-"""Incremental landing ingest with Structured Streaming (exactly-once per file).
+"""Incremental landing ingest with Structured Streaming (exactly once per file).
 
 The file source keeps the set of processed files in the query checkpoint, so a
-delivery is read once no matter how often the job runs, and nothing already
-loaded is listed into an IN-list or re-read. ``trigger(availableNow=True)``
-processes whatever has landed, in bounded micro-batches, then stops: the
-"hourly/daily rerun" schedule of a batch pipeline, without its re-reads.
-
-Each micro-batch is one load: ``foreachBatch`` stamps it with a single
-``_ingested_at`` and appends it to bronze (``monotonically_increasing_id`` is not
-allowed on a streaming plan, but is inside ``foreachBatch``). A replayed batch
-(after a failure) rewrites the same files under the same batch id, so bronze is
-not duplicated: the batch id is part of the output path.
+delivery is read once no matter how often the job runs, and old deliveries are not
+listed or read again. ``trigger(availableNow=True)`` processes whatever has landed and
+stops. ``max_files_per_trigger`` only paces the work:
+
+- A run is one load: all its micro-batches carry one ``_ingested_at``, so a delivery of many
+  part files is never split into two loads. The instant is kept beside the checkpoint until the
+  run has ended, so a run that takes up a broken one goes on with the same load.
+- Files are picked up by name at any age (the source's default forgets old ones).
+- Only the feed's own files are listed and read.
+
+A replayed batch rewrites the same folder (its number is part of the path), so bronze has no
+duplicates.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tillroll.sources.landing import delivered_file, source_schema
+from tillroll.operators import sinks
+from tillroll.operators.quality import evaluate, published
+from tillroll.plans import clean, rules, schemas
+from tillroll.session import child_names, fs_path, remove_path
+from tillroll.sources.landing import lineage, literal_glob, qualified, text_columns
 
+ANY_AGE = "36500d"
+LOAD_MARK = "open-load-"
+INVOICE_MONTH = "invoice_month"
+SILVER_ORDERS_BY_MONTH = schemas.with_column(schemas.SILVER_ORDERS, INVOICE_MONTH, "date")
 
-def ingest_available(
+
+def open_load(spark: SparkSession, folder: str) -> int:
+    """Instant (microseconds) of the load that is under way, or of a new one."""
+    open_ = [n for n in child_names(spark, folder) if n.startswith(LOAD_MARK)]
+    if open_:
+        return int(open_[0][len(LOAD_MARK) :])
+    micros = time.time_ns() // 1000
+    fs, mark = fs_path(spark, f"{folder}/{LOAD_MARK}{micros}")
+    fs.create(mark, False).close()
+    return micros
+
+
+def close_load(spark: SparkSession, folder: str) -> None:
+    for name in child_names(spark, folder):
+        if name.startswith(LOAD_MARK):
+            remove_path(spark, f"{folder}/{name}")
+
+
+def _run_available(
     spark: SparkSession,
     landing_dir: str,
     prefix: str,
     bronze_schema: StructType,
     bronze_path: str,
     checkpoint_path: str,
-    max_files_per_trigger: int = 1000,
+    max_files_per_trigger: int,
+    then: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Append every not-yet-ingested ``<prefix>*.csv`` delivery to bronze, then stop."""
+    """Write every micro-batch of new rows to its bronze folder, then pass it on as stored."""
+    loads = f"{checkpoint_path.rstrip('/')}-load"
+    instant: Column = F.timestamp_micros(F.lit(open_load(spark, loads)))
     stream = (
-        spark.readStream.schema(source_schema(bronze_schema))
+        spark.readStream.schema(text_columns(bronze_schema))
         .option("header", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
+        .option("maxFileAge", ANY_AGE)
         .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(landing_dir)
-        .withColumn("_source_file", delivered_file(landing_dir, prefix))
-        .filter(F.col("_source_file") != "")
+        .csv(f"{literal_glob(qualified(spark, landing_dir))}/{literal_glob(prefix)}*.csv")
+        .select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("_start"))
     )
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_row_id", F.monotonically_increasing_id()).withColumn(
-            "_ingested_at", F.current_timestamp()
-        )
-        rows.select(*[f.name for f in bronze_schema]).write.mode("overwrite").parquet(
-            f"{bronze_path.rstrip('/')}/batch={batch_id}"
-        )
-
-    query = (
+        found = lineage(spark, landing_dir, F.col("_path"), F.col("_start"))
+        folder = f"{bronze_path.rstrip('/')}/batch={batch_id}"
+        rows = batch.withColumns({**found, "_ingested_at": instant}).select(*bronze_schema.names)
+        rows.write.mode("overwrite").parquet(folder)
+        if then is not None:
+            then(spark.read.schema(bronze_schema).parquet(folder))
+
+    (
         stream.writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint_path)
         .trigger(availableNow=True)
         .start()
+        .awaitTermination()
     )
-    query.awaitTermination()
+    close_load(spark, loads)
+
+
+def ingest_available(
+    spark: SparkSession,
+    landing_dir: str,
+    prefix: str,
+    bronze_schema: StructType,
+    bronze_path: str,
+    checkpoint_path: str,
+    max_files_per_trigger: int = 1000,
+) -> None:
+    """Append every not-yet-ingested ``<prefix>*.csv`` delivery to bronze, then stop."""
+    _run_available(spark, landing_dir, prefix, bronze_schema, bronze_path, checkpoint_path, max_files_per_trigger)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, bronze_schema: StructType) -> DataFrame:
-    """All ingested rows (every batch directory)."""
-    names = [f.name for f in bronze_schema]
-    return spark.read.parquet(bronze_path).select(*names)
+    """All ingested rows (every batch folder)."""
+    return sinks.read_table(spark, bronze_path, bronze_schema)
 
 
 def stream_orders_to_silver(
@@ -76,52 +122,19 @@ def stream_orders_to_silver(
 ) -> None:
     """Orders deliveries -> bronze (append) -> silver (keyed upsert), per micro-batch.
 
-    Each micro-batch is one load. Its lines are cleaned, deduplicated on the content
-    key, checked, and upserted into the month-partitioned silver table: a replayed
-    line (same key) replaces its earlier copy, a new line is inserted, and only the
-    invoice months the batch touches are rewritten. A replayed micro-batch after a
-    failure rewrites the same bronze batch folder and upserts the same keys again,
-    so the result does not change (idempotent).
+    Lines are cleaned, deduplicated on the content key, checked, and upserted into the
+    month-partitioned silver table: a replayed line replaces its earlier copy, a new line
+    is inserted, and only the months the batch touches are rewritten. A repeated
+    micro-batch upserts the same keys again, so the result does not change.
     """
-    from tillroll.operators import sinks
-    from tillroll.operators.quality import evaluate, passed
-    from tillroll.plans import clean, rules, schemas
-
-    bronze_schema = schemas.BRONZE_ORDERS
-    month_name = "invoice_month"
-    silver_schema = schemas.ddl(
-        ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.SILVER_ORDERS)
-        + f", {month_name} date"
-    )
-    stream = (
-        spark.readStream.schema(source_schema(bronze_schema))
-        .option("header", True)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
-        .csv(landing_dir)
-        .withColumn("_source_file", delivered_file(landing_dir, "orders_"))
-        .filter(F.col("_source_file") != "")
-    )
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_row_id", F.monotonically_increasing_id()).withColumn(
-            "_ingested_at", F.current_timestamp()
-        )
-        bronze_batch = f"{bronze_path.rstrip('/')}/batch={batch_id}"
-        rows.select(*[f.name for f in bronze_schema]).write.mode("overwrite").parquet(bronze_batch)
-        landed = spark.read.parquet(bronze_batch)  # lineage cut: the batch as stored
-        published = passed(evaluate(clean.clean_orders(landed), rules.SILVER_ORDERS))
-        _, month = sinks.month_partition("invoice_ts", month_name)
+    def to_silver(landed: DataFrame) -> None:
+        good = published(evaluate(clean.clean_orders(landed), rules.SILVER_ORDERS))
+        _, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
         sinks.upsert(
-            spark, published.withColumn(month_name, month), silver_path, silver_schema,
-            ["order_line_id"], month_name,
+            spark, good.withColumn(INVOICE_MONTH, month), silver_path, SILVER_ORDERS_BY_MONTH, ["order_line_id"], INVOICE_MONTH
         )
 
-    query = (
-        stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(availableNow=True)
-        .start()
+    _run_available(
+        spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint_path, max_files_per_trigger, to_silver
     )
-    query.awaitTermination()
