@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import decontam, langmix, packing, probminhash, toxicity
-from tillroll.llm.common import Workspace, table
+from tillroll.llm.common import session_workspace, table
 from tillroll.llm.queries import MAX_TOKENS, TOKENIZER, packed_digests
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -70,7 +70,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ws = Workspace(spark, "pipeline")
+    ws = session_workspace(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = ws.stage(stage(spark, docs, sf_dir), name)

@@ -1,5 +1,8 @@
 """Shared helpers: table scans, staged tables, and vectorised scanning of words.
 
+Operators stage tables in the session's workspace below the shared folder: their results are
+lazy and may read them until ``staging.release`` or the end of the application removes them.
+
 Words are found on UTF-8 bytes. ``letters_and_digits`` lower-cases A-Z and turns every
 ASCII character that is neither a letter nor a digit into a space, so that a word is a
 run of letters, digits and non-ASCII characters. Word n-grams are hashed straight from
@@ -10,18 +13,16 @@ over words. Hashes only select candidates; results are always verified on the wo
 
 from __future__ import annotations
 
-import atexit
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.session import remove_path, scratch_path
+from tillroll.operators.staging import Workspace, session_workspace
 from tillroll.sources.tables import table
 
-__all__ = ["table", "Workspace", "letters_and_digits", "word_spans", "ngram_hashes"]
+__all__ = ["Workspace", "letters_and_digits", "ngram_hashes", "session_workspace", "table", "word_spans"]
 
 _FOLD = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32
@@ -33,41 +34,6 @@ _P_INV = pow(_P, -1, 1 << 64)
 _STEP_WORDS = 1 << 17
 
 
-class Workspace:
-    """Tables that one operator call writes to the shared folder and reads again.
-
-    A staged table cuts the lineage: a lost executor re-reads files instead of redoing
-    the stages before. The folder is removed by ``close()`` or, as a returned DataFrame
-    may still read it, when the application ends.
-    """
-
-    _open: list["Workspace"] = []
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.path = spark, f"{scratch_path(spark, 'llm')}-{name}"
-        if not Workspace._open:
-            atexit.register(Workspace._close_all)
-        Workspace._open.append(self)
-
-    def stage(self, df: DataFrame, name: str) -> DataFrame:
-        path = f"{self.path}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def close(self) -> None:
-        if self in Workspace._open:
-            Workspace._open.remove(self)
-            remove_path(self.spark, self.path)
-
-    @staticmethod
-    def _close_all() -> None:
-        for ws in list(Workspace._open):
-            try:
-                ws.close()
-            except Exception:  # the session is already gone; nothing else can be done
-                return
-
-
 def letters_and_digits(text: bytes) -> bytes:
     """The words of ``text``, lower-cased (A-Z) and joined by single spaces."""
     return b" ".join(text.translate(_FOLD).split())

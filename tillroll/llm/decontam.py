@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Workspace, bit_table, in_table, letters_and_digits, ngram_hashes, slices, word_spans
+from tillroll.llm.common import bit_table, in_table, letters_and_digits, ngram_hashes, session_workspace, slices, word_spans
 
 WINDOWS = "item_id long, words string, n int, shingles array<long>"
 PLACES = "doc_id long, n_words long, places array<struct<pos:int,hash:long,first:int,words:string>>"
@@ -106,7 +106,7 @@ def contamination(
 ) -> DataFrame:
     """Per document row: doc_id, n_words, n_hit (words inside a window's occurrence), items
     (ids whose windows occur, as sorted strings), contaminated (``share * n_hit >= n_words``)."""
-    ws = Workspace(spark, "decontam")
+    ws = session_workspace(spark)
     items = ws.stage(benchmark_windows(benchmark, window, shingle), "items")
     windows = ws.stage(
         items.groupBy("words", "n", "shingles").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")),

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Workspace, letters_and_digits, slices
+from tillroll.llm.common import letters_and_digits, session_workspace, slices
 
 VOCABULARY = 1 << 12
 UNK, BOS, FIRST = 0, 1, 2
@@ -187,7 +187,7 @@ def score(spark: SparkSession, documents: DataFrame, ids: dict[bytes, int], mode
 
 def cross_entropy_difference(spark: SparkSession, documents: DataFrame, target_ids: DataFrame) -> DataFrame:
     """Scores all documents; the target set is the documents whose doc_id is in ``target_ids``."""
-    ws = Workspace(spark, "lmscore")
+    ws = session_workspace(spark)
     wanted = ws.stage(target_ids.select("doc_id").filter("doc_id is not null").distinct(), "target")
     target = documents.join(wanted, "doc_id", "left_semi")
     return score(spark, documents, *train(spark, documents, target))

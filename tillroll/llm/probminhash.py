@@ -47,6 +47,7 @@ from tillroll.llm.common import (
     letters_and_digits,
     mix,
     ngram_hashes,
+    session_workspace,
     slices,
     word_spans,
 )
@@ -281,7 +282,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document row: uid (its place in the table), doc_id, class_id (the least
     doc_id of its group), group_size, kept (true for one row of each group)."""
-    ws = Workspace(spark, "minhash")
+    ws = session_workspace(spark)
     docs = ws.stage(document_signatures(documents, bands * rows).withColumn("uid", F.monotonically_increasing_id()), "signatures")
     classes = ws.stage(
         docs.filter(F.col("words_hash").isNotNull()).groupBy("words_hash")
