@@ -13,7 +13,7 @@ over words. Hashes only select candidates; results are always verified on the wo
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -115,8 +115,24 @@ def fresh(name: str, taken: list[str]) -> str:
     return name
 
 
-def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20) -> Iterator:
-    """Cut Arrow batches into pieces of about ``most_bytes`` of the column ``weigh``."""
+_KEPT: dict[str, object] = {}
+
+
+def kept(name: str, make: Callable[[], object]):
+    """An object that a worker process keeps from task to task (a cache)."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20, keep: bool = False) -> Iterator:
+    """Cut Arrow batches into pieces of about ``most_bytes`` of the column ``weigh``.
+
+    A worker process serves tasks of one operator after the other; a task that doesn't ``keep``
+    what the ones before have kept drops it, so that the operators' caches don't add up.
+    """
+    if not keep:
+        _KEPT.clear()
     for batch in batches:
         if batch.num_rows == 0:
             continue

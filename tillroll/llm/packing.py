@@ -48,7 +48,7 @@ def pack(documents: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = cache(tokenizer_path)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", keep=True):
             texts = [t or b"" for t in b.column("text").to_pylist()]
             rows: list[tuple] = []
             for doc, ids in zip(b.column("doc_id").to_pylist(), tok.ids(texts)):

@@ -100,7 +100,7 @@ def token_counts(
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = cache(tokenizer_path)
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", keep=True):
             texts = [t or b"" for t in b.column("text").to_pylist()]
             n = [len(i) // 4 for i in tok.ids(texts)]
             yield pa.RecordBatch.from_arrays(
@@ -124,7 +124,7 @@ def token_counts(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         library = cache(tokenizer_path).library
-        for b in slices(batches, "piece", 1 << 20):
+        for b in slices(batches, "piece", 1 << 20, keep=True):
             rows = []
             pieces = b.column("piece").to_pylist()
             for r, e in zip(b.to_pylist(), library.encode_batch(pieces, add_special_tokens=False)):

@@ -42,7 +42,7 @@ class WordCache:
     between them; it cuts texts before anything else is done, so each word is encoded alone.
     """
 
-    def __init__(self, path: str, most: int = 1_600_000):
+    def __init__(self, path: str, most: int = 800_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -86,11 +86,6 @@ class WordCache:
         return out
 
 
-_CACHES: dict[str, WordCache] = {}
-
-
 def cache(path: str) -> WordCache:
-    """One cache per worker process and vocabulary file."""
-    if path not in _CACHES:
-        _CACHES[path] = WordCache(path)
-    return _CACHES[path]
+    """The worker's cache of a vocabulary file."""
+    return kept(f"words of {path}", lambda: WordCache(path))
