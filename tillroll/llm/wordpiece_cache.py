@@ -20,6 +20,8 @@ import re
 
 import numpy as np
 
+from tillroll.llm.common import kept
+
 
 SEPARATOR = "<|startoftext|>"  # a special string of the vocabulary: texts on its sides don't meet
 _TOGETHER, _LONGEST = 512, 64
