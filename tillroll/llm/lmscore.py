@@ -189,5 +189,6 @@ def cross_entropy_difference(spark: SparkSession, documents: DataFrame, target_i
     """Scores all documents; the target set is the documents whose doc_id is in ``target_ids``."""
     ws = session_workspace(spark)
     wanted = ws.stage(target_ids.select("doc_id").filter("doc_id is not null").distinct(), "target")
-    target = documents.join(wanted, "doc_id", "left_semi")
+    # the target set grows with the corpus, so texts and ids are dealt by id at every size
+    target = documents.select("doc_id", "text").join(wanted.hint("merge"), "doc_id", "left_semi")
     return score(spark, documents, *train(spark, documents, target))
