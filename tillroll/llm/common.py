@@ -13,9 +13,11 @@ over words. Hashes only select candidates; results are always verified on the wo
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,6 +127,14 @@ def kept(name: str, make: Callable[[], object]):
     return _KEPT[name]
 
 
+def _give_back() -> None:
+    """Returns what earlier tasks have freed to the system; allocators hold it for the process."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20, keep: bool = False) -> Iterator:
     """Cut Arrow batches into pieces of about ``most_bytes`` of the column ``weigh``.
 
@@ -133,6 +143,7 @@ def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20, keep: bool
     """
     if not keep:
         _KEPT.clear()
+    _give_back()
     for batch in batches:
         if batch.num_rows == 0:
             continue
