@@ -226,3 +226,23 @@ def test_scores_are_those_of_the_formulas(spark):
     empty = lmscore.cross_entropy_difference(spark, docs.filter("false"), ids)
     assert empty.count() == 0
     assert lmscore.cross_entropy_difference(spark, docs, ids.filter("false")).filter("ce_diff is not null").count() == 60
+
+
+def test_every_word_of_a_large_vocabulary_has_its_own_counts(spark, monkeypatch):
+    r = random.Random(9)
+    words = [f"w{i}" for i in range(9000)]
+    texts = {i: " ".join(["the", *(r.choice(words) if r.random() < 0.8 else "the" for _ in range(60))]) for i in range(400)}
+    target = list(range(0, 400, 4))
+    distinct = len({w for t in texts.values() for w in t.split()})
+    assert distinct > lmscore.VOCABULARY
+    monkeypatch.setattr(lmscore, "SLICE_BYTES", 20_000)
+    monkeypatch.setattr(lmscore, "BUCKET", 3_000)
+    docs = frame(spark, [(i, t, None) for i, t in texts.items()]).repartition(3)
+    got = lmscore.cross_entropy_difference(spark, docs, spark.createDataFrame([(i,) for i in target], "doc_id long")).collect()
+    monkeypatch.setattr(lmscore, "VOCABULARY", distinct + lmscore.FIRST)  # brute_scores: a cell for each word
+    want = brute_scores(texts, target)
+    assert len(got) == 400
+    for x in got:
+        n, t, b = want[x["doc_id"]]
+        assert x["n_tokens"] == n
+        assert x["ce_target"] == pytest.approx(t, rel=1e-9) and x["ce_background"] == pytest.approx(b, rel=1e-9)
