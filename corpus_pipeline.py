@@ -22,9 +22,9 @@ LEAST_SHARE = 0.5
 MOST_TOXIC = 0.5
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    """The documents with the row number that the operators give them (docs is a Parquet scan)."""
-    return docs.select(*COLUMNS).withColumn("uid", F.monotonically_increasing_id())
+def _rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The documents with a row key, stored once: a number made anew by a second scan may differ."""
+    return session_workspace(spark).stage(docs.select(*COLUMNS).withColumn("uid", F.monotonically_increasing_id()), "rows")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,14 +42,16 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group."""
-    dropped = probminhash.near_duplicates(spark, docs).filter(~F.col("kept")).select("uid")
-    return _rows(docs).join(dropped, "uid", "left_anti").select(*COLUMNS)
+    rows = _rows(spark, docs)
+    dropped = probminhash.near_duplicates(spark, rows, uid="uid").filter(~F.col("kept")).select("uid")
+    return rows.join(dropped, "uid", "left_anti").select(*COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold benchmark passages by the contamination rule."""
-    found = decontam.contamination(spark, docs, table(spark, sf_dir, "benchmark")).filter("contaminated").select("uid")
-    return _rows(docs).join(found, "uid", "left_anti").select(*COLUMNS)
+    rows = _rows(spark, docs)
+    found = decontam.contamination(spark, rows, table(spark, sf_dir, "benchmark"), uid="uid").filter("contaminated").select("uid")
+    return rows.join(found, "uid", "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,3 +71,32 @@ def test_odd_rows_go_through_every_stage(spark):
     for df in (odd, extra, odd.filter("false")):
         for _, stage in cp.STAGES:
             stage(spark, df, SF).collect()
+
+
+def test_rows_keep_their_key_when_a_later_scan_is_cut_otherwise(spark, tmp_path, monkeypatch):
+    spark.read.parquet(f"{SF}/documents.parquet").repartition(4, "doc_id").write.parquet(str(tmp_path / "docs"))
+    size = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(size)
+
+    def recut(f):
+        def run(*args, **more):
+            got = f(*args, **more)
+            spark.conf.set(size, str(1 << 40))  # from here on a file each, as when the number of cores has changed
+            return got
+
+        return run
+
+    monkeypatch.setattr(cp.probminhash, "near_duplicates", recut(cp.probminhash.near_duplicates))
+    monkeypatch.setattr(cp.decontam, "contamination", recut(cp.decontam.contamination))
+    for stage in (cp.deduplicated, cp.decontaminated):
+        kept = []
+        for change in (False, True):
+            spark.conf.set(size, "0")
+            spark.conf.set("spark.sql.files.minPartitionNum", "1")
+            got = stage(spark, docs := spark.read.parquet(str(tmp_path / "docs")), SF)
+            if not change:
+                spark.conf.set(size, "0")
+            kept.append(ids(got))
+        spark.conf.set(size, before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        assert kept[0] == kept[1] and 0 < len(kept[0]) < docs.count()

@@ -18,7 +18,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.operators.staging import Workspace, session_workspace
@@ -50,6 +50,12 @@ def word_spans(joined: bytes) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.concatenate([gaps, [len(joined)]])
 
 
+def row_key(uid: str | None) -> Column:
+    """The rows' key as ``uid``: the column of that name, else a number. The number changes with
+    the scan's partitions, so it only holds within what is staged with it."""
+    return (F.monotonically_increasing_id() if uid is None else F.col(uid).cast("long")).alias("uid")
+
+
 class _Powers:
     """P**i and P**-i (mod 2**64), grown on demand."""
 

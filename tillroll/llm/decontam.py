@@ -31,10 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bit_table, in_table, letters_and_digits, ngram_hashes, session_workspace, slices, word_spans
+from tillroll.llm.common import bit_table, in_table, letters_and_digits, ngram_hashes, row_key, session_workspace, slices, word_spans
 
 WINDOWS = "item_id long, words string, n int, shingles array<long>"
-PLACES = "doc_id long, n_words long, places array<struct<pos:int,hash:long,first:int,words:string>>"
+PLACES = "uid long, doc_id long, n_words long, places array<struct<pos:int,hash:long,first:int,words:string>>"
 
 
 def _shingle_hashes(joined: bytes, k: int, spans) -> np.ndarray:
@@ -67,7 +67,9 @@ def benchmark_windows(benchmark: DataFrame, window: int, shingle: int) -> DataFr
     return source.mapInArrow(run, WINDOWS)
 
 
-def document_places(documents: DataFrame, table: np.ndarray, sizes: list[int], window: int, shingle: int) -> DataFrame:
+def document_places(
+    documents: DataFrame, table: np.ndarray, sizes: list[int], window: int, shingle: int, uid: str | None = None
+) -> DataFrame:
     """Per document its number of words and the places whose shingle may be a benchmark's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,10 +90,11 @@ def document_places(documents: DataFrame, table: np.ndarray, sizes: list[int], w
                 counts.append(total)
                 places.append(found)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(places, place)], ["doc_id", "n_words", "places"]
+                [b.column("uid"), b.column("doc_id"), pa.array(counts, pa.int64()), pa.array(places, place)],
+                ["uid", "doc_id", "n_words", "places"],
             )
 
-    source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    source = documents.select(row_key(uid), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return source.mapInArrow(run, PLACES)
 
 
@@ -103,8 +106,9 @@ def contamination(
     shingle: int = 5,
     salts: int = 32,
     share: int = 20,
+    uid: str | None = None,
 ) -> DataFrame:
-    """Per document row: doc_id, n_words, n_hit (words inside a window's occurrence), items
+    """Per document row: uid (its key in the column ``uid``, else a number of its own), doc_id, n_words, n_hit (words inside a window's occurrence), items
     (ids whose windows occur, as sorted strings), contaminated (``share * n_hit >= n_words``)."""
     ws = session_workspace(spark)
     items = ws.stage(benchmark_windows(benchmark, window, shingle), "items")
@@ -116,10 +120,7 @@ def contamination(
     sizes = [r[0] for r in windows.select(F.least(F.col("n"), F.lit(shingle))).distinct().collect()]  # at most `shingle` values
     table = bit_table(shingles, "hash")
 
-    docs = ws.stage(
-        document_places(documents, table, sorted(sizes), window, shingle).withColumn("uid", F.monotonically_increasing_id()),
-        "places",
-    )
+    docs = ws.stage(document_places(documents, table, sorted(sizes), window, shingle, uid), "places")
     places = docs.filter(F.size("places") > 0).select("uid", F.explode("places").alias("p")).select("uid", "p.*")
     seen = places.groupBy("hash").agg(F.count(F.lit(1)).alias("freq"))
     rarest = (

@@ -47,6 +47,7 @@ from tillroll.llm.common import (
     letters_and_digits,
     mix,
     ngram_hashes,
+    row_key,
     session_workspace,
     slices,
     word_spans,
@@ -57,7 +58,7 @@ SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 50, 8
 #: deviations below the threshold for BANDS * ROWS registers.
 ESTIMATE = 0.72
 BLOCK, BLOCK_BYTES = 256, 8 << 20
-SIGNATURES = "doc_id long, words_hash binary, signature binary"
+SIGNATURES = "uid long, doc_id long, words_hash binary, signature binary"
 
 
 def weighted_shingles(joined: bytes, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +121,7 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (same - 1 / 256) / (1 - 1 / 256)
 
 
-def document_signatures(documents: DataFrame, registers: int) -> DataFrame:
+def document_signatures(documents: DataFrame, registers: int, uid: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             keys, sets, at = [], [], []
@@ -134,13 +135,12 @@ def document_signatures(documents: DataFrame, registers: int) -> DataFrame:
             for i, s in zip(at, signatures(sets, registers)):
                 rows[i] = s.tobytes()
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())],
-                ["doc_id", "words_hash", "signature"],
+                [b.column("uid"), b.column("doc_id"), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())],
+                ["uid", "doc_id", "words_hash", "signature"],
             )
 
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, SIGNATURES
-    )
+    columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")]
+    return documents.select(row_key(uid), *columns).mapInArrow(run, SIGNATURES)
 
 
 def class_words(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
@@ -278,12 +278,14 @@ def _links_of_blocks(threshold: float):
 
 
 def near_duplicates(
-    spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """One row per document row: uid (its place in the table), doc_id, class_id (the least
-    doc_id of its group), group_size, kept (true for one row of each group)."""
+    spark: SparkSession, documents: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
+    uid: str | None = None,
+) -> DataFrame:
+    """One row per document row: uid (its key in the column ``uid``, else a number of its own),
+    doc_id, class_id (the least doc_id of its group), group_size, kept (true for one row of each
+    group)."""
     ws = session_workspace(spark)
-    docs = ws.stage(document_signatures(documents, bands * rows).withColumn("uid", F.monotonically_increasing_id()), "signatures")
+    docs = ws.stage(document_signatures(documents, bands * rows, uid), "signatures")
     classes = ws.stage(
         docs.filter(F.col("words_hash").isNotNull()).groupBy("words_hash")
         .agg(F.min("uid").alias("class"), F.first("signature").alias("signature")), "classes",
