@@ -103,6 +103,20 @@ def test_odd_rows_of_toxicity(spark):
     assert toxicity.score(spark, docs.filter("false"), model).count() == 0
 
 
+def test_every_occurrence_counts_in_fit_and_scoring(spark):
+    text = "vile " * 70_000 + "word " * 2_000 + "once"
+    cells, times = toxicity.word_cells(text.encode())
+    assert sorted(times.tolist()) == [1, 2_000, 70_000]  # words of four letters have no beginnings
+    weights = np.zeros(toxicity.CELLS, np.float32)
+    weights[cells[times == 2_000]] = 0.25
+    model = toxicity.ToxicityModel(weights, -1.0)
+    docs = frame(spark, [(1, text, None), (2, None, None), (3, "a b b", None)])
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark, docs, model).collect()}
+    assert got[1] == pytest.approx(1 / (1 + math.exp(1.0 - 0.25 * math.log(2_001))))
+    sample = toxicity._sample(docs, docs.select("doc_id"), 10)
+    assert sorted(sorted(t.tolist()) for _, t in sample) == [[], [1, 2], [1, 2_000, 70_000]]
+
+
 # ---- quality ----
 
 

@@ -43,7 +43,11 @@ def word_cells(text: bytes | None) -> Features:
     spans = word_spans(joined)
     hashes = [ngram_hashes(joined, 1, spans), *prefix_hashes(joined, BEGINNINGS, spans)]
     cells, times = np.unique((np.concatenate(hashes) & np.uint64(CELLS - 1)).astype(np.int32), return_counts=True)
-    return cells, np.minimum(times, 255).astype(np.uint8)
+    return cells, times.astype(np.min_scalar_type(int(times.max(initial=0))))  # the narrowest type that holds them
+
+
+def _value(times: np.ndarray) -> np.ndarray:
+    return np.log1p(times, dtype=np.float64).astype(np.float32)
 
 
 @dataclass(frozen=True)
@@ -53,13 +57,12 @@ class ToxicityModel:
 
     def score(self, text: bytes | None) -> float:
         cells, times = word_cells(text)
-        z = self.intercept + float(self.weights[cells] @ _LOG[times])
+        z = self.intercept + float(self.weights[cells] @ _value(times))
         if z == -np.inf:  # there was nothing to learn from
             return 0.0
         return float(1.0 / (1.0 + np.exp(-np.clip(z, -50, 50))))
 
 
-_LOG = np.log1p(np.arange(256)).astype(np.float32)
 NEVER = ToxicityModel(np.zeros(CELLS, np.float32), -np.inf)
 
 
@@ -71,7 +74,7 @@ def differing(positive: list[Features], unlabelled: list[Features], least_z: flo
     """Cells seen in ``least`` texts or more whose mean value differs between P and U."""
     seen, sums, squares = np.zeros(CELLS), [], []
     for group in (positive, unlabelled):
-        cells, values = np.concatenate([c for c, _ in group]), _LOG[np.concatenate([t for _, t in group])].astype(float)
+        cells, values = np.concatenate([c for c, _ in group]), _value(np.concatenate([t for _, t in group])).astype(float)
         seen += np.bincount(cells, minlength=CELLS)
         sums.append(np.bincount(cells, weights=values, minlength=CELLS))
         squares.append(np.bincount(cells, weights=values**2, minlength=CELLS))
@@ -92,7 +95,7 @@ def fit(
     place[used] = np.arange(len(used))
 
     def chosen(group: list[Features]) -> list[tuple[np.ndarray, np.ndarray]]:
-        return [((p := place[c])[p >= 0], _LOG[t[p >= 0]].astype(float)) for c, t in group]
+        return [((p := place[c])[p >= 0], _value(t[p >= 0]).astype(float)) for c, t in group]
 
     pos, unl = chosen(positive), chosen(unlabelled)
     rng = np.random.default_rng(seed)
@@ -145,7 +148,8 @@ def _sample(documents: DataFrame, ids: DataFrame, most: int) -> list[Features]:
     texts = documents.select("doc_id", F.col("text").cast("binary").alias("text")).join(F.broadcast(picked), "doc_id")
     got = texts.select("text").mapInArrow(run, "cells array<int>, times binary").limit(2 * most).toArrow()
     return [
-        (c.values.to_numpy(), np.frombuffer(t.as_py(), np.uint8)) for c, t in zip(got.column("cells"), got.column("times"))
+        (cells := c.values.to_numpy(), np.frombuffer(raw := t.as_py(), f"u{len(raw) // max(len(cells), 1) or 1}"))
+        for c, t in zip(got.column("cells"), got.column("times"))
     ]
 
 
