@@ -81,6 +81,18 @@ def test_asof_join_is_an_equi_join_not_a_nested_loop(spark):
     assert re.search(r"(SortMergeJoin|BroadcastHashJoin|ShuffledHashJoin).*LeftOuter", text)
 
 
+def test_months_of_the_as_of_join_are_arithmetic(spark):
+    text = plan(Layers(spark, SF001).fact_sales)
+    assert "lambda" not in text and "filter(" not in text
+    assert "_source_file" not in text and "max_by" not in text  # no lineage in the fact
+
+
+def test_orders_are_never_exchanged_by_file(spark):
+    text = plan(Layers(spark, SF001).silver_orders)
+    assert re.search(r"BroadcastHashJoin \[_file", text) and "SortMergeJoin [_file" not in text
+    assert not re.search(r"hashpartitioning\(_file#\d+L, \d+\)", text)  # the two names are, to make them distinct
+
+
 def test_revenue_mart_aggregates_before_joining_customers(spark):
     layers = Layers(spark, SF001, stage=False)
     df = marts.revenue_by_country(layers.fact_sales, layers.dim_customer)

@@ -11,9 +11,10 @@ from tillroll.functions.text import col
 def content_hash(*parts: Column | str) -> Column:
     """SHA-256 (hex) of the parts joined by ``|``, NULL parts as empty text.
 
-    Identical normalised content gives the same key, so replayed lines collapse.
+    Identical normalised content gives the same key, so replayed lines collapse. Never NULL, and
+    said so to Catalyst: readers that only ask whether there is a key don't compute it.
     """
-    return F.sha2(F.concat_ws("|", *[F.coalesce(col(p), F.lit("")) for p in parts]), 256)
+    return F.coalesce(F.sha2(F.concat_ws("|", *[F.coalesce(col(p), F.lit("")) for p in parts]), 256), F.lit(""))
 
 
 def surrogate_key(*parts: Column | str) -> Column:

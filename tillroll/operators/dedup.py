@@ -16,29 +16,41 @@ NEWEST_BY = ("_ingested_at", "_row_id")
 LINEAGE = ("_source_file", "_row_id", "_ingested_at")
 
 
-def load_and_row() -> Column:
-    """(load, row id) as one fixed-width number: microseconds * 2**63 + row id."""
-    micros = F.unix_micros("_ingested_at").cast("decimal(20,0)")
-    return (micros * F.lit(1 << 62).cast("decimal(19,0)") * 2 + F.col("_row_id").cast("decimal(19,0)")).cast("decimal(38,0)")
+def copy_order(lines: DataFrame) -> Column:
+    """Which copy is newer, as one fixed-width number: load (microseconds), then place in the part
+    file, then a hash of the part file (places are only unique inside one, and the choice between
+    equal places must not depend on how Spark reads the files)."""
+    part = F.xxhash64(*[c for c in ("_source_file", "_source_part") if c in lines.columns])
+    numbers = (F.unix_micros("_ingested_at"), F.col("_row_id"), F.pmod(part, F.lit(1 << 24)))
+    load, place, tie = (n.cast("decimal(16,0)") for n in numbers)
+    return ((load * F.lit(1 << 50).cast("decimal(16,0)") + place) * F.lit(1 << 24).cast("decimal(8,0)") + tie).cast("decimal(38,0)")
 
 
-def newest_copies(lines: DataFrame, files: DataFrame) -> DataFrame:
+def line_columns(lines: DataFrame) -> list[str]:
+    """What makes a line: all columns but the lineage."""
+    return [c for c in lines.columns if c not in (*LINEAGE, "_source_part")]
+
+
+def newest_copies(lines: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per distinct line, with the lineage of its newest copy.
 
-    All columns but the lineage are the line (the key determines them), so they are the group;
-    the lineage is aggregated as fixed-width numbers (a file by its hash), which keeps the
-    plan on hash aggregates without sorts and lets Catalyst prune lineage nobody reads.
-    ``files`` (_source_file) lists the delivered files; it gives the names back.
+    All columns but the lineage are the line (the key determines them), so they are the group, and
+    lines are exchanged by it and never by their file. With ``files`` (_source_file: the delivered
+    files, a table or literal rows small enough for Catalyst to broadcast) the lineage is aggregated
+    as fixed-width numbers, a file by its hash, which keeps the plan on hash aggregates without
+    sorts; ``files`` gives the names back. Without it the lineage is aggregated as it is.
     """
-    line = [c for c in lines.columns if c not in LINEAGE]
-    order = load_and_row()
+    line, order = line_columns(lines), copy_order(lines)
+    if files is None:
+        best = F.max_by(F.struct(*LINEAGE), order).alias("_best")
+        return lines.groupBy(*line).agg(best).select(*line, "_best.*")
     newest = lines.groupBy(*line).agg(
         F.max_by(F.xxhash64("_source_file"), order).alias("_file"),
         F.max_by("_row_id", order).alias("_row_id"),
         F.max("_ingested_at").alias("_ingested_at"),
     )
     names = files.select(F.xxhash64("_source_file").alias("_file"), "_source_file").distinct()
-    return newest.join(names, "_file", "left").select(*lines.columns)
+    return newest.join(names, "_file", "left").select(*line, *LINEAGE)
 
 
 def latest_per_key(

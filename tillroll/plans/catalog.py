@@ -16,7 +16,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from tillroll.functions.text import lenient_integer, lenient_us_timestamp
 from tillroll.operators import sinks
-from tillroll.operators.asof import asof_join
+from tillroll.operators.asof import asof_join, asof_merge
 from tillroll.operators.dedup import latest_per_key, newest_copies
 from tillroll.operators.quality import (
     REJECTED,
@@ -375,6 +375,19 @@ def asof_price_join(spark, sf_dir):
     )
 
 
+@query(
+    "asof_price_merge",
+    """SELECT o.order_line_id, o.stock_code, o.invoice_ts, d.version, d.unit_price
+       FROM silver_orders o ASOF LEFT JOIN dim_product d
+         ON o.stock_code = d.stock_code AND o.invoice_ts >= d.valid_from""", money=['unit_price'], doubles=['version']
+)
+def asof_price_merge(spark, sf_dir):
+    """The as-of join by merging in (code, time) order: no version is repeated."""
+    layers = Layers(spark, sf_dir)
+    joined = asof_merge(layers.lines_for_fact, layers.dim_product_for_gold, "stock_code", "invoice_ts")
+    return joined.select("f.order_line_id", "f.stock_code", "f.invoice_ts", "v.version", "v.unit_price")
+
+
 @query(
     "left_join_unknown_bucket",
     """SELECT f.customer_id, coalesce(c.country, 'Unknown') AS country,

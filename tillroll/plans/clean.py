@@ -32,7 +32,7 @@ from tillroll.functions.text import (
     normalise_code,
     recode,
 )
-from tillroll.operators.dedup import LINEAGE, newest_copies
+from tillroll.operators.dedup import LINEAGE, line_columns, newest_copies
 from tillroll.operators.ranking import chunk_of, position_in_group
 from tillroll.operators.schema import conform
 from tillroll.plans import schemas
@@ -223,11 +223,18 @@ def typed_lines(bronze: DataFrame) -> DataFrame:
         lenient_integer(customer_text, "bigint").alias("customer_id"),
         transaction_type(invoice_no, quantity).alias("transaction_type"),
         *LINEAGE,
+        "_source_part",
     )
 
 
 def clean_orders(bronze: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """One row per distinct line: the newest delivery (load, then row) wins. ``files`` lists the
-    delivered files (_source_file) where that is known; else it is read from ``bronze``."""
-    known = bronze.select("_source_file").distinct() if files is None else files
-    return conform(newest_copies(typed_lines(bronze), known), schemas.SILVER_ORDERS)
+    delivered files (_source_file) where a list of them is at hand."""
+    return conform(newest_copies(typed_lines(bronze), files), schemas.SILVER_ORDERS)
+
+
+def order_lines(bronze: DataFrame) -> DataFrame:
+    """``clean_orders`` without lineage, for readers that don't ask where a line came from: equal
+    lines are one."""
+    lines = typed_lines(bronze)
+    return lines.select(*line_columns(lines)).distinct()

@@ -19,8 +19,10 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.operators import sinks
+from tillroll.operators.asof import asof_join
 from tillroll.operators.quality import evaluate, published
 from tillroll.plans import clean, marts, rules, star
 from tillroll.sources import feeds
@@ -58,6 +60,11 @@ class Layers:
         lines = clean.typed_lines(self.bronze("orders"))
         return published(evaluate(lines, rules.SILVER_ORDERS))
 
+    @property
+    def lines_for_fact(self) -> DataFrame:
+        """Published order lines without their lineage, which no fact carries."""
+        return published(evaluate(clean.order_lines(self.bronze("orders")), rules.SILVER_ORDERS))
+
     @cached_property
     def products_for_dim(self) -> DataFrame:
         return self._staged(self.silver_products, "silver_products")
@@ -70,6 +77,17 @@ class Layers:
     def fact_for_marts(self) -> DataFrame:
         return self.__dict__.get("_shared_fact", self.fact_sales)
 
+    @property
+    def fact_for_last_month(self) -> DataFrame:
+        """The fact as far as ``max(invoice_ts)`` can tell: the newest published line of each code
+        and month that has a price. Validity begins and ends with months, so the lines of a code and
+        month all have a price or none has; copies change no maximum, so none is removed first."""
+        if "_shared_fact" in self.__dict__:
+            return self._shared_fact
+        month = star.month_of(F.col("invoice_ts")).alias("_month")
+        newest = self.orders_for_anchor.groupBy("stock_code", month).agg(F.max("invoice_ts").alias("invoice_ts"))
+        return asof_join(newest, self.dim_product_for_gold, "stock_code", "invoice_ts", how="inner").select("f.invoice_ts")
+
     def share_fact(self) -> Layers:
         """Write the columns of the fact that the marts read, once for all of them (a job)."""
         self._shared_fact = sinks.stage(self.fact_sales.select(*MART_COLUMNS), "fact_for_marts")
@@ -111,7 +129,7 @@ class Layers:
     @cached_property
     def tagged_fact_sales(self) -> DataFrame:
         return evaluate(
-            star.fact_sales(self.silver_orders, self.dim_product_for_gold), rules.FACT_SALES
+            star.fact_sales(self.lines_for_fact, self.dim_product_for_gold), rules.FACT_SALES
         )
 
     @cached_property
@@ -137,7 +155,7 @@ class Layers:
     @cached_property
     def tagged_top_price_drops(self) -> DataFrame:
         return evaluate(
-            marts.top_price_drops(self.fact_for_marts, self.dim_product_for_gold),
+            marts.top_price_drops(self.fact_for_last_month, self.dim_product_for_gold),
             rules.TOP_PRICE_DROPS,
         )
 

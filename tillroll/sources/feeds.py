@@ -29,8 +29,8 @@ LOAD_TS = {1: "2024-01-01 00:00:00", 2: "2024-01-02 00:00:00"}
 
 
 def files(spark: SparkSession, feed: str) -> DataFrame:
-    """The delivered files of a feed, one per load."""
-    return spark.createDataFrame([(f"{feed}_{load}.csv",) for load in LOAD_TS], "_source_file string")
+    """The delivered files of a feed, one per load (literal rows, whose size Catalyst knows)."""
+    return spark.sql("SELECT explode(:names) AS _source_file", {"names": F.array(*[F.lit(f"{feed}_{load}.csv") for load in LOAD_TS])})
 
 
 def load_ts(load: Column | int) -> Column:
