@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    centroids,
     chat,
     decontam,
     html_crf,
     langmix,
     lmscore,
+    mtree,
     packing,
     probminhash,
     quality_lm,
+    spelling,
     tokencount,
     toxicity,
 )
@@ -100,12 +103,25 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lmscore.cross_entropy_difference(spark, table(spark, sf_dir, "documents"), good)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, final = centroids.cluster(spark, table(spark, sf_dir, "embeddings"))
+    return centroids.with_inertia(spark, assigned, final)
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(spark, table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
         for f in (
             op1_main_text, op2_quality_rules, op3_decontamination, op4_near_duplicates, op5_packing, op6_token_counts,
-            op7_language_id, op8_toxicity, op9_chat_format, op10_lm_scoring,
+            op7_language_id, op8_toxicity, op9_chat_format, op10_lm_scoring, op11_spelling_variants, op12_centroids, op13_top_k,
         )
     }
 
@@ -158,5 +174,64 @@ FROM e GROUP BY conv_id
 """
 
 
+_KEPT = """list_filter(embedding, e -> e IS NULL OR NOT isfinite(CAST(e AS DOUBLE)))"""
+
+
+def centroids_sql(width: int = 64, scale: int = 64, clusters: int = 16, rounds: int = 3) -> str:
+    """Every vector against every centroid, each round from the one before."""
+    parts = [
+        f"""v AS (
+       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, e -> CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+       FROM embeddings WHERE len(embedding) = {width} AND len({_KEPT}) = 0
+     )""",
+        f"""c0 AS (
+       SELECT row_number() OVER (ORDER BY h, x) - 1 AS k, x
+       FROM (SELECT x, sha256('1:' || vec_id) AS h FROM v WHERE vec_id IS NOT NULL ORDER BY h, x LIMIT {clusters})
+     )""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS (
+       SELECT v.u, arg_min(c.k, (d, c.k)) AS k, min(d) AS d
+       FROM v, c{i} AS c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), p -> (p[1] - p[2]) * (p[1] - p[2]))) AS d) GROUP BY v.u
+     )""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+       SELECT k, at, sum(value) AS s, count(*) AS n FROM (
+         SELECT a.k, unnest(v.x) AS value, unnest(range({width})) AS at FROM a{i} a JOIN v ON v.u = a.u
+       ) GROUP BY k, at
+     ),
+     c{i + 1} AS (
+       SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+         SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY at) AS x FROM s{i} GROUP BY k
+       ) m ON m.k = c.k
+     )""")
+    last = rounds
+    return "WITH " + ",\n     ".join(parts) + f"""
+SELECT v.vec_id, CAST(a.k AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+       CAST(sum(a.d) OVER (PARTITION BY a.k) AS BIGINT) AS cluster_inertia, CAST(sum(a.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM v JOIN a{last} a ON a.u = v.u JOIN c{last} c ON c.k = a.k
+"""
+
+
+TOP_K_SQL = f"""
+WITH v AS (
+       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, e -> CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+       FROM embeddings WHERE embedding IS NOT NULL AND len({_KEPT}) = 0
+     ),
+     s AS (
+       SELECT q.u AS qu, q.vec_id AS query_id, c.vec_id,
+              CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])), 0) AS BIGINT) AS score
+       FROM v q JOIN v c ON c.u <> q.u AND len(c.x) = len(q.x) WHERE q.vec_id % 50 = 0
+     )
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY qu ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s
+) WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontamination": DECONTAMINATION_SQL, "op9_chat_format": CHAT_SQL}
+    return {
+        "op3_decontamination": DECONTAMINATION_SQL, "op9_chat_format": CHAT_SQL, "op12_centroids": centroids_sql(),
+        "op13_top_k": TOP_K_SQL,
+    }
