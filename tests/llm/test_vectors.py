@@ -97,22 +97,31 @@ def test_search_equals_comparing_all_vectors(spark, monkeypatch, rows, small):
     assert sorted(((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got), key=str) == brute_top(data)
 
 
-def test_bounds_save_products():
+@pytest.mark.parametrize("scale", [1, 1 << 20])
+def test_bounds_save_products(scale):
     rng = np.random.default_rng(4)
     centers = rng.normal(0, 400, (20, 16))
-    x = np.floor(np.repeat(centers, 100, axis=0) + rng.normal(0, 10, (2000, 16))).astype(np.int64)
+    x = np.floor(np.repeat(centers, 100, axis=0) + rng.normal(0, 10, (2000, 16))).astype(np.int64) * scale
     tree = mtree.Tree.build(x, np.arange(2000), np.arange(2000), 32)
-    saved = 0
-    for i in range(0, 2000, 97):
-        best = mtree.Best(5)
-        saved += 2000 - mtree.search(tree, x[i], i, best)
-        want = sorted(((int(x[i] @ x[j]), -j) for j in range(2000) if j != i), reverse=True)[:5]
-        assert sorted(best.heap, reverse=True) == want
-    assert saved > 21 * 1000
+    assert all(len(p.x) <= 64 for p in tree.pages)
+    own = np.arange(0, 2000, 97)
+    for group in (own, own[:1]):
+        best = mtree.Best(len(group), 5)
+        computed = mtree.search(tree, x[group], group, best)
+        for i, q in enumerate(group.tolist()):
+            want = sorted(((-int(x[q] @ x[j]), j) for j in range(2000) if j != q))[:5]
+            assert best.rows(i) == [(-s, j) for s, j in want]
+        assert computed < len(group) * 1000
+
+
+def test_copies_are_split_over_pages():
     copies = mtree.Tree.build(np.ones((500, 3), np.int64), np.arange(500), np.arange(500), 8)
-    best = mtree.Best(5)
-    mtree.search(copies, np.ones(3, np.int64), 0, best)
-    assert sorted(best.heap, reverse=True) == [(3, -i) for i in range(1, 6)]
+    best = mtree.Best(1, 5)
+    mtree.search(copies, np.ones((1, 3), np.int64), np.array([0]), best)
+    assert best.rows(0) == [(3, i) for i in range(1, 6)] and max(len(p.x) for p in copies.pages) <= 8
+    few = mtree.Best(1, 5)
+    mtree.search(mtree.Tree.build(np.ones((2, 3), np.int64), np.arange(2), np.arange(2)), np.ones((1, 3), np.int64), np.array([0]), few)
+    assert few.rows(0) == [(3, 1)]
 
 
 def test_components_beyond_64_bit_scores_are_named(spark):

@@ -1,7 +1,7 @@
 """Exact top-k search by inner product with M-trees.
 
 All vectors are indexed in M-trees: paged metric nodes whose entries hold an object, its covering
-radius and its distance to the node's own routing object (Ciaccia, Patella and Zezula 1997). A query is
+radius and its distance to the node's own routing object (Ciaccia, Patella and Zezula 1997). Queries are
 searched best-first: the page with the highest upper bound next, until no page can hold a score as
 high as the k-th best found. With p a routing object, r a covering radius and d a stored parent distance,
 the triangle inequality (with Cauchy and Schwarz) bounds the scores below an entry twice:
@@ -43,11 +43,12 @@ from tillroll.llm.common import session_workspace, slices
 from tillroll.llm.vectors import whole_vectors
 
 #: Entries a page; children a page splits into; vectors a tree; routing objects of the regions.
-PAGE, TREE_ROWS, REGIONS = 64, 1 << 14, 32
+PAGE, TREE_ROWS, REGIONS = 128, 1 << 14, 32
 QUERY_BLOCK, TREES_A_TASK = 1024, 4
 #: Relative room for rounding in bounds.
 ROOM = 1e-9
-NO_ID = np.iinfo(np.int64).max  # a null vec_id, last among equals
+NO_ID = np.int64(np.iinfo(np.int64).max)  # a null vec_id, last among equals
+NOTHING = np.int64(-(1 << 63) + 1)  # the score of no candidate
 
 TREES = "tree long, width int, rows long, pages array<binary>"
 BLOCKS = "block int, width int, queries long, data binary"
@@ -122,55 +123,83 @@ class Tree:
 
 
 class Best:
-    """A query's best candidates: (score, vec_id), the worst first."""
+    """The best candidates of a block of queries: scores and ids, the best first."""
 
-    def __init__(self, k: int):
-        self.k, self.heap = k, []
+    def __init__(self, queries: int, k: int):
+        self.score = np.full((queries, k), NOTHING)
+        self.vec_id = np.full((queries, k), NO_ID)
 
     @property
-    def least(self) -> float:
-        """A score below this can't be among the best."""
-        return self.heap[0][0] if len(self.heap) == self.k else float("-inf")
-
-    def offer(self, score: int, vec_id: int) -> None:
-        entry = (score, -vec_id)
-        if len(self.heap) < self.k:
-            heapq.heappush(self.heap, entry)
-        elif entry > self.heap[0]:
-            heapq.heapreplace(self.heap, entry)
+    def least(self) -> np.ndarray:
+        """Per query: a lower score can't be among its best."""
+        return self.score[:, -1]
+
+    def offer(self, rows: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
+        """Candidates (a column each) to the queries ``rows``; ``NOTHING`` is none."""
+        better = (scores >= self.least[rows, None]).any(axis=1)
+        rows, scores = rows[better], scores[better]
+        if len(rows):
+            k = self.score.shape[1]
+            score = np.concatenate([self.score[rows], scores], axis=1)
+            vec_id = np.concatenate([self.vec_id[rows], np.broadcast_to(ids, scores.shape)], axis=1)
+            first = np.lexsort((vec_id, -score), axis=1)[:, :k]
+            self.score[rows] = np.take_along_axis(score, first, 1)
+            self.vec_id[rows] = np.take_along_axis(vec_id, first, 1)
+
+    def rows(self, query: int) -> list[tuple[int, int]]:
+        """(score, vec_id) of a query, the best first."""
+        return [(s, v) for s, v in zip(self.score[query].tolist(), self.vec_id[query].tolist()) if s != NOTHING]
 
 
 def _up(bound: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return bound + ROOM * scale + 1
 
 
-def search(tree: Tree, q: np.ndarray, own: int, best: Best) -> int:
-    """Offers to ``best`` what can be among the query's best (but the row ``own``); returns how many
-    products were computed."""
-    norm = float(np.sqrt(np.square(q.astype(np.float64)).sum()))
-    queue: list[tuple[float, int, int]] = [(float("-inf"), 0, int(tree.center @ q))]
-    computed = 1
+def products(q: np.ndarray, x: np.ndarray, exact: bool) -> np.ndarray:
+    """Inner products of the rows; in floating point where that is ``exact``."""
+    return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64) if exact else q @ x.T
+
+
+def search(tree: Tree, q: np.ndarray, own: np.ndarray, best: Best) -> int:
+    """Offers to ``best`` what can be among the best of the queries ``q`` (but each one's row ``own``).
+
+    The block goes through the tree together: the page with the highest bound of any of its queries
+    is next, and of the queries only those whose own bound reaches their own k-th best go into it.
+    Returns how many products of a query and an entry were not ruled out.
+    """
+    norm = np.sqrt(np.square(q.astype(np.float64)).sum(axis=1))
+    most = max((float(np.abs(p.x).max(initial=0)) for p in tree.pages), default=0) * float(np.abs(q).max(initial=0))
+    exact = most * q.shape[1] < 1 << 52
+    everyone = np.arange(len(q))
+    start = (0, everyone, np.full(len(q), np.inf), products(q, tree.center[None], exact)[:, 0])
+    queue: list[tuple] = [(-np.inf, 0, *start)]
+    computed, pushed = len(q), 0
     while queue:
-        bound, at, parent = heapq.heappop(queue)
-        if -bound < best.least:
-            break  # no page left is better
-        page = tree.pages[at]
-        reach = norm * (page.to_parent + page.radius)
-        stay = np.flatnonzero(_up(parent + reach, abs(parent) + reach) >= best.least)
-        if not len(stay):
+        top, _, at, rows, bounds, parent = heapq.heappop(queue)
+        if -top < best.least.min():
+            break  # no page left is better for any query
+        alive = bounds >= best.least[rows]
+        rows, parent, page = rows[alive], parent[alive], tree.pages[at]
+        if not len(rows):
+            continue
+        reach = norm[rows, None] * (page.to_parent + page.radius)
+        stay = _up(parent[:, None] + reach, np.abs(parent)[:, None] + reach) >= best.least[rows, None]
+        some, cols = np.flatnonzero(stay.any(axis=1)), np.flatnonzero(stay.any(axis=0))
+        if not len(some):
             continue
-        scores = page.x[stay] @ q
-        computed += len(stay)
+        stay, rows = stay[np.ix_(some, cols)], rows[some]
+        scores = products(q[rows], page.x[cols], exact)
+        computed += int(stay.sum())
         if page.leaf:
-            mine = page.uid[stay] == own
-            good = np.flatnonzero((scores >= best.least) & ~mine)
-            for i in good[np.lexsort((page.vec_id[stay[good]], -scores[good]))[: best.k]]:
-                best.offer(int(scores[i]), int(page.vec_id[stay[i]]))
-        else:
-            reach = norm * page.radius[stay]
-            bounds = _up(scores + reach, np.abs(scores) + reach)
-            for i in np.flatnonzero(bounds >= best.least):
-                heapq.heappush(queue, (-float(bounds[i]), int(page.child[stay[i]]), int(scores[i])))
+            mine = page.uid[cols] == own[rows, None]
+            best.offer(rows, np.where(stay & ~mine, scores, NOTHING), page.vec_id[cols])
+            continue
+        reach = norm[rows, None] * page.radius[cols]
+        bounds = _up(scores + reach, np.abs(scores) + reach)
+        stay &= bounds >= best.least[rows, None]
+        for j in np.flatnonzero(stay.any(axis=0)).tolist():
+            go, pushed = stay[:, j], pushed + 1
+            heapq.heappush(queue, (-float(bounds[go, j].max()), pushed, int(page.child[cols[j]]), rows[go], bounds[go, j], scores[go, j]))
     return computed
 
 
@@ -291,11 +320,9 @@ def top_k(
                     met, held = key, None
                 if b.column("kind")[i].as_py() == 0:
                     uid, ids, x = pickle.loads(b.column("data")[i].as_py())
-                    held = uid, ids, x, [Best(k) for _ in uid]
+                    held = uid, ids, x, Best(len(uid), k)
                 elif held is not None:
-                    tree = Tree.unpacked(b.column("pages")[i].as_py())
-                    for own, q, best in zip(held[0].tolist(), held[2], held[3]):
-                        search(tree, q, own, best)
+                    search(Tree.unpacked(b.column("pages")[i].as_py()), held[2], held[0], held[3])
         yield from _best_rows(held)
 
     found = _dealt(sides, ["block", "share", "width"], run, FOUND, ("kind", "tree"))
@@ -306,6 +333,7 @@ def top_k(
 
 def _best_rows(held: tuple | None) -> Iterator[pa.RecordBatch]:
     if held is not None:
-        rows = [(u, q, s, None if -v == NO_ID else -v) for u, q, best in zip(held[0].tolist(), held[1].tolist(), held[3]) for s, v in best.heap]
+        uid, ids, _, best = held
+        rows = [(u, q, s, None if v == NO_ID else v) for i, (u, q) in enumerate(zip(uid.tolist(), ids.tolist())) for s, v in best.rows(i)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["query_uid", "query_id", "score", "vec_id"])

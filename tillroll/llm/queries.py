@@ -174,14 +174,14 @@ FROM e GROUP BY conv_id
 """
 
 
-_KEPT = """list_filter(embedding, e -> e IS NULL OR NOT isfinite(CAST(e AS DOUBLE)))"""
+_KEPT = """list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(CAST(e AS DOUBLE)))"""
 
 
 def centroids_sql(width: int = 64, scale: int = 64, clusters: int = 16, rounds: int = 3) -> str:
     """Every vector against every centroid, each round from the one before."""
     parts = [
         f"""v AS (
-       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, e -> CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda e: CAST(floor({scale} * CAST(e AS DOUBLE)) AS BIGINT)) AS x
        FROM embeddings WHERE len(embedding) = {width} AND len({_KEPT}) = 0
      )""",
         f"""c0 AS (
@@ -192,17 +192,17 @@ def centroids_sql(width: int = 64, scale: int = 64, clusters: int = 16, rounds:
     for i in range(rounds + 1):
         parts.append(f"""a{i} AS (
        SELECT v.u, arg_min(c.k, (d, c.k)) AS k, min(d) AS d
-       FROM v, c{i} AS c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), p -> (p[1] - p[2]) * (p[1] - p[2]))) AS d) GROUP BY v.u
+       FROM v, c{i} AS c, LATERAL (SELECT list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d) GROUP BY v.u
      )""")
         if i < rounds:
             parts.append(f"""s{i} AS (
-       SELECT k, at, sum(value) AS s, count(*) AS n FROM (
-         SELECT a.k, unnest(v.x) AS value, unnest(range({width})) AS at FROM a{i} a JOIN v ON v.u = a.u
-       ) GROUP BY k, at
+       SELECT k, dim, sum(val) AS s, count(*) AS n FROM (
+         SELECT a.k, unnest(v.x) AS val, unnest(range({width})) AS dim FROM a{i} a JOIN v ON v.u = a.u
+       ) GROUP BY k, dim
      ),
      c{i + 1} AS (
        SELECT c.k, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
-         SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY at) AS x FROM s{i} GROUP BY k
+         SELECT k, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY dim) AS x FROM s{i} GROUP BY k
        ) m ON m.k = c.k
      )""")
     last = rounds
@@ -216,12 +216,12 @@ FROM v JOIN a{last} a ON a.u = v.u JOIN c{last} c ON c.k = a.k
 
 TOP_K_SQL = f"""
 WITH v AS (
-       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, e -> CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+       SELECT row_number() OVER () AS u, vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
        FROM embeddings WHERE embedding IS NOT NULL AND len({_KEPT}) = 0
      ),
      s AS (
        SELECT q.u AS qu, q.vec_id AS query_id, c.vec_id,
-              CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])), 0) AS BIGINT) AS score
+              CAST(coalesce(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
        FROM v q JOIN v c ON c.u <> q.u AND len(c.x) = len(q.x) WHERE q.vec_id % 50 = 0
      )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
