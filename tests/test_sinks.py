@@ -71,8 +71,9 @@ def test_any_way_to_name_the_folder_finds_the_same_rows(spark, tmp_path, monkeyp
     for way in ways:
         got = landing.read_landing(spark, way, "orders_", schemas.BRONZE_ORDERS).collect()
         assert [(r["_source_file"], r["_row_id"]) for r in got] == [("orders_a b+c%.csv", 0)], way
-        assert landing.new_deliveries(spark, way, "orders_", ["orders_a b+c%.csv"]) == []
-        assert landing.new_deliveries(spark, way, "orders_", []) == ["orders_a b+c%.csv"]
+        loaded = spark.createDataFrame([("orders_a b+c%.csv",)], "file string")
+        assert landing.new_deliveries(spark, way, "orders_", loaded).count() == 0
+        assert [r["file"] for r in landing.new_deliveries(spark, way, "orders_", loaded.limit(0)).collect()] == ["orders_a b+c%.csv"]
 
 
 def test_rows_of_split_and_folder_deliveries_are_in_file_order(spark, tmp_path):
@@ -170,6 +171,42 @@ def test_a_crash_before_the_switch_leaves_the_table_as_it_was(spark, tmp_path, m
     assert len([n for n in os.listdir(path) if n.startswith("version-")]) == 2  # current and the one before
 
 
+def test_a_crash_between_months_leaves_the_old_table(spark, tmp_path, monkeypatch):
+    """Two months are upserted; the driver dies when their rows are stored but the list is not switched."""
+    path = str(tmp_path / "t")
+
+    def content():
+        return sorted((r["k"], r["v"], str(r["m"])) for r in sinks.read_table(spark, path, SCHEMA).collect())
+
+    sinks.upsert(spark, rows(spark, [("a", 1, "2020-01-01"), ("b", 1, "2020-02-01"), ("c", 1, None)]), path, SCHEMA, ["k"], "m")
+    before, source = content(), rows(spark, [("a", 2, "2020-01-01"), ("b", 2, "2020-02-01"), ("d", 2, "2020-03-01")])
+    for name in ("_switch", "write_small"):
+        monkeypatch.setattr(sinks, name, lambda *_: (_ for _ in ()).throw(OSError("lost driver")))
+        with pytest.raises(OSError, match="lost driver"):
+            sinks.upsert(spark, source, path, SCHEMA, ["k"], "m")
+        monkeypatch.undo()
+        assert content() == before
+    reader = sinks.read_table(spark, path, SCHEMA)
+    sinks.upsert(spark, source, path, SCHEMA, ["k"], "m")
+    assert content() == [("a", 2, "2020-01-01"), ("b", 2, "2020-02-01"), ("c", 1, "None"), ("d", 2, "2020-03-01")]
+    assert sorted((r["k"], r["v"]) for r in reader.collect()) == [("a", 1), ("b", 1), ("c", 1)]  # its files are kept
+    for n in range(3, 6):
+        sinks.upsert(spark, rows(spark, [("d", n, "2020-03-01")]), path, SCHEMA, ["k"], "m")
+    assert content()[-1] == ("d", 5, "2020-03-01") and len([n for n in os.listdir(path) if n.startswith("_parts-")]) <= 4
+    sinks.replace(sinks.read_table(spark, path, SCHEMA), path, ["m"], ["k"])
+    assert len(content()) == 4
+
+
+def test_small_files_become_one_and_appends_go_on(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in range(6):
+        sinks.append(spark.createDataFrame([("a", n)], PAIR).coalesce(1), path)
+    assert not sinks.compact(spark, path, PAIR, 6) and sinks.compact(spark, path, PAIR, 5)
+    sinks.append(spark.createDataFrame([("b", 9)], PAIR).coalesce(1), path)
+    got = sinks.read_table(spark, path, PAIR)
+    assert sorted(r["v"] for r in got.collect()) == [0, 1, 2, 3, 4, 5, 9] and len(got.inputFiles()) == 2
+
+
 def test_repeated_keys_are_refused(spark, tmp_path):
     path = str(tmp_path / "t")
     twice = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 3)], PAIR)

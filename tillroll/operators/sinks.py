@@ -9,8 +9,10 @@ No table format (Iceberg/Delta) is assumed, so:
 - ``upsert`` of an unpartitioned table is a ``replace`` by the merged rows.
 - ``upsert`` of a table partitioned by a column that a key never moves across (orders: the key
   hashes the invoice date text, so a line never changes month) rewrites only the partitions
-  that the source touches, with dynamic partition overwrite. It is not atomic across
-  partitions; repeating it gives the same table.
+  that the source touches: they are written to a folder of their own, then a list of every
+  partition's folder (``_manifest-<id>.json``: partition values, bounded by the calendar), then
+  the ``_current`` file that names the list. All partitions change at once.
+- what a reader of the version before may still read is kept; anything older goes.
 
 A source must have one row per key: repeated keys are refused, as MERGE does. NULL keys match
 nothing and are inserted. Read tables with ``read_table``, which follows ``_current``.
@@ -18,8 +20,10 @@ nothing and are inserted. Read tables with ``read_table``, which follows ``_curr
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -28,9 +32,11 @@ from pyspark.sql.types import StructType
 
 from tillroll.operators.schema import conform, empty
 from tillroll.operators.staging import Workspace, session_workspace
-from tillroll.session import child_names, fs_path, remove_path
+from tillroll.session import child_names, fs_path, read_small, remove_path, write_small
+from tillroll.sources.landing import literal_glob
 
-POINTER = "_current-"
+POINTER, MANIFEST = "_current-", "_manifest-"
+OWN = (POINTER, MANIFEST, "version-", "_parts-")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -46,10 +52,31 @@ def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted((int(n.split("-", 1)[0]), n.split("-", 1)[1]) for n in names)
 
 
-def content_path(spark: SparkSession, path: str) -> str:
-    """Folder of the table's current content (the table's own path if it was never replaced)."""
+def _current(spark: SparkSession, path: str) -> str:
+    """What the table consists of now: a folder below it, a list of partitions' folders, or '' (the
+    table's own path, if it was never replaced)."""
     pointers = _pointers(spark, path)
-    return f"{path.rstrip('/')}/{pointers[-1][1]}" if pointers else path
+    return pointers[-1][1] if pointers else ""
+
+
+def _below(path: str, name: str) -> str:
+    return f"{path.rstrip('/')}/{name}" if name else path
+
+
+def content_path(spark: SparkSession, path: str) -> str:
+    """Folder of the current content of a table that is not a list of partitions' folders."""
+    current = _current(spark, path)
+    if current.startswith(MANIFEST):
+        raise ValueError(f"{path} is a list of partitions, not one folder")
+    return _below(path, current)
+
+
+def partition_folders(spark: SparkSession, path: str, current: str | None = None) -> dict[str, str]:
+    """Partition folder name (``month=...``) -> the folder below the table that it is in."""
+    current = _current(spark, path) if current is None else current
+    if current.startswith(MANIFEST):
+        return json.loads(read_small(spark, _below(path, current)))
+    return {n: current for n in child_names(spark, _below(path, current)) if "=" in n}
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -58,8 +85,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     The explicit schema also stops partition values being re-inferred (a month
     partition would otherwise come back as a date or string).
     """
+    current = _current(spark, path)
+    reader = spark.read.schema(schema)
+    if current.startswith(MANIFEST):
+        found: dict[str, list[str]] = {}
+        for name, folder in partition_folders(spark, path, current).items():
+            found.setdefault(folder, []).append(literal_glob(f"{_below(path, folder)}/{name}"))
+        parts = [reader.option("basePath", _below(path, f)).parquet(*names).select(*schema.names) for f, names in sorted(found.items())]
+        return reduce(DataFrame.unionByName, parts)
     try:
-        return spark.read.schema(schema).parquet(content_path(spark, path))
+        return reader.parquet(_below(path, current))
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return empty(spark, schema)
@@ -71,7 +106,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """K1: add rows."""
-    df.write.mode("append").partitionBy(*partition_by).parquet(path)
+    df.write.mode("append").partitionBy(*partition_by).parquet(content_path(df.sparkSession, path))
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, most_files: int = 64) -> bool:
+    """An appended table's many small files become one, atomically, once there are over ``most_files``:
+    for tables of some rows a run, whose readers would otherwise open a file a run."""
+    files = [n for n in child_names(spark, content_path(spark, path)) if n.endswith(".parquet")]
+    if len(files) > most_files:
+        replace(read_table(spark, path, schema).coalesce(1), path)
+    return len(files) > most_files
 
 
 def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Sequence[str] = ()) -> None:
@@ -80,22 +124,33 @@ def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), keys: Se
     spark = df.sparkSession
     folder = f"version-{uuid.uuid4().hex[:12]}"
     rows = clustered_by(df, partition_by[0], keys) if partition_by else df
-    rows.write.partitionBy(*partition_by).parquet(f"{path.rstrip('/')}/{folder}")
+    rows.write.partitionBy(*partition_by).parquet(_below(path, folder))
     _switch(spark, path, folder)
 
 
-def _switch(spark: SparkSession, path: str, folder: str) -> None:
-    """Make ``folder`` the table's content; the content before it stays for running readers,
+def _switch(spark: SparkSession, path: str, current: str) -> None:
+    """Make ``current`` the table's content; the content before it stays for running readers,
     anything older goes."""
     before = _pointers(spark, path)
     number = before[-1][0] + 1 if before else 1
-    fs, pointer = fs_path(spark, f"{path.rstrip('/')}/{POINTER}{number:012d}-{folder}")
+    fs, pointer = fs_path(spark, _below(path, f"{POINTER}{number:012d}-{current}"))
     fs.create(pointer, False).close()
-    kept = {folder, *(f for _, f in before[-1:])}
+    last = before[-1][1] if before else ""
+    kept = _names_of(spark, path, current) | _names_of(spark, path, last)
     for name in child_names(spark, path):
-        old_pointer = name.startswith(POINTER) and name.split("-", 2)[2] not in kept
-        if old_pointer or not name.startswith(POINTER) and name not in kept:
-            remove_path(spark, f"{path.rstrip('/')}/{name}")
+        wanted = name.split("-", 2)[2] in (current, last) if name.startswith(POINTER) else name in kept
+        if not wanted:
+            remove_path(spark, _below(path, name))
+
+
+def _names_of(spark: SparkSession, path: str, current: str) -> set[str]:
+    """Names directly below the table that a version of it consists of."""
+    if not current:
+        return {n for n in child_names(spark, path) if not n.startswith(OWN)}
+    if not current.startswith(MANIFEST):
+        return {current}
+    folders = partition_folders(spark, path, current)
+    return {current} | {folder or name for name, folder in folders.items()}
 
 
 def merged(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -134,20 +189,22 @@ def upsert(
         touched = partition_values(source, partition_col)
         if touched:
             rows = merged(target.filter(in_partitions(partition_col, touched)), source, keys)
-            overwrite_partitions(rows, content_path(spark, path), partition_col, keys)
-
-
-def overwrite_partitions(df: DataFrame, folder: str, partition_col: str, keys: Sequence[str]) -> None:
-    """Replace the partitions that ``df`` has rows of, and no others. Rows are range-partitioned
-    by (partition, key): few files per partition, and a hot partition (one month with a third
-    of all rows) is split over many tasks."""
-    (
-        clustered_by(df, partition_col, keys)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition_col)
-        .parquet(folder)
-    )
+            overwrite_partitions(rows, path, partition_col, keys)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str, keys: Sequence[str]) -> None:
+    """Replace the partitions that ``df`` has rows of, all at once, and no others. Rows are
+    range-partitioned by (partition, key): few files per partition, and a hot partition (one month
+    with a third of all rows) is split over many tasks. ``df`` may read the table itself."""
+    spark, folder = df.sparkSession, f"_parts-{uuid.uuid4().hex[:12]}"
+    clustered_by(df, partition_col, keys).write.partitionBy(partition_col).parquet(_below(path, folder))
+    written = [n for n in child_names(spark, _below(path, folder)) if "=" in n]
+    if not written:
+        remove_path(spark, _below(path, folder))
+        return
+    manifest = f"{MANIFEST}{uuid.uuid4().hex[:12]}.json"
+    write_small(spark, _below(path, manifest), json.dumps(partition_folders(spark, path) | {n: folder for n in written}))
+    _switch(spark, path, manifest)
 
 
 def partition_values(df: DataFrame, partition_col: str) -> list:

@@ -16,11 +16,13 @@ died) is made up for by the next run. What a table has taken in is written to ``
    another one it is rebuilt, else only the months of the loads it lacks. The monthly
    aggregates note the last change of the fact that they follow.
 
-``publish`` writes the tagged rows once to the shared folder, counts all rules in one aggregate over
-the two rule columns, then appends ``dq/results`` and ``dq/quarantine`` and writes the good
-rows. Whole tables are replaced atomically (``sinks.replace``). Everything staged is removed when
-the run ends. A failing table marks the tables that depend on it SKIPPED; the rest still run.
-Each table's line of the run log is written as it finishes.
+``publish`` writes the tagged rows once to the shared folder and counts all rules while it does
+(``DataFrame.observe``), then appends ``dq/results`` and ``dq/quarantine`` and writes the good
+rows. Whole tables are replaced atomically, and so are the touched months of a table, all at once.
+Everything staged is removed when the run ends. A table whose inputs did not succeed is SKIPPED; the
+rest still run. Each table's line of the run log is written as it finishes. The operational tables
+get a file or more a run; a run ends by folding what nobody needs apart any more and by putting
+their files together, so that the thousandth run reads as much as the hundredth.
 """
 
 from __future__ import annotations
@@ -31,12 +33,13 @@ import traceback
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tillroll.operators import sinks
-from tillroll.operators.quality import Rule, counts, evaluate, published, quarantined
+from tillroll.operators.quality import Rule, evaluate, observed, observed_results, published, quarantined
+from tillroll.operators.schema import conform
 from tillroll.operators.staging import Workspace
 from tillroll.plans import clean, marts, rules, schemas, star
 from tillroll.session import child_names, path_exists, remove_path
@@ -96,6 +99,13 @@ DEPENDS_ON = {
 }
 
 
+MONTHLY = ("gold.sales_by_customer_month", "gold.units_by_version_month")
+#: Operational tables of some rows a run.
+COMPACTED = ("dq.results", "ops.run_log", "ops.ingested_files")
+#: Deliveries of which the names may be broadcast (some 100 bytes each).
+FEW_NAMES = 50_000
+
+
 def instant(micros: int) -> Column:
     """An instant, whatever the session's time zone."""
     return F.timestamp_micros(F.lit(micros))
@@ -133,10 +143,23 @@ class Warehouse:
 
 @dataclass
 class Outcome:
-    """Rows a step has seen, and how many of them were quarantined."""
+    """How a step ended: rows it has seen, and how many of them were quarantined."""
+
+    rows: int | None = None
+    quarantined: int | None = 0
+    status: str = "SUCCESS"
+    message: str | None = None
+
+
+@dataclass(frozen=True)
+class Taken:
+    """The loads a table has taken in: all up to one, and some after it."""
+
+    upto: str
+    loads: frozenset[str]
 
-    rows: int
-    quarantined: int = 0
+    def __contains__(self, load: str) -> bool:
+        return load <= self.upto or load in self.loads
 
 
 class Run:
@@ -155,7 +178,7 @@ class Run:
         self.observer = observer or (lambda step, phase: None)
         self.micros = now_micros()
         self.load = f"{self.micros:020d}"
-        self.failed: set[str] = set()
+        self.outcomes: dict[str, Outcome] = {}
         self.modes: dict[str, str] = {}
         self.work: Workspace
 
@@ -182,20 +205,44 @@ class Run:
         rows = self.read("ops.ingested_files").filter(F.col("feed") == feed).select("load_id").distinct().collect()
         return {r["load_id"]: int(r["load_id"]) for r in rows}
 
-    def taken_in(self, table: str) -> set[str]:
-        return {load for n in self.notes(table) for load in n["loads"]}
+    def taken_in(self, table: str) -> Taken:
+        notes = self.notes(table)
+        upto = max((n["upto"] for n in notes if n.get("upto")), default="")
+        return Taken(upto, frozenset(load for n in notes for load in n["loads"]))
+
+    def fold(self) -> None:
+        """Notes that no table has to tell apart any more become one a table. Every step takes in all
+        that is pending, so what a table holds is all loads up to one."""
+        fact, follows = self.taken_in("gold.fact_sales"), [n["follows"] for t in MONTHLY for n in self.notes(t)[-1:]]
+        followed = min(follows) if len(follows) == len(MONTHLY) else -1
+        folded = []
+        for table in DEPENDS_ON:
+            notes = self.notes(table)
+            if table in MONTHLY:
+                old, rest = notes[:-1], notes[-1:]
+            elif table == "gold.fact_sales":
+                old, rest = [n for n in notes if n["seq"] <= followed], [n for n in notes if n["seq"] > followed]
+            else:
+                done = [table != "silver.orders" or all(load in fact for load in n["loads"]) for n in notes]
+                old, rest = [n for n, d in zip(notes, done) if d], [n for n, d in zip(notes, done) if not d]
+            if old and table not in MONTHLY:
+                upto = max([load for n in old for load in n["loads"]] + [n.get("upto", "") for n in old])
+                rest = [old[-1] | {"loads": [], "months": [], "upto": upto}, *rest]
+            folded += [(table, n["seq"], json.dumps({k: v for k, v in n.items() if k != "seq"})) for n in rest]
+        if folded:
+            rows = self.spark.createDataFrame(folded, "table_name string, seq bigint, detail string")
+            sinks.replace(rows.withColumn("committed_at", F.timestamp_micros("seq")).coalesce(1), self.wh.path("ops.state"))
 
     # ------------------------------------------------------------ one table
 
     def publish(self, name: str, df: DataFrame, table_rules: tuple[Rule, ...], write: Callable[[DataFrame], None]) -> Outcome:
-        tagged = self.work.stage(evaluate(df, table_rules), name.replace(".", "_"))
-        got = tagged.agg(*counts(table_rules)).first()  # reads the two rule columns only
+        tagged, seen = observed(evaluate(df, table_rules), table_rules, f"{self.run_id} {name}")
+        tagged = self.work.stage(tagged, name.replace(".", "_"))
+        got = seen.get
         if table_rules:
-            lines = [
-                (self.run_id, name, r.name, r.severity, got[f"rule_{i}"], got["rows"]) for i, r in enumerate(table_rules)
-            ]
-            results = self.spark.createDataFrame(lines, StructType(schemas.DQ_RESULTS.fields[:-1]))
-            sinks.append(results.withColumn("checked_at", instant(self.micros)), self.wh.path("dq.results"))
+            results = observed_results(self.spark, got, table_rules, name)
+            stamped = results.withColumns({"run_id": F.lit(self.run_id), "checked_at": instant(self.micros)})
+            sinks.append(conform(stamped, schemas.DQ_RESULTS).coalesce(1), self.wh.path("dq.results"))
         if got["rejected"]:
             bad = quarantined(tagged, name, self.run_id).withColumn("quarantined_at", instant(self.micros))
             sinks.append(bad, self.wh.path("dq.quarantine"), ["table_name"])
@@ -208,19 +255,9 @@ class Run:
     # ------------------------------------------------------------ layers
 
     def bronze(self, feed: str) -> Outcome:
-        prefix, schema = FEEDS[feed]
         self.remove_unlisted_loads(feed)
-        listed = self.read("ops.ingested_files").filter(F.col("feed") == feed).select("file").collect()
-        names = landing.new_deliveries(self.spark, self.landing_dir, prefix, [r["file"] for r in listed])
-        if not names:
-            return Outcome(0)
-        rows = landing.read_deliveries(self.spark, self.landing_dir, names, schema, instant(self.micros))
-        rows = rows.withColumn(INGEST_DAY, F.to_date("_ingested_at")).withColumn(LOAD_ID, F.lit(self.load))
-        sinks.append(rows, self.wh.path(f"bronze.{feed}"), [INGEST_DAY, LOAD_ID])
-        self.observer(f"bronze.{feed}", "stored")
-        files = self.spark.createDataFrame([(feed, n, self.load) for n in names], "feed string, file string, load_id string")
-        sinks.append(files.withColumn("ingested_at", instant(self.micros)), self.wh.path("ops.ingested_files"))
-        return Outcome(self.read(f"bronze.{feed}").filter(F.col(LOAD_ID) == self.load).count())
+        rows = take_in(self.spark, self.wh, feed, self.landing_dir, self.micros, self.work, lambda: self.observer(f"bronze.{feed}", "stored"))
+        return Outcome(rows)
 
     def remove_unlisted_loads(self, feed: str) -> None:
         path, listed = self.wh.path(f"bronze.{feed}"), self.loads_of(feed)
@@ -231,7 +268,8 @@ class Run:
 
     def silver(self, feed: str) -> Outcome:
         name = f"silver.{feed}"
-        pending = sorted(set(self.loads_of(feed)) - self.taken_in(name))
+        held = self.taken_in(name)
+        pending = sorted(load for load in self.loads_of(feed) if load not in held)
         new = self.read(f"bronze.{feed}").filter(sinks.in_partitions(LOAD_ID, pending)).drop(INGEST_DAY, LOAD_ID)
         schema, path = STORED_TABLES[name], self.wh.path(name)
         if feed == "customers":
@@ -239,8 +277,7 @@ class Run:
         elif feed == "products":
             df, keys, month = clean.clean_products(new), ["stock_code", "version"], None
         else:
-            files = self.read("ops.ingested_files").filter(F.col("feed") == feed).select(F.col("file").alias("_source_file"))
-            df, keys, month = clean.clean_orders(new, files), ["order_line_id"], INVOICE_MONTH
+            df, keys, month = clean.clean_orders(new, self.names_of(feed, pending)), ["order_line_id"], INVOICE_MONTH
 
         months: list = []
 
@@ -255,6 +292,12 @@ class Run:
             self.note(name, loads=pending, months=[str(m) for m in months])
         return out
 
+    def names_of(self, feed: str, loads: list[str]) -> DataFrame | None:
+        """(_source_file) of the loads' deliveries, if they are few enough to be broadcast."""
+        listed = self.read("ops.ingested_files").filter((F.col("feed") == feed) & F.col("load_id").isin(loads))
+        names = listed.select(F.col("file").alias("_source_file"))
+        return names if names.count() <= FEW_NAMES else None
+
     def dim_customer(self) -> Outcome:
         df = star.dim_customer(self.read("silver.customers"))
         return self.publish("gold.dim_customer", df, rules.DIM_CUSTOMER, self.replace("gold.dim_customer"))
@@ -273,7 +316,7 @@ class Run:
         name, path = "gold.fact_sales", self.wh.path("gold.fact_sales")
         orders, prices = self.read("silver.orders"), self.prices()
         notes, held = self.notes(name), self.taken_in(name)
-        new = [n for n in self.notes("silver.orders") if not held.issuperset(n["loads"])]
+        new = [n for n in self.notes("silver.orders") if any(load not in held for load in n["loads"])]
         pending = sorted({load for n in new for load in n["loads"]})
         months = sorted({m for n in new for m in n["months"]})
         full = not notes or notes[-1]["prices"] != prices
@@ -286,7 +329,7 @@ class Run:
             if full:
                 sinks.replace(good, path, [INVOICE_MONTH], ["order_line_id"])
             else:
-                sinks.overwrite_partitions(good, sinks.content_path(self.spark, path), INVOICE_MONTH, ["order_line_id"])
+                sinks.overwrite_partitions(good, path, INVOICE_MONTH, ["order_line_id"])
 
         self.modes[name] = "full" if full else "months"
         out = self.publish(name, fact, rules.FACT_SALES, write)
@@ -313,7 +356,7 @@ class Run:
             if full:
                 sinks.replace(good, path, [INVOICE_MONTH], [key])
             else:
-                sinks.overwrite_partitions(good, sinks.content_path(self.spark, path), INVOICE_MONTH, [key])
+                sinks.overwrite_partitions(good, path, INVOICE_MONTH, [key])
 
         self.modes[name] = "full" if full else "months"
         out = self.publish(name, build(fact, INVOICE_MONTH), (), write)
@@ -347,37 +390,64 @@ class Run:
 
     # ------------------------------------------------------------ run
 
-    def log(self, name: str, started: int, status: str, out: Outcome | None = None, message: str | None = None) -> None:
-        row = (
-            self.run_id, name, name.split(".")[0], status, out and out.rows, out and out.rows - out.quarantined,
-            out and out.quarantined, message,
-        )
+    def log(self, name: str, started: int, out: Outcome) -> None:
+        good = None if out.rows is None else out.rows - out.quarantined
+        bad = None if out.rows is None else out.quarantined
+        row = (self.run_id, name, name.split(".")[0], out.status, out.rows, good, bad, out.message)
         frame = self.spark.createDataFrame([row], StructType(schemas.RUN_LOG.fields[:-2]))
         frame = frame.withColumn("started_at", instant(started)).withColumn("finished_at", instant(now_micros()))
         sinks.append(frame.coalesce(1), self.wh.path("ops.run_log"))
 
+    def outcome_of(self, name: str) -> Outcome:
+        """The step's outcome; an error is one too."""
+        missing = [i for i in DEPENDS_ON[name] if self.outcomes[i].status != "SUCCESS"]
+        if missing:
+            return Outcome(status="SKIPPED", message=f"needs {', '.join(missing)}")
+        try:
+            self.observer(name, "start")
+            return self.build(name)
+        except Exception as exc:  # noqa: BLE001 - kept as data, raised when all steps have had their turn
+            traceback.print_exc()
+            return Outcome(status="FAILED", message="".join(traceback.format_exception_only(exc)).strip())
+
     def run(self) -> str:
         with Workspace(self.spark, f"run-{self.load}") as self.work:
-            for name, inputs in DEPENDS_ON.items():
+            for name in DEPENDS_ON:
                 started = now_micros()
-                if self.failed.intersection(inputs):
-                    self.failed.add(name)
-                    self.log(name, started, "SKIPPED", message="upstream failed")
-                    continue
-                try:
-                    self.observer(name, "start")
-                    out = self.build(name)
-                except Exception as exc:  # noqa: BLE001 - recorded in the run log, raised at the end
-                    self.failed.add(name)
-                    traceback.print_exc()
-                    self.log(name, started, "FAILED", message="".join(traceback.format_exception_only(exc)).strip())
-                else:
-                    self.log(name, started, "SUCCESS", out)
-        if self.failed:
-            raise RuntimeError(f"run {self.run_id}: failed or skipped: {sorted(self.failed)}")
+                self.outcomes[name] = self.outcome_of(name)
+                self.log(name, started, self.outcomes[name])
+        open_ = sorted(n for n, out in self.outcomes.items() if out.status != "SUCCESS")
+        if open_:
+            raise RuntimeError(f"run {self.run_id}: failed or skipped: {open_}")
+        self.fold()
+        for name in COMPACTED:
+            sinks.compact(self.spark, self.wh.path(name), STORED_TABLES[name])
         return self.run_id
 
 
+def take_in(
+    spark: SparkSession, wh: Warehouse, feed: str, landing_dir: str, micros: int, work: Workspace, stored: Callable[[], None] = lambda: None
+) -> int | None:
+    """The deliveries of a feed that ``ops.ingested_files`` does not list, appended to bronze as one load
+    and then listed. The new names are found by an anti join and stored once; the driver is given
+    them some thousands at a time, to name the paths of a scan. Returns the rows of the load."""
+    prefix, schema = FEEDS[feed]
+    listed = wh.read(spark, "ops.ingested_files").filter(F.col("feed") == feed)
+    names = work.stage(landing.new_deliveries(spark, landing_dir, prefix, listed), "new_deliveries")
+    load, found = f"{micros:020d}", 0
+    for page in landing.pages_of_names(names):
+        rows = landing.read_deliveries(spark, landing_dir, page, schema, instant(micros))
+        rows = rows.withColumn(INGEST_DAY, F.to_date("_ingested_at")).withColumn(LOAD_ID, F.lit(load))
+        seen = Observation()
+        sinks.append(rows.observe(seen, F.count(F.lit(1)).alias("rows")), wh.path(f"bronze.{feed}"), [INGEST_DAY, LOAD_ID])
+        found += seen.get["rows"]
+    stored()
+    lines = names.select(F.lit(feed).alias("feed"), "file", F.lit(load).alias("load_id"), instant(micros).alias("ingested_at"))
+    if not names.isEmpty():
+        sinks.append(lines.coalesce(1), wh.path("ops.ingested_files"))
+    return found
+
+
 def run_pipeline(
     spark: SparkSession,
     warehouse_root: str,

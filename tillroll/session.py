@@ -81,3 +81,23 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs, hpath = fs_path(spark, path)
     if fs.exists(hpath):
         fs.delete(hpath, True)
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, on the file system of its path."""
+    fs, hpath = fs_path(spark, path)
+    out = fs.create(hpath, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, hpath = fs_path(spark, path)
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()

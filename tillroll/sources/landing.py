@@ -21,8 +21,10 @@ Bronze metadata:
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterator, Sequence
+from itertools import islice
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -105,10 +107,31 @@ def read_landing(
     return read_deliveries(spark, landing_dir, deliveries(spark, landing_dir, prefix), bronze_schema, instant)
 
 
-def new_deliveries(spark: SparkSession, landing_dir: str, prefix: str, loaded: Iterable[str]) -> list[str]:
-    """S2/J7: names of the deliveries that are not loaded yet, whatever their age."""
-    known = set(loaded)
-    return [n for n in deliveries(spark, landing_dir, prefix) if n not in known]
+def delivered(spark: SparkSession, landing_dir: str, prefix: str) -> DataFrame:
+    """(file): names of the ``<prefix>*.csv`` deliveries that hold data, as a table. Spark lists the
+    folder and no file is opened. A folder that does not exist, or is empty, has none."""
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    try:
+        found = source.load(literal_glob(qualified(spark, landing_dir)))
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return spark.createDataFrame([], "file string")
+        raise
+    path = found.select(F.col("_metadata.file_path").alias("_path"))
+    name = lineage(spark, landing_dir, F.col("_path"), F.lit(0).cast("long"))["_source_file"]
+    return path.select(name.alias("file")).filter(F.startswith("file", F.lit(prefix)) & F.endswith("file", F.lit(".csv"))).distinct()
+
+
+def new_deliveries(spark: SparkSession, landing_dir: str, prefix: str, loaded: DataFrame) -> DataFrame:
+    """S2/J7: (file) of the deliveries that ``loaded`` (file) does not list, whatever their age."""
+    return delivered(spark, landing_dir, prefix).join(loaded.select("file"), "file", "left_anti")
+
+
+def pages_of_names(names: DataFrame, page: int = 10_000) -> Iterator[list[str]]:
+    """The names in order, a bounded number at a time (a scan is told its paths by the driver)."""
+    rows = names.orderBy("file").toLocalIterator()
+    while found := [r["file"] for r in islice(rows, page)]:
+        yield found
 
 
 def write_delivery(df: DataFrame, landing_dir: str, file_name: str) -> None:
