@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Integer text, optionally with a fraction that is truncated ("3.7" -> 3, "-3.9" -> -3).
@@ -68,6 +68,26 @@ def recode(c: Column | str, mapping: Mapping[str, str], fallback: Column | None
     return F.coalesce(lookup[c], c if fallback is None else fallback)
 
 
+def recode_by_table(
+    df: DataFrame, column: str, dictionary: DataFrame, key: str, value: str, name: str, fallback: Column | None = None, most_entries: int = 256
+) -> DataFrame:
+    """P5 with a dictionary that is a table: ``df`` with the value of ``column`` as ``name``.
+
+    The entries are counted first, up to ``most_entries`` + 1. Up to ``most_entries`` they become a map
+    (a scalar subquery: no join, no exchange); more are joined, and Catalyst broadcasts them only by
+    their size. Defined cases: of a key's repeated values the smallest non-NULL one counts; a NULL
+    key of the dictionary matches nothing, and a NULL in ``column``, a missing key and a NULL value
+    give ``fallback`` (default: the column itself, as text)."""
+    entries = dictionary.select(F.col(key).alias("_key"), F.col(value).alias("_value")).dropna()
+    entries = entries.groupBy("_key").agg(F.min("_value").alias("_value"))
+    other = F.col(column).cast("string") if fallback is None else fallback
+    if entries.limit(most_entries + 1).count() <= most_entries:
+        lookup = entries.agg(F.map_from_entries(F.collect_list(F.struct("_key", "_value"))).alias("m")).scalar()
+        return df.withColumn(name, F.coalesce(F.try_element_at(lookup, F.col(column).cast(entries.schema["_key"].dataType)), other))
+    joined = df.join(entries, F.col(column) == F.col("_key"), "left")
+    return joined.withColumn(name, F.coalesce("_value", other)).drop("_key", "_value")
+
+
 def is_name_case(c: Column | str) -> Column:
     """Written in capitals: has an upper-case letter and no lower-case letter."""
     c = col(c)

@@ -87,3 +87,24 @@ def position_in_group(
         (F.col("o._offset") + F.col("r._local")).alias(position),
         *[F.col(f"o.{c}") for c in extra],
     )
+
+
+def previous_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Sequence[Column], value: str, previous: str = "_previous"
+) -> DataFrame:
+    """Adds ``previous``: ``value`` of the row before in its group (NULL for the first), as ``lag`` over the
+    whole group would, in the bounded chunks of ``position_in_group``. The first row of a chunk takes the
+    last value of the nearest chunk before, from the table of one row per (key, chunk)."""
+    chunk_names = [f"_chunk{i}" for i in range(len(chunk))]
+    rows = df.select("*", *[c.alias(n) for c, n in zip(chunk, chunk_names)])
+    in_chunk = Window.partitionBy(*keys, *chunk_names).orderBy(*order)
+    rows = rows.withColumns({"_inside": F.lag(F.struct(F.col(value).alias("v"))).over(in_chunk)})
+    last = F.max_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("_last")
+    in_key = Window.partitionBy(*keys).orderBy(*chunk_names)
+    before = rows.groupBy(*keys, *chunk_names).agg(last).withColumn("_before", F.lag("_last").over(in_key))
+    r, b = rows.alias("r"), before.alias("b")
+    on = F.lit(True)
+    for k in [*keys, *chunk_names]:
+        on &= F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}"))
+    joined = r.join(b, on, "inner")
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns], F.coalesce(F.col("r._inside"), F.col("b._before"))["v"].alias(previous))

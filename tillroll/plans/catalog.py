@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from tillroll.functions.text import lenient_integer, lenient_us_timestamp
-from tillroll.operators import sinks
+from tillroll.functions.text import lenient_integer, lenient_us_timestamp, recode_by_table
+from tillroll.operators import checks, sinks
 from tillroll.operators.asof import asof_join, asof_merge
 from tillroll.operators.dedup import latest_per_key, newest_copies
 from tillroll.operators.quality import (
@@ -33,6 +33,7 @@ from tillroll.plans import clean, marts, oracle, pipeline, rules, schemas, star
 from tillroll.plans.layers import Layers
 from tillroll.session import child_names, fs_path
 from tillroll.sources import feeds, landing
+from tillroll.sources.tables import table
 from tillroll.streaming.ingest import (
     SILVER_ORDERS_BY_MONTH,
     ingest_available,
@@ -757,6 +758,127 @@ def ops_ingested_files(spark, sf_dir):
     )
 
 
+# ------------------------------------------------------------------ checks over tables and runs
+
+
+@query(
+    "dq_referential",
+    """SELECT 'dim_product' AS referenced, stock_code AS orphan, CAST(count(*) AS BIGINT) AS n
+       FROM silver_orders WHERE stock_code NOT IN (SELECT stock_code FROM dim_product) GROUP BY stock_code
+       UNION ALL
+       SELECT 'dim_customer', CAST(customer_id AS VARCHAR), CAST(count(*) AS BIGINT)
+       FROM silver_orders WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customer)
+       GROUP BY customer_id
+       UNION ALL
+       SELECT 'dim_product of the fact', CAST(product_key AS VARCHAR), CAST(count(*) AS BIGINT)
+       FROM fact_sales WHERE product_key NOT IN (SELECT product_key FROM dim_product) GROUP BY product_key""",
+)
+def dq_referential(spark, sf_dir):
+    """Keys of published lines, and of the fact, that a dimension does not have."""
+    layers = Layers(spark, sf_dir)
+    lines, products = layers.lines_for_fact, layers.dim_product_for_gold
+    sides = {
+        "dim_product": checks.orphans(lines, "stock_code", products, "stock_code"),
+        "dim_customer": checks.orphans(lines, "customer_id", layers.dim_customer, "customer_id"),
+        "dim_product of the fact": checks.orphans(layers.fact_for_marts, "product_key", products, "product_key"),
+    }
+    rows = [df.select(F.lit(name).alias("referenced"), F.col("key").cast("string").alias("orphan"), "n") for name, df in sides.items()]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+@query(
+    "dq_price_jumps",
+    """SELECT stock_code, version, previous_price, unit_price FROM (
+         SELECT *, lag(unit_price) OVER (PARTITION BY stock_code ORDER BY version) AS previous_price FROM dim_product)
+       WHERE unit_price > 3 * previous_price OR 3 * unit_price < previous_price""", money=["previous_price", "unit_price"],
+)
+def dq_price_jumps(spark, sf_dir):
+    """Price versions over three times, or under a third of, the one before."""
+    return checks.price_jumps(Layers(spark, sf_dir).dim_product_for_gold)
+
+
+@query(
+    "dq_volume",
+    """SELECT table_name, 'run-2' AS run_id, CAST(new AS BIGINT) AS rows_total, CAST(old AS BIGINT) AS usual_rows,
+              new * 100 NOT BETWEEN old * 50 AND old * 200 AS unusual
+       FROM (SELECT table_name, count(*) FILTER (WHERE _source_file LIKE '%_2.csv') AS new,
+                    count(*) FILTER (WHERE _source_file LIKE '%_1.csv') AS old
+             FROM (SELECT 'customers' AS table_name, _source_file FROM raw_customers
+                   UNION ALL SELECT 'products', _source_file FROM raw_products
+                   UNION ALL SELECT 'orders', _source_file FROM raw_orders) GROUP BY table_name)""",
+)
+def dq_volume(spark, sf_dir):
+    """The rows of the last load of each feed against the loads before, from a stored run log."""
+    layers, path = Layers(spark, sf_dir), scratch(spark, "run_log")
+    for load in (1, 2):
+        for feed in pipeline.FEEDS:
+            rows = layers.bronze(feed).filter(F.col("_source_file") == f"{feed}_{load}.csv")
+            line = rows.agg(F.count(F.lit(1)).alias("rows_total")).withColumns({"run_id": F.lit(f"run-{load}"), "table_name": F.lit(feed)})
+            sinks.append(conform(line, schemas.RUN_LOG), path)
+    return checks.volume_changes(sinks.read_table(spark, path, schemas.RUN_LOG))
+
+
+@query(
+    "dq_freshness",
+    """SELECT table_name, newest, CAST(date_diff('day', CAST(newest AS DATE), DATE '2024-01-04') AS BIGINT) AS days,
+              date_diff('day', CAST(newest AS DATE), DATE '2024-01-04') > 2 AS stale
+       FROM (SELECT 'customers' AS table_name, max(_ingested_at) AS newest FROM raw_customers WHERE _source_file = 'customers_1.csv'
+             UNION ALL SELECT 'products', max(_ingested_at) FROM raw_products
+             UNION ALL SELECT 'orders', max(_ingested_at) FROM raw_orders)""",
+)
+def dq_freshness(spark, sf_dir):
+    """How old each feed's newest load is on 2024-01-04; the customers' second load has not come yet."""
+    layers = Layers(spark, sf_dir)
+    tables = {feed: layers.bronze(feed) for feed in pipeline.FEEDS}
+    tables["customers"] = tables["customers"].filter(F.col("_source_file") == "customers_1.csv")
+    found = checks.staleness(tables, F.lit("2024-01-04").cast("date"), 2)
+    return found.withColumn("newest", F.col("newest").cast(NTZ))
+
+
+@query(
+    "units_around_median_price",
+    """WITH p AS (SELECT *, CAST(avg_unit_price AS DOUBLE) AS price FROM price_vs_volume),
+            m AS (SELECT quantile_cont(price, 0.5) AS median FROM p)
+       SELECT CASE WHEN price < median THEN 'below' WHEN price > median THEN 'above' ELSE 'median' END AS side,
+              CAST(count(*) AS BIGINT) AS products, CAST(sum(units_sold) AS BIGINT) AS units,
+              CAST(sign(sum(units_sold)) * ((abs(CAST(sum(units_sold) AS HUGEINT)) * 200 + count(*)) // (2 * count(*))) AS DECIMAL(18,0)) / 100 AS avg_units,
+              any_value(median) AS median_price
+       FROM p, m GROUP BY 1""", doubles=["avg_units"],
+)
+def units_around_median_price(spark, sf_dir):
+    return marts.units_around_median_price(Layers(spark, sf_dir).price_vs_volume)
+
+
+@query(
+    "recode_by_nation",
+    """SELECT c.c_custkey, coalesce(n.n_name, 'none') AS nation, coalesce(r.n_name, CAST(c.c_custkey AS VARCHAR)) AS of_key
+       FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey AND n.n_nationkey <> 3
+       LEFT JOIN nation r ON r.n_nationkey = c.c_custkey""",
+)
+def recode_by_nation(spark, sf_dir):
+    """A dictionary that is a table, as a map and as a join; one of its names is missing."""
+    customers, nation = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), table(spark, sf_dir, "nation")
+    known = nation.withColumn("n_name", F.when(F.col("n_nationkey") != 3, F.col("n_name")))
+    named = recode_by_table(customers, "c_nationkey", known, "n_nationkey", "n_name", "nation", F.lit("none"))
+    named = recode_by_table(named, "c_custkey", nation, "n_nationkey", "n_name", "of_key", most_entries=10)
+    return named.select("c_custkey", "nation", "of_key")
+
+
+@query(
+    "ingest_by_listing",
+    f"SELECT {cols(SOURCE_COLS)}, _source_file FROM raw_orders",
+)
+def ingest_by_listing(spark, sf_dir):
+    """Two deliveries, three runs: what is new is found by an anti join of the listing with what is noted."""
+    layers, landing_dir = Layers(spark, sf_dir), scratch(spark, "landing")
+    wh, ws = pipeline.Warehouse(scratch(spark, "warehouse")), session_workspace(spark)
+    for load in (1, 2, 3):
+        if load < 3:
+            deliver(layers, "orders", load, landing_dir)
+        pipeline.take_in(spark, wh, "orders", landing_dir, pipeline.now_micros(), ws)
+    return wh.read(spark, "bronze.orders").select(*SOURCE_COLS, "_source_file")
+
+
 # ------------------------------------------------------------------ sinks
 
 UPSERT_FROM = "2000-06-01 00:00:00"

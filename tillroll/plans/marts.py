@@ -119,6 +119,21 @@ def price_vs_volume(
     return conform(out.fillna(0, ["units_sold"]), schemas.PRICE_VS_VOLUME)
 
 
+def units_around_median_price(per_product: DataFrame) -> DataFrame:
+    """The finding of Q3: products below, at and above the exact median of ``avg_unit_price`` (``percentile``:
+    its buffer holds distinct prices, not rows), and the units they sell on average (HALF_UP, 2
+    places). ``per_product`` is ``price_vs_volume``; the median is a scalar subquery over it."""
+    median = per_product.agg(F.percentile("avg_unit_price", F.lit(0.5)).alias("m")).scalar()
+    price = F.col("avg_unit_price").cast("double")
+    side = F.when(price < median, "below").when(price > median, "above").otherwise("median")
+    groups = per_product.filter("avg_unit_price IS NOT NULL").groupBy(side.alias("side")).agg(
+        F.count(F.lit(1)).alias("products"),
+        F.sum("units_sold").alias("units"),
+        avg_half_up(F.col("units_sold").cast("decimal(18,2)")).alias("avg_units"),
+    )
+    return groups.withColumn("median_price", median)
+
+
 def price_drops(fact: DataFrame, dim_product_df: DataFrame, ts: str = "invoice_ts") -> DataFrame:
     """Per merchandise product: price just before the last month and at its end.
 
