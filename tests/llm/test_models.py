@@ -260,3 +260,28 @@ def test_every_word_of_a_large_vocabulary_has_its_own_counts(spark, monkeypatch)
         n, t, b = want[x["doc_id"]]
         assert x["n_tokens"] == n
         assert x["ce_target"] == pytest.approx(t, rel=1e-9) and x["ce_background"] == pytest.approx(b, rel=1e-9)
+
+
+def test_the_mark_and_heavy_words_are_spread_over_buckets(spark, monkeypatch):
+    """Documents of one word, and a word that is a third of all: no bucket gets a third of the bigrams."""
+    monkeypatch.setattr(lmscore, "SLICE_BYTES", 4_000)
+    monkeypatch.setattr(lmscore, "BUCKET", 400)
+    texts = {i: f"only{i}" if i < 900 else f"heavy w{i} heavy v{i}" for i in range(1500)}
+    docs = frame(spark, [(i, t, None) for i, t in texts.items()]).repartition(3)
+    slices_ = lmscore.document_slices(docs)
+    total = slices_.agg(F.sum("tokens")).first()[0]
+    many = -(-total // lmscore.BUCKET)
+    heavy = lmscore.heavy_words(slices_, many)
+    assert heavy.tolist() == lmscore._word_hashes(b"heavy").tolist()
+    hot = np.concatenate([lmscore.MARKS[:1], heavy])
+    got = collections.Counter()
+    for r in slices_.collect():
+        for bucket, _, _, after, _, _ in lmscore.requests(bytes(r["words"]), r["lens"], [], hot, many):
+            got[bucket] += len(after) // lmscore.AFTER_BYTES
+    assert len(got) == many and max(got.values()) < 2 * sum(got.values()) / many
+    scored = lmscore.cross_entropy_difference(spark, docs, spark.createDataFrame([(1,), (950,)], "doc_id long")).collect()
+    want = brute_scores(texts, [1, 950])
+    assert len(scored) == 1500
+    for x in scored:
+        n, t, b = want[x["doc_id"]]
+        assert x["n_tokens"] == n and abs(x["ce_target"] - t) < 1e-9 and abs(x["ce_background"] - b) < 1e-9

@@ -15,8 +15,10 @@ Nothing that grows with the corpus passes through the driver or is broadcast:
 
 1. The documents' words are staged once, compressed, in slices of some megabytes.
 2. Every slice sends its distinct bigrams with their counts, as arrays, to the bucket of the word
-   before; those of the words that are frequent nearly everywhere (at most a fixed number) are
-   spread over all buckets by the word after. A bucket adds the counts up over the corpus, returns
+   before; those of the mark before each document, and of words that occur so often that they would
+   fill a good part of a bucket, are spread over all buckets by the word after. There are a few
+   such words for each bucket at most (8 bytes each). The words after one word are told apart by
+   48 bits of their hashes (a chance of m * m / 2**49 that two of m are taken for one). A bucket adds the counts up over the corpus, returns
    the sums to the slices in the order they asked, and adds up each word's figures. The end of a
    document counts as a bigram here, so that these give a word's whole count too.
 3. Every slice asks for its distinct words' figures in the same way.
@@ -47,13 +49,16 @@ DISCOUNT = 0.75
 SLICE_BYTES = 8 << 20
 #: Tokens a bucket of bigrams.
 BUCKET = 1 << 20
-#: Frequent words: this share of a slice's first words, in at least one of ``COMMON`` slices.
-HOT_SHARE, HOT_WORDS, COMMON = 1 / 512, 1 << 14, 4
+#: Words of more than this part of a bucket's tokens are spread over all buckets.
+HEAVY = 4
+#: Bytes of a word after another on its way to a bucket.
+AFTER_BYTES = 6
 #: Hashes of the marks before and after a document's words, and their places in a slice's words.
 MARKS = np.array([0x5BD1E995A5A5A5A5, 0x27D4EB2F165667C5], np.uint64)
 START, END = 0, 1
+LOW = np.uint64((1 << 8 * AFTER_BYTES) - 1)
 
-SLICES = "doc_ids array<long>, lens array<int>, tokens long, hot array<long>, words binary"
+SLICES = "doc_ids array<long>, lens array<int>, tokens long, words binary"
 REQUESTS = "bucket int, slice long, before binary, runs binary, after binary, n binary, target binary"
 #: kind 0: sums for a slice; kind 1: figures of words for a bucket of words.
 SUMS = "kind int, slice long, bucket int, keys binary, data binary"
@@ -99,24 +104,54 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[list[dict]]
 
 
 def document_slices(documents: DataFrame) -> DataFrame:
-    """The words of some megabytes of documents a row, and the frequent ones of the first of them."""
+    """The words of some megabytes of documents a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", SLICE_BYTES):
             texts = [letters_and_digits(t or b"") for t in b.column("text").to_pylist()]
             lens = [t.count(b" ") + 1 if t else 0 for t in texts]
             joined = b" ".join(t for t in texts if t)
-            first, n = np.unique(_word_hashes(joined, HOT_WORDS), return_counts=True)
-            hot = first[n >= max(n.sum() * HOT_SHARE, 2)].view(np.int64).tolist()
-            yield _batch(SLICES, [(b.column("doc_id").to_pylist(), lens, sum(lens), hot, _pack(joined))])
+            yield _batch(SLICES, [(b.column("doc_id").to_pylist(), lens, sum(lens), _pack(joined))])
 
     source = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
     return source.mapInArrow(run, SLICES).withColumn("slice", F.monotonically_increasing_id())
 
 
-def _word_hashes(joined: bytes, most: int | None = None) -> np.ndarray:
-    starts, ends = word_spans(joined)
-    return ngram_hashes(joined, 1, (starts[:most], ends[:most]))
+def _word_hashes(joined: bytes) -> np.ndarray:
+    return ngram_hashes(joined, 1, word_spans(joined))
+
+
+def heavy_words(texts: DataFrame, many: int) -> np.ndarray:
+    """Hashes of the words with more than 1 / ``HEAVY`` of a bucket's tokens, and some with half of that.
+
+    A slice counts those that have half such a share of its own words: a word's occurrences
+    elsewhere are less than half of all, so half of the limit is asked of the sum. The found words are
+    at most 2 * ``HEAVY`` for each bucket."""
+    if many == 1:
+        return np.empty(0, np.uint64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for packed in b.column("words").to_pylist():
+                words, n = np.unique(_word_hashes(_unpack(packed)), return_counts=True)
+                often = n * (2 * HEAVY * many) >= n.sum()
+                yield _batch("word long, n long", [*zip(words[often].view(np.int64).tolist(), n[often].tolist())])
+
+    counts = texts.select("words").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    found = counts.filter(F.col("n") * (2 * HEAVY) > BUCKET).select("word").collect()
+    return np.array([r["word"] for r in found], np.int64).view(np.uint64)
+
+
+def _short(words: np.ndarray) -> bytes:
+    """The low bytes of the hashes."""
+    return np.ascontiguousarray(words.view(np.uint8).reshape(-1, 8)[:, :AFTER_BYTES]).tobytes()
+
+
+def _long(rows: list[dict], column: str) -> np.ndarray:
+    low = _join(rows, column, np.uint8).reshape(-1, AFTER_BYTES)
+    out = np.zeros((len(low), 8), np.uint8)
+    out[:, :AFTER_BYTES] = low
+    return out.reshape(-1).view(np.uint64)
 
 
 def word_buckets(words: np.ndarray, many: int) -> np.ndarray:
@@ -169,8 +204,8 @@ def requests(packed: bytes, lens: list[int], wanted: list[int], hot: np.ndarray,
         if hi > lo:
             heads = np.concatenate([[0], np.flatnonzero(np.diff(s.before[lo:hi])) + 1])
             runs = np.diff(np.concatenate([heads, [hi - lo]])).astype(np.int32)
-            arrays = (s.words[s.before[lo + heads]], runs, s.words[s.after[lo:hi]], n[lo:hi], target[lo:hi])
-            yield int(s.bucket[lo]), *(a.tobytes() for a in arrays)
+            counts = (n[lo:hi].tobytes(), target[lo:hi].tobytes())
+            yield int(s.bucket[lo]), s.words[s.before[lo + heads]].tobytes(), runs.tobytes(), _short(s.words[s.after[lo:hi]]), *counts
 
 
 def _join(rows: list[dict], column: str, kind) -> np.ndarray:
@@ -180,15 +215,15 @@ def _join(rows: list[dict], column: str, kind) -> np.ndarray:
 def bucket_sums(rows: list[dict], many_words: int) -> Iterator[tuple]:
     """Rows of SUMS from all requests to a bucket."""
     before, b = pd.factorize(np.repeat(_join(rows, "before", np.uint64), _join(rows, "runs", np.int32)))
-    after, a = pd.factorize(_join(rows, "after", np.uint64))
+    after, a = pd.factorize(_long(rows, "after"))
     gram, codes = pd.factorize(before * len(a) + after)
     n, target = (np.bincount(gram, weights=_join(rows, c, np.int32)).astype(np.int64) for c in ("n", "target"))
     lo = 0
     for r in rows:
-        mine = gram[lo : lo + len(r["after"]) // 8]
+        mine = gram[lo : lo + len(r["after"]) // AFTER_BYTES]
         lo += len(mine)
         yield 0, r["slice"], r["bucket"], None, _pack(np.stack([n[mine], target[mine]]).tobytes())
-    before, inside = codes // len(a), a[codes % len(a)] != MARKS[END]
+    before, inside = codes // len(a), a[codes % len(a)] != MARKS[END] & LOW
     sums = np.stack([
         np.bincount(before, weights=w, minlength=len(b)).astype(np.int64)
         for w in (n, target, n * inside, target * inside, inside, inside & (target > 0))
@@ -265,8 +300,7 @@ def cross_entropy_difference(spark: SparkSession, documents: DataFrame, target_i
     size = texts.agg(F.sum("tokens"), F.count(F.lit(1))).first()
     many = max(1, -(-(size[0] or 0) // BUCKET))
     many_words, many_slices = max(1, many // 4), max(1, size[1])
-    common = texts.select(F.explode("hot").alias("word")).groupBy("word").count().filter(F.col("count") * COMMON >= many_slices)
-    hot = np.array([r["word"] for r in common.collect()], np.int64).view(np.uint64)  # at most COMMON / HOT_SHARE words
+    hot = np.concatenate([MARKS[[START]], heavy_words(texts, many)])  # every document begins with the mark
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _groups(batches, "slice"):
