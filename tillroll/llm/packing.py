@@ -39,15 +39,15 @@ def pieces(total: int, max_len: int) -> list[tuple[int, int]]:
     return out
 
 
-def pack(documents: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int = 1) -> DataFrame:
+def pack(documents: DataFrame, tokenizer_path: str, max_len: int = 2048, end_id: int = 1, cache_bytes: int = 256 << 20) -> DataFrame:
     """One row per sequence: doc_id, start, length, ids (little-endian uint32), doc_tokens,
-    bucket (= length), sequence_id, offset."""
+    bucket (= length), sequence_id, offset. A worker keeps words and their ids up to ``cache_bytes``."""
     if max_len < 1 or max_len & (max_len - 1):
         raise ValueError("max_len must be a power of two")
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = cache(tokenizer_path)
+        tok = cache(tokenizer_path, cache_bytes)
         for b in slices(batches, "text", keep=True):
             texts = [t or b"" for t in b.column("text").to_pylist()]
             rows: list[tuple] = []

@@ -25,6 +25,7 @@ from tillroll.llm.common import kept
 
 SEPARATOR = "<|startoftext|>"  # a special string of the vocabulary: texts on its sides don't meet
 _TOGETHER, _LONGEST = 512, 64
+_ENTRY = 180  # bytes of two objects and a place in a dictionary, less their contents
 _STOP = re.compile(rb"(?<=[a-z0-9])([.,])(?=[ \n])")
 
 
@@ -38,17 +39,19 @@ def words_of(text: bytes) -> list[bytes]:
 class WordCache:
     """``ids(text)`` as little-endian unsigned 32-bit ids.
 
-    The ids of about ``most`` words of at most 64 bytes are kept, in two halves: when the newer
+    The ids of about ``most`` words of at most 64 bytes are kept, and of them at most about ``most_bytes``
+    (words, ids and what Python needs for both), in two halves: when the newer
     is full the older is dropped, and words that are met again move to the newer (a matter of
     speed only). Unknown words go to the library together, with a special string
     between them; it cuts texts before anything else is done, so each word is encoded alone.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    def __init__(self, path: str, most: int = 800_000, most_bytes: int = 256 << 20):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.library, self.half = Tokenizer.from_file(path), most // 2
+        self.library, self.half, self.half_bytes = Tokenizer.from_file(path), most // 2, most_bytes // 2
+        self.bytes = 0
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
         self.library.no_padding()
@@ -74,8 +77,8 @@ class WordCache:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         out = []
         for lo in range(0, len(texts), 256):  # unknown words of several texts go together
-            if len(self.known) > self.half:
-                self.known, self.older = {}, self.known
+            if len(self.known) > self.half or self.bytes > self.half_bytes:
+                self.known, self.older, self.bytes = {}, self.known, 0
             known, older = self.known, self.older
             split = [words_of(t) for t in texts[lo : lo + 256]]
             new = {w for words in split for w in words if w not in known}
@@ -85,9 +88,11 @@ class WordCache:
             for w in new:
                 if len(w) > _LONGEST:
                     del known[w]
+                else:
+                    self.bytes += len(w) + len(known[w]) + _ENTRY
         return out
 
 
-def cache(path: str) -> WordCache:
+def cache(path: str, most_bytes: int = 256 << 20) -> WordCache:
     """The worker's cache of a vocabulary file."""
-    return kept(f"words of {path}", lambda: WordCache(path))
+    return kept(f"words of {path}, {most_bytes}", lambda: WordCache(path, most_bytes=most_bytes))
