@@ -20,6 +20,8 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if one language makes up at least this share of it.
 LEAST_SHARE = 0.5
 MOST_TOXIC = 0.5
+#: What a worker keeps of words and their ids: the executors have the earlier stages' memory too.
+CACHE_BYTES = 64 << 20
 
 
 def _rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
@@ -56,7 +58,8 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of power-of-two length, with their ids."""
-    return packed_digests(packing.pack(docs, public_tokenizers.path(TOKENIZER), MAX_TOKENS))
+    tokenizer = public_tokenizers.path(TOKENIZER)
+    return packed_digests(packing.pack(docs, tokenizer, MAX_TOKENS, cache_bytes=CACHE_BYTES))
 
 
 STAGES = [
