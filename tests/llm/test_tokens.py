@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tillroll.llm.packing import pack, pieces
-from tillroll.llm.tokencount import cut_points, token_counts
+from tillroll.llm.tokencount import cut_points, spliced_counts, token_counts
 from tillroll.llm.wordpiece_cache import WordCache
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -86,6 +86,28 @@ def test_an_overlap_without_white_space_is_widened():
     assert cut_points("a" * 5000, 900, 8) == []
 
 
+def test_an_overlap_whose_encodings_differ_is_widened_after_encoding(spark, tmp_path):
+    """A vocabulary with tokens of two words: what a chunk's tokens are depends on where it begins."""
+    from tokenizers import models
+
+    merges = [(" ", "a"), (" a", " a")]
+    vocabulary = {"a": 0, " ": 1, " a": 2, " a a": 3, "b": 4, "<|startoftext|>": 5}
+    path = str(tmp_path / "two_words.json")
+    pairs = Tokenizer(models.BPE(vocab=vocabulary, merges=merges))
+    pairs.save(path)
+    text, lone = " a" * 500, " a" * 49 + "b" + " a" * 450
+    rows = [(1, text), (2, text + " a"), (None, text), (3, lone), (4, "b" * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    first = spliced_counts(docs.withColumn("text_key", docs.text), path, 100, 2).collect()
+    assert {r["doc_id"] for r in first if r["n_tokens"] is None} >= {1, 2, None}
+    got = sorted((r["doc_id"] or 0, r["n_tokens"]) for r in token_counts(docs, path, 100, 2).collect())
+    assert got == sorted((d or 0, len(pairs.encode(t).ids)) for d, t in rows)
+
+
+def test_an_overlap_over_the_whole_text_leaves_one_chunk():
+    assert cut_points("a b " * 100, 100, 400) == [] and cut_points("a b " * 100, 100, 399)
+
+
 def test_empty_table(spark):
     none = documents(spark, [])
     assert pack(none, PATH).count() == 0 and token_counts(none, PATH).count() == 0
