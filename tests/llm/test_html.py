@@ -3,6 +3,7 @@
 import html
 import itertools
 import re
+import time
 
 import numpy as np
 import pytest
@@ -48,6 +49,66 @@ def test_viterbi_is_the_best_of_all_paths():
     assert field.decode(page) == [bool(y) for y in best]
 
 
+def test_fit_ends_where_the_likelihood_over_all_paths_is_flat():
+    r = np.random.default_rng(5)
+    tags, pages = ("p", "li", "h2"), []
+    for _ in range(12):
+        page = crf.blocks("".join(f"<{tags[i]}>x" for i in r.integers(0, 3, int(r.integers(2, 6)))))
+        pages.append((page, [bool(r.random() < (0.8 if b.tag == "p" else 0.3)) for b in page]))
+    decay, total = 1e-2, sum(len(p) for p, _ in pages)
+    field = crf.fit(pages, rounds=2500, rate=0.02, decay=decay)
+    names = sorted(field.weights)
+    at = np.array([field.weights[n] for n in names] + [x for row in field.step for x in row])
+
+    def loss(x):
+        weights, step = dict(zip(names, x)), x[len(names) :].reshape(2, 2)
+        out = 0.0
+        for page, labels in pages:
+            emit = [sum(weights.get(f, 0.0) for f in set(fs)) for fs in crf.features(page)]
+
+            def score(path):
+                return sum(e for e, y in zip(emit, path) if y) + sum(step[a][b] for a, b in zip(path, path[1:]))
+
+            paths = np.array([score(p) for p in itertools.product((0, 1), repeat=len(page))])
+            out += np.log(np.exp(paths).sum()) - score([int(y) for y in labels])
+        return out / total + decay / 2 * (x**2).sum()
+
+    for i in range(len(at)):
+        e = np.zeros(len(at))
+        e[i] = 1e-4
+        assert abs(loss(at + e) - loss(at - e)) / 2e-4 < 2e-3
+    assert abs(at).max() > 0.3
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "".join(f'<div id="q{"abcdefghij"[i % 10]}{"x" * (i % 997)}"><p>t' for i in range(20_000)),
+        "<svg>a" * 100_000,
+        "<b>a</i><hr>" * 30_000,
+        "<div>" * 30_000 + "</i></p>" * 30_000,
+    ],
+)
+def test_deep_and_unclosed_pages_take_time_in_proportion(page):
+    field = crf.trained()
+    begun = time.process_time()
+    field.main_text(page)
+    assert time.process_time() - begun < 10
+
+
+def test_features_that_the_model_does_not_know_change_nothing():
+    field = crf.trained()
+    for page, _ in zip(_raw_pages(), range(40)):
+        whole = crf.blocks(page)
+        assert field.main_text(page) == "\n".join(b.text for b, keep in zip(whole, field.decode(whole)) if keep)
+
+
+def _raw_pages():
+    import pyarrow.parquet as pq
+
+    return [h for h in pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])["html"].to_pylist() if h]
+
+
 def test_other_labelled_pages_are_read_right():
     wrong = total = 0
     for found, labels in crf.labelled_pages(200, seed=99):

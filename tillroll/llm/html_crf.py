@@ -22,7 +22,8 @@ from __future__ import annotations
 import functools
 import html
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Container, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -85,10 +86,14 @@ class Block:
     link_chars: int
 
 
-def blocks(page: str) -> list[Block]:
-    """Leaf blocks of a page in order, white space made single spaces, empty ones left out."""
+def blocks(page: str, known: Container[str] | None = None) -> list[Block]:
+    """Leaf blocks of a page in order, white space made single spaces, empty ones left out. Of the
+    ancestors' features only those in ``known`` are kept, if given: a page may have any number."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, tuple[str, ...]]] = []  # tag, hidden, features with those above
+    # tag, hidden, features with those above, nearest block tag
+    stack: list[tuple[str, bool, tuple[str, ...], str]] = []
+    opened: Counter[str] = Counter()
+    unclosed: set[str] = set()  # raw tags that the rest of the page doesn't close
     text: list[str] = []
     links = 0
     in_link = 0
@@ -98,15 +103,15 @@ def blocks(page: str) -> list[Block]:
         if text:
             joined = " ".join("".join(text).split())
             if joined:
-                tag = next((t for t, _, _ in reversed(stack) if t in BLOCK_TAGS), "")
-                out.append(Block(joined, tag, stack[-1][2] if stack else (), links))
+                out.append(Block(joined, stack[-1][3] if stack else "", stack[-1][2] if stack else (), links))
             text.clear()
         links = 0
 
     def pop_to(index: int) -> None:
         nonlocal in_link
-        for t, _, _ in stack[index:]:
+        for t, *_ in stack[index:]:
             in_link -= t == "a"
+            opened[t] -= 1
         del stack[index:]
 
     def say(raw: str) -> None:
@@ -132,13 +137,15 @@ def blocks(page: str) -> list[Block]:
         if closing:
             if tag in BLOCK_TAGS:
                 flush()
-            for i in range(len(stack) - 1, -1, -1):
+            for i in range(len(stack) - 1, -1, -1) if opened[tag] else ():
                 if stack[i][0] == tag:
                     pop_to(i)
                     break
             continue
         if tag in RAW_TAGS and tag != "noscript" or tag == "noscript":
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if not end:
+                unclosed.add(tag)
             if tag in ("script", "style", "title", "textarea", "iframe") or end:
                 at = end.end() if end else len(page)
                 continue
@@ -146,14 +153,15 @@ def blocks(page: str) -> list[Block]:
             say(" ")
         if tag in BLOCK_TAGS:
             flush()
-            for i in range(len(stack) - 1, -1, -1):  # a new block closes an open paragraph
+            for i in range(len(stack) - 1, -1, -1) if opened["p"] else ():  # a new block closes an open paragraph
                 if stack[i][0] == "p":
                     pop_to(i)
                     break
                 if stack[i][0] in SCOPES:
                     break
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSES.get(tag, ()):
+            closes = CLOSES.get(tag, ())
+            for i in range(len(stack) - 1, -1, -1) if any(opened[t] for t in closes) else ():
+                if stack[i][0] in closes:
                     pop_to(i)
                     break
                 if stack[i][0] in SCOPES:
@@ -163,8 +171,10 @@ def blocks(page: str) -> list[Block]:
         if tag in VOID_TAGS or attributes.endswith("/") and tag not in BLOCK_TAGS:
             continue
         hidden, own = _ancestor_features(tag, attributes)
-        above = stack[-1] if stack else ("", False, ())
-        stack.append((tag, hidden or above[1], above[2] + tuple(f for f in own if f not in above[2])))
+        above = stack[-1] if stack else ("", False, (), "")
+        new = tuple(f for f in own if f not in above[2] and (known is None or f in known))
+        stack.append((tag, hidden or above[1], above[2] + new, tag if tag in BLOCK_TAGS else above[3]))
+        opened[tag] += 1
         in_link += tag == "a"
     flush()
     return out
@@ -219,7 +229,7 @@ class Field:
         return states[::-1]
 
     def main_text(self, page: str | None) -> str:
-        found = blocks(page) if page else []
+        found = blocks(page, self.weights) if page else []
         return "\n".join(b.text for b, keep in zip(found, self.decode(found)) if keep)
 
 
