@@ -3,6 +3,10 @@
 import random
 import re
 
+import numpy as np
+from pyspark.sql import functions as F
+
+from tillroll.llm.common import bit_table, in_table
 from tillroll.llm.decontam import contamination
 
 
@@ -68,3 +72,14 @@ def test_long_text_and_empty_tables(spark):
     assert run(spark, [(1, long)], items) == [(1, 150_015, 15, ["1"], False)]
     assert run(spark, [], items) == []
     assert run(spark, [(1, "a b"), (2, None)], []) == [(1, 2, 0, [], False), (2, 0, 0, [], False)]
+
+
+def test_bit_table_grows_with_its_keys(spark):
+    keys = spark.range(3000).select(F.xxhash64("id").alias("k")).union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    added = np.array([r.k for r in keys.collect() if r.k is not None], np.int64)
+    others = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 20_000)
+    for most, bits in ((1 << 20, 1 << 16), (1 << 12, 1 << 12)):
+        table = bit_table(keys, "k", least=64, most=most)
+        assert len(table) * 8 == bits and in_table(table, added).all()
+        assert abs(in_table(table, others).mean() - (1 - np.exp(-3000 / bits))) < 0.02
+    assert not in_table(bit_table(keys.filter("k IS NULL"), "k"), added).any()

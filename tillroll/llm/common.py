@@ -159,20 +159,25 @@ def slices(batches: Iterator, weigh: str, most_bytes: int = 4 << 20, keep: bool
             yield batch.slice(lo, rows)
 
 
-def bit_table(keys: DataFrame, column: str, bits: int = 1 << 23) -> np.ndarray:
-    """Fixed-size bit table of 64-bit keys (bits / 8 bytes, whatever the number of keys).
+def bit_table(keys: DataFrame, column: str, per_key: int = 16, least: int = 1 << 23, most: int = 1 << 29) -> np.ndarray:
+    """Bit table of 64-bit keys with at least ``per_key`` bits for each of the counted keys, so that
+    hardly one key in ``per_key`` that was not added tests true; a key that was added always does.
 
-    The words are or-ed together on the executors; at most ``bits / 64`` rows of 12 bytes
-    reach the driver. A key that was added always tests true.
+    The size is a power of two from ``least`` (1 MB) to ``most`` (64 MB, some 33 million keys; beyond
+    them more keys test true, which costs time only). The words are or-ed together on the executors;
+    at most ``bits / 64`` rows of 12 bytes reach the driver.
     """
+    bits, many = least, keys.filter(F.col(column).isNotNull()).count()
+    while bits < min(per_key * many, most):
+        bits *= 2
     slot = F.pmod(F.col(column), F.lit(bits))
     rows = (
         keys.filter(F.col(column).isNotNull())
         .select((slot / 64).cast("int").alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (slot % 64).cast("int")).alias("b"))
-        .groupBy("w").agg(F.bit_or("b").alias("b")).toPandas()
+        .groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
     )
     out = np.zeros(bits // 64, np.int64)
-    out[rows["w"].to_numpy()] = rows["b"].to_numpy()
+    out[rows.column("w").to_numpy()] = rows.column("b").to_numpy()
     return out.view(np.uint8)
 
 
