@@ -58,6 +58,52 @@ def test_odd_rows_of_languages(spark):
     assert langmix.predict(spark, df.filter("false"), models).count() == 0
 
 
+def test_the_chosen_set_is_the_best_of_all_nested_sets():
+    r = random.Random(12)
+    syllables = {c: ["".join(r.choice(letters) for _ in range(3)) for _ in range(25)] for c, letters in zip("pqrs", ("abcde", "cdefg", "ghijk", "jklab"))}
+
+    def write(lang, n):
+        return " ".join(r.choice(syllables[lang]) + r.choice(syllables[lang]) for _ in range(n))
+
+    logp = np.zeros((langmix.CELLS, 4), np.float32)
+    for i, c in enumerate("pqrs"):
+        n = np.full(langmix.CELLS, 0.5) + np.bincount(langmix.cells(write(c, 5000)), minlength=langmix.CELLS)
+        logp[:, i] = np.log(n / n.sum())
+    models = langmix.LanguageModels(tuple("pqrs"), logp)
+
+    def likelihood(draws, some):
+        p = [[math.exp(float(logp[d, i])) for i in some] for d in draws]
+        share = [1 / len(some)] * len(some)
+        for _ in range(300):
+            got = [0.0] * len(some)
+            for row in p:
+                mixed = sum(a * s for a, s in zip(row, share))
+                got = [g + a * s / mixed for g, a, s in zip(got, row, share)]
+            share = [g / len(p) for g in got]
+        return sum(math.log(sum(a * s for a, s in zip(row, share))) for row in p), share
+
+    sizes = set()
+    for k in (1, 1, 2, 2, 3, 4, 2, 3, 1, 4):
+        langs = r.sample("pqrs", k)
+        text = " ".join(write(c, r.choice([3, 12, 25])) for c in langs)
+        draws = langmix.cells(text).tolist()
+        price = math.log(len(draws) + 1)
+        order = sorted(range(4), key=lambda i: -likelihood(draws, range(4))[1][i]) if k > 1 else None
+        value = {(i,): 2 * likelihood(draws, (i,))[0] / 3 - price for i in range(4)}
+        if order:
+            value |= {tuple(order[:m]): 2 * likelihood(draws, order[:m])[0] / 3 - price * m for m in (2, 3, 4)}
+        _, score, chosen = models.mixture(text)
+        got = {tuple(sorted(v)): x for v, x in value.items()}[tuple(sorted("pqrs".index(c) for c, _ in chosen))]
+        assert got >= max(value.values()) - 0.5 and score == chosen[0][1]
+        sizes.add(len(chosen))
+    assert {1, 2, 3} <= sizes
+
+
+def test_rows_without_an_id_are_not_learnt_from(spark):
+    rows = [(1, "abc abc", "xx"), (None, "def def", "yy"), (2, None, "zz"), (3, "ghi", None)]
+    assert langmix.train(frame(spark, rows), ~langmix.held_out(F.col("doc_id"), 4, 2) | F.col("doc_id").isNull()).languages == ("xx",)
+
+
 # ---- toxicity ----
 
 
@@ -93,6 +139,42 @@ def test_toxic_documents_of_the_tables(spark):
     assert hits / sum(p for _, p in rows) > 0.9 and hits / sum(t for t, _ in rows) > 0.85
 
 
+def test_fit_follows_the_slope_of_the_corrected_risk():
+    """The steps of ``fit`` against finite differences of the risk, both of its branches."""
+    r = random.Random(8)
+    texts = lambda words, n: [toxicity.word_cells(" ".join(r.choice(words) for _ in range(6)).encode()) for _ in range(n)]
+    positive, unlabelled = texts(["vile", "bad", "the", "cat"], 30), texts(["the", "cat", "dog", "bad"], 60)
+    prior, steps, batch, rate, decay = 0.8, 25, 8, 0.3, 1e-5
+    model = toxicity.fit(positive, unlabelled, prior, steps, batch, rate, decay, least=1, least_z=0.0)
+    used = toxicity.differing(positive, unlabelled, 0.0, 1).tolist()
+
+    def output(x, doc):
+        return x[-1] + sum(x[used.index(c)] * math.log1p(t) for c, t in zip(doc[0].tolist(), doc[1].tolist()) if c in used)
+
+    def sigmoid(z):
+        return 1 / (1 + math.exp(-z))
+
+    rng, x = np.random.default_rng(7), np.array([0.0] * len(used) + [-1.0])
+    m, v, branches = np.zeros(len(x)), np.zeros(len(x)), set()
+    for step in range(1, steps + 1):
+        p = [positive[i] for i in rng.integers(0, len(positive), batch)]
+        u = [unlabelled[i] for i in rng.integers(0, len(unlabelled), 2 * batch)]
+
+        def parts(x):
+            as_positive = prior * np.mean([sigmoid(-output(x, d)) for d in p])
+            return as_positive, np.mean([sigmoid(output(x, d)) for d in u]) - prior * np.mean([sigmoid(output(x, d)) for d in p])
+
+        plain = parts(x)[1] >= 0
+        branches.add(plain)
+        risk = lambda x: sum(parts(x)) if plain else -parts(x)[1]  # noqa: B023, E731
+        g = np.array([(risk(x + e) - risk(x - e)) / 2e-5 for e in np.eye(len(x)) * 1e-5])
+        g[:-1] += decay * x[:-1]
+        m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
+        x = x - rate * (1 - (step - 1) / steps) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+    assert branches == {True, False}
+    assert [*model.weights[used].tolist(), model.intercept] == pytest.approx(x.tolist(), abs=2e-3)
+
+
 def test_odd_rows_of_toxicity(spark):
     docs = spark.createDataFrame([(1, None, 7), (2, "", 7), (None, "!!", 7), (2, "a b", 7)], "doc_id long, text string, score int")
     lab = frame(spark, [(1, 1, 1), (9, 1, 1), (None, None, None), (2, 0, None)], "doc_id long, quality int, toxic int")
@@ -183,6 +265,28 @@ def test_quality_rejects_junk_and_keeps_prose(spark):
     assert all(not r["kept"] for r in rows if r["base_failed"])
 
 
+def test_bands_and_verdicts_are_those_of_plain_python(spark):
+    rows = quality_lm.quality(spark, spark.read.parquet(f"{SF}/documents.parquet"), 3.0).collect()
+    usual = collections.defaultdict(list)
+    for r in rows:
+        assert r["base_failed"] == (r["n_words"] < 10 or 100 * r["n_repeat_words"] > 20 * r["n_words"])
+        if not r["base_failed"] and r["log_perplexity"] is not None:
+            usual[r["lang"]].append(r)
+    outside = 0
+    for lang, some in usual.items():
+        costs = sorted(r["log_perplexity"] for r in some)
+        low, middle, high = (costs[math.ceil(q * len(costs)) - 1] for q in (0.25, 0.5, 0.75))
+        noise = sum(r["cost_sq"] - r["log_perplexity"] ** 2 for r in some) / len(some)
+        for r in (r for r in rows if r["lang"] == lang and r["log_perplexity"] is not None):
+            half = 3.0 * math.sqrt(((high - low) / 1.349) ** 2 + noise / max(r["lm_words"], 1))
+            assert (r["low"], r["high"]) == (pytest.approx(middle - half), pytest.approx(middle + half))
+            good = middle - half <= r["log_perplexity"] <= middle + half
+            outside += not good
+            if min(abs(r["log_perplexity"] - middle - half), abs(r["log_perplexity"] - middle + half)) > 1e-9:
+                assert r["kept"] == (not r["base_failed"] and good)
+    assert outside > 20
+
+
 def test_odd_rows_of_quality(spark):
     prose = "the cat sat on the mat and then it went to look for some milk"
     rows = [(1, None, "en", 1.0), (2, "", None, 1.0), (3, prose, None, 1.0), (4, "! ? . , ! ? . , ! ; : ,", "en", 1.0), (None, prose, "en", 2.0)]

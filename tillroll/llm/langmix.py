@@ -89,17 +89,18 @@ class LanguageModels:
             return self.languages[0], 1.0, [(self.languages[0], 1.0)]
         p = np.exp(logp - logp.max(axis=1, keepdims=True))
         base = float(times @ logp.max(axis=1))
-        share, _ = em(p, times, np.full(every, 1.0 / every))
+        share, most = em(p, times, np.full(every, 1.0 / every))
         order = np.argsort(-share, kind="stable")
         chosen, best = (best_one,), 2 * alone[best_one] / ORDER - price
         weight = np.ones(1)
         for k in range(2, every + 1):
+            if 2 * (most + base) / ORDER - price * k <= best:  # no set of k or more languages fits better than all do
+                break
             subset = order[:k]
             fitted, like = em(p[:, subset], times, share[subset] / share[subset].sum())
             value = 2 * (like + base) / ORDER - price * k
-            if value <= best:
-                break
-            chosen, best, weight = tuple(subset.tolist()), value, fitted
+            if value > best:
+                chosen, best, weight = tuple(subset.tolist()), value, fitted
         rank = sorted(zip(chosen, weight.tolist()), key=lambda x: (-x[1], x[0]))
         top, score = rank[0]
         return self.languages[top], min(1.0, float(score)), [(self.languages[i], float(v)) for i, v in rank]
@@ -150,8 +151,9 @@ def count_cells(labelled: DataFrame) -> DataFrame:
 
 
 def train(documents: DataFrame, learn_from: Column, smoothing: float = 0.5) -> LanguageModels:
-    """Models from the rows where ``learn_from`` holds and text and lang are there."""
-    labelled = documents.filter(learn_from & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    """Models from the rows where ``learn_from`` holds and doc_id, text and lang are there."""
+    there = F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    labelled = documents.filter(learn_from & there)
     got = count_cells(labelled).toPandas()
     languages = sorted(got["lang"].unique())
     logp = np.zeros((CELLS, len(languages)), np.float32)
