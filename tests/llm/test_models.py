@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.llm import langmix, lmscore, quality_lm, queries, toxicity
+from tillroll.llm.common import session_workspace
 
 SF = "/root/testdata/sf0.01"
 
@@ -218,32 +219,103 @@ def test_base_figures(spark):
         assert quality_lm.base_stats(t.encode()) == brute_base(t)
 
 
-def test_kneser_ney_is_a_distribution_and_follows_the_definition():
-    r = np.random.default_rng(6)
-    text = r.choice([1, 2, 3, 5, 0, 28], 4000, p=[0.3, 0.3, 0.2, 0.1, 0.05, 0.05]).astype(np.uint8)
-    grams, n = np.unique(quality_lm.fourgrams(text), return_counts=True)
-    model = quality_lm.kneser_ney(grams, n)
-    for context in (0, (1 << 12) | (2 << 6) | 3, (5 << 12) | (5 << 6) | 5, (60 << 12) | (1 << 6) | 2, (60 << 12) | (61 << 6) | 62):
-        p = np.exp(-model.cost((context << 6) + np.arange(64)))
-        assert p.sum() == pytest.approx(1.0, abs=1e-9) and (p > 0).all()
-    # by hand: one bigram-level probability, P(3 | 2) from continuation counts
-    types = {k: np.unique(grams & ((1 << 6 * k) - 1)) for k in (1, 2, 3)}
-    c2 = collections.Counter((types[3] & 0xFFF).tolist())
-    c1 = collections.Counter((types[2] & 0x3F).tolist())
-
-    def discounts(counter):
-        of = [sum(v == i for v in counter.values()) for i in (1, 2, 3, 4)]
+def plain_kneser_ney(counted):
+    """P(last symbol | first three) as a function, by the definition, from {four symbols: n}."""
+    tables = {4: dict(counted)}
+    for k in (3, 2, 1):
+        tables[k] = collections.Counter(g[1:] for g in tables[k + 1])
+    off = {}
+    for k, table in tables.items():
+        of = [sum(v == i for v in table.values()) for i in (1, 2, 3, 4)]
         y = of[0] / (of[0] + 2 * of[1]) if of[0] and of[1] else 0.5
-        return [0.0] + [min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.05), i - 0.05) if of[i - 1] and of[i] else 0.5 for i in (1, 2, 3)]
+        off[k] = [0.0] + [min(max(i - (i + 1) * y * of[i] / of[i - 1], 0.05), i - 0.05) if of[i - 1] and of[i] else 0.5 for i in (1, 2, 3)]
+
+    def p(gram):
+        k = len(gram)
+        if not k:
+            return 1 / (len(tables[1]) + 1)
+        row = {g: v for g, v in tables[k].items() if g[:-1] == gram[:-1]}
+        if not row:
+            return p(gram[1:])
+        total, taken = sum(row.values()), sum(off[k][min(v, 3)] for v in row.values())
+        n = row.get(gram, 0)
+        return (n - off[k][min(n, 3)]) / total + taken / total * p(gram[1:])
+
+    return p
+
 
-    d1, d2 = discounts(c1), discounts(c2)
-    total1 = sum(c1.values())
-    uni = (c1[3] - d1[min(c1[3], 3)]) / total1 + sum(d1[min(v, 3)] for v in c1.values()) / total1 / 64
-    row = {k: v for k, v in c2.items() if k >> 6 == 2}
-    gamma = sum(d2[min(v, 3)] for v in row.values()) / sum(row.values())
-    want = (row[(2 << 6) | 3] - d2[min(row[(2 << 6) | 3], 3)]) / sum(row.values()) + gamma * uni
-    at = np.searchsorted(model.keys[1], (2 << 6) | 3)
-    assert math.exp(model.logp[1][at]) == pytest.approx(want)
+def packed(gram):
+    key = 0
+    for c in gram:
+        key = key << 16 | c
+    return key
+
+
+def test_kneser_ney_is_a_distribution_and_follows_the_definition(spark):
+    r = np.random.default_rng(6)
+    texts = {"xx": "".join(r.choice(list("abc \u4e02\u4e22\U00020000"), 1500)), "yy": "".join(r.choice(list("абв, "), 700))}
+    counted = {lang: collections.Counter(quality_lm.fourgrams(quality_lm.symbols(t)).tolist()) for lang, t in texts.items()}
+    rows = [(lang, int(np.uint64(g).view(np.int64)), n) for lang, c in counted.items() for g, n in c.items()]
+    table = quality_lm.kneser_ney(session_workspace(spark), spark.createDataFrame(rows, "lang string, gram long, n long"))
+    models = quality_lm.sorted_arrays(table)
+    assert set(models) == {"xx", "yy"}
+    for lang, c in counted.items():
+        split = {tuple(g >> 16 * i & 0xFFFF for i in (3, 2, 1, 0)): n for g, n in c.items()}
+        p = plain_kneser_ney(split)
+        seen = sorted({x for g in split for x in g})
+        asked = []
+        for context in ((32, 32, 32), (97, 98, 99), (0x4E02, 0x4E22, 97), (0x430, 0x431, 32), (5, 6, 97), (5, 6, 7)):
+            row = [(*context, x) for x in [*seen, 9999]]
+            cost = models[lang].cost(np.array([packed(g) for g in row], np.uint64))
+            assert np.exp(-cost) == pytest.approx([p(g) for g in row])
+            # the padding blanks are never predicted, so a blank has its share only where the language has one
+            assert np.exp(-cost)[[x in {g[-1] for g in split} or x == 9999 for x in [*seen, 9999]]].sum() == pytest.approx(1.0)
+            asked += row
+        keys = [(lang, int(np.uint64(packed(g)).view(np.int64))) for g in sorted(set(asked))]
+        joined = quality_lm.costs_by_joins(spark.createDataFrame(keys, "lang string, gram long"), table).collect()
+        assert len(joined) == len(keys)
+        for row in joined:
+            g = np.array([row["gram"]], np.int64).view(np.uint64)
+            assert row["gram_cost"] == pytest.approx(float(models[lang].cost(g)[0]))
+
+
+def test_no_two_letters_are_one_symbol():
+    letters = "".join(map(chr, [*range(0x4E00, 0x9FA6), *range(0x430, 0x450), *range(0x3B1, 0x3CA), *range(0x621, 0x64B), *range(0xDF, 0xF7)]))
+    assert len(set(quality_lm.symbols(letters).tolist())) == len(letters)
+    assert quality_lm.symbols("ÄБ\n\t X").tolist() == [0xE4, 0x431, 32, 0x78]
+    assert quality_lm.symbols("\U00020000").tolist() != quality_lm.symbols("\U00020001").tolist()
+
+
+def test_texts_in_wrong_signs_of_the_same_script_are_rejected(spark):
+    """Han and Cyrillic texts whose letters are others of the same script (which differ by multiples of 32)."""
+    r = random.Random(3)
+
+    def texts(letters, words):
+        some = ["".join(r.choice(letters) for _ in range(r.randint(2, 5))) for _ in range(80)]
+        return [" ".join(r.choice(some) for _ in range(words)) for _ in range(120)]
+
+    han = texts([chr(0x4E00 + i) for i in range(24)], 60)
+    cyrillic = texts([chr(0x430 + i) for i in range(24)], 60)
+    rows = [(i, t, "zh") for i, t in enumerate(han)] + [(1000 + i, t, "ru") for i, t in enumerate(cyrillic)]
+    rows += [(-1, "".join(c if c == " " else chr(ord(c) + 32) for c in han[0]), "zh")]
+    rows += [(-2, "".join(c if c == " " else chr(ord(c) + 64) for c in cyrillic[0]), "ru")]
+    kept = {x["doc_id"]: x["kept"] for x in quality_lm.quality(spark, frame(spark, rows)).collect()}
+    assert not kept[-1] and not kept[-2]
+    assert sum(v for k, v in kept.items() if k >= 0) >= 0.99 * 240
+
+
+def test_packs_and_joins_score_like_one_broadcast(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(150).select("doc_id", "text", "lang")
+    docs = docs.union(frame(spark, [(-1, "", None), (-2, None, "en"), (-3, "\U0001F600 ?! zzz", "en"), (-4, "one two", "nn"), (-4, "one two", "nn")]))
+    want = sorted(quality_lm.scored_texts(spark, docs).collect(), key=repr)
+    for pack, joins in ((0, True), (9_000, None), (60_000, False)):
+        got = sorted(quality_lm.scored_texts(spark, docs, pack).collect(), key=repr)
+        assert len(got) == len(want) == docs.count()
+        for x, y in zip(sorted(got, key=lambda v: repr(v[:8])), sorted(want, key=lambda v: repr(v[:8]))):
+            assert x[:8] == y[:8]
+            assert (x["cost"] is None) == (y["cost"] is None)
+            if x["cost"] is not None:
+                assert (x["cost"], x["cost_sq"]) == (pytest.approx(y["cost"], abs=1 / 4096), pytest.approx(y["cost_sq"], rel=1e-3))
 
 
 def test_counts_are_those_of_one_pass(spark):
@@ -253,7 +325,7 @@ def test_counts_are_those_of_one_pass(spark):
     for text, lang in docs.collect():
         words = text.encode().split()
         if not quality_lm.base_failed(len(words), quality_lm.repeated_words(words)):
-            want.update((lang, g) for g in quality_lm.fourgrams(quality_lm.symbols(text)).tolist())
+            want.update((lang, g) for g in quality_lm.fourgrams(quality_lm.symbols(text)).view(np.int64).tolist())
     assert got == dict(want)
 
 
