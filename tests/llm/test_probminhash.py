@@ -122,3 +122,20 @@ def test_documents_of_the_tables(spark):
 
 def test_empty_table(spark):
     assert grouped(spark, []) == []
+
+
+def test_a_star_of_many_partners_is_verified_piece_by_piece(spark):
+    r = random.Random(12)
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+    texts = {}
+    for c in range(3 * pm.PIECE):
+        words = list(base)
+        for _ in range(c % 9):
+            words[r.randrange(len(words))] = f"x{r.randrange(10**6)}"
+        texts[c] = " ".join(words).encode()
+    pairs = [(0, c) for c in texts if c] + [(5, c) for c in range(6, 60)]
+    words = spark.createDataFrame([(c, bytearray(t)) for c, t in texts.items()], "class long, words binary")
+    got = pm.verified(spark.createDataFrame(pairs, "a long, b long"), words, 0.8).collect()
+    sets = {c: pm.weighted_shingles(t) for c, t in texts.items()}
+    want = {(a, b) for a, b in pairs if pm.probability_jaccard(sets[a], sets[b]) >= 0.8}
+    assert len(got) == len(want) and {(x["a"], x["b"]) for x in got} == want and 0 < len(want) < len(pairs)

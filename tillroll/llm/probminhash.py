@@ -12,15 +12,15 @@ as its next arrival comes after the latest register (early termination).
 
 1. Texts with the same words are one class; only classes go on.
 2. Bands of ``rows`` registers; classes that share a band are candidates. Each bucket is first
-   joined in a star to its least class (rows, not pairs), the pairs are sifted by the
-   signatures' estimate and verified on the words; links make components.
+   joined in a star to its least class (rows, not pairs) and verified on the words; links make
+   components.
 3. Buckets that still hold several components are compared in blocks of bounded size, so that no
    task gets a whole hot bucket. Inside a pair of blocks texts are compared exactly, and only
    the links that join components are emitted (never the pairs). Components are made anew.
 
 Every candidate that two classes' bands give is thus verified or lies inside one component:
 no link between different texts is dropped beyond the banding's own chance (1.5e-4 at a
-similarity of 0.8, less above) and that of the estimate (3e-5).
+similarity of 0.8, less above).
 
 Components are found by rounds of minimum labels with pointer jumping over staged tables.
 Nothing of the documents passes through the driver but a fixed-size bit table and counts.
@@ -54,10 +54,9 @@ from tillroll.llm.common import (
 )
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 50, 8
-#: Pairs whose signatures agree on less than this share are not verified: four standard
-#: deviations below the threshold for BANDS * ROWS registers.
-ESTIMATE = 0.72
 BLOCK, BLOCK_BYTES = 256, 8 << 20
+#: Partners of a star's centre that a task verifies with one copy of the centre's text.
+PIECE = 256
 SIGNATURES = "uid long, doc_id long, words_hash binary, signature binary"
 
 
@@ -160,31 +159,33 @@ def class_words(documents: DataFrame, wanted: np.ndarray) -> DataFrame:
     return texts.groupBy("words_hash").agg(F.first("words").alias("words"))
 
 
-def _sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keeps the pairs whose signatures' estimate reaches ESTIMATE."""
-    for b in batches:
-        if b.num_rows:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(b.num_rows, -1) for c in ("sa", "sb"))
-            yield b.select(["a", "b"]).filter(pa.array(estimate(x, y) >= ESTIMATE))
-
-
 def verified(pairs: DataFrame, words: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose texts' exact similarity reaches the threshold."""
+    """The pairs (a, b) whose texts' exact similarity reaches the threshold.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
-        for b in batches:
-            keep = []
-            for a, wa, wb in zip(b.column("a").to_pylist(), b.column("wa").to_pylist(), b.column("wb").to_pylist()):
-                if last[0] != a:
-                    last = (a, weighted_shingles(wa))
-                keep.append(probability_jaccard(last[1], weighted_shingles(wb)) >= threshold)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    The partners of an ``a`` are dealt to pieces of some ``PIECE``; a piece gets the text of ``a`` once and
+    that of each partner once, in order, so that a task holds two texts at a time.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centre: tuple = (None, None)
+        for batch in slices(batches, "words"):
+            found = []
+            for a, c, w in zip(*(batch.column(name).to_pylist() for name in ("a", "class", "words"))):
+                if c == a:
+                    centre = (a, weighted_shingles(w))
+                elif centre[0] != a:
+                    raise ValueError("a piece begins with the text of its first class")
+                elif probability_jaccard(centre[1], weighted_shingles(w)) >= threshold:
+                    found.append((a, c))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    pieces = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PIECE).alias("pieces"))
+    partners = pairs.join(pieces, "a").select("a", F.pmod(F.xxhash64("b"), F.col("pieces")).alias("piece"), F.col("b").alias("class"))
+    centres = partners.select("a", "piece").distinct().withColumn("class", F.col("a"))
     return (
-        pairs.join(words.select(F.col("class").alias("a"), F.col("words").alias("wa")), "a")
-        .join(words.select(F.col("class").alias("b"), F.col("words").alias("wb")), "b")
-        .select("a", "b", "wa", "wb").mapInArrow(run, "a long, b long")
+        partners.union(centres).join(words, "class").select("a", "piece", "class", "words")
+        .repartition("a", "piece").sortWithinPartitions("a", "piece", F.col("class") != F.col("a"), "class")
+        .select("a", "class", "words").mapInArrow(run, "a long, b long")
     )
 
 
@@ -298,15 +299,8 @@ def near_duplicates(
     shared = banded.groupBy("bucket").agg(F.min("class").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = ws.stage(banded.join(shared, "bucket"), "members")
 
-    sign = classes.select("class", "signature")
-
-    def sifted(pairs: DataFrame) -> DataFrame:
-        x = sign.select(F.col("class").alias("a"), F.col("signature").alias("sa"))
-        y = sign.select(F.col("class").alias("b"), F.col("signature").alias("sb"))
-        return pairs.join(x, "a").join(y, "b").select("a", "b", "sa", "sb").mapInArrow(_sift, "a long, b long")
-
     stars = members.filter(F.col("class") != F.col("least")).select(F.col("least").alias("a"), F.col("class").alias("b")).distinct()
-    near = ws.stage(sifted(stars), "near")
+    near = ws.stage(stars, "near")
 
     key = F.conv(F.hex(F.substring("words_hash", 9, 8)), 16, -10).cast("long")
 
