@@ -9,7 +9,7 @@ the corpus.
 
 For scoring, languages are dealt to packs of at most ``pack`` entries. One pack at a time is broadcast
 as sorted arrays of hashed keys with the log-probabilities and back-off weights beside
-them, looked up by binary search (the hash is a bijection of 64 bits, so nothing collides). A language
+them, looked up by the hash's leading bits (the hash is a bijection of 64 bits, so nothing collides). A language
 with more entries than a pack holds is scored by joins: its corpus' distinct four-grams get
 their costs from the table, and its words get theirs from them. Both ways give the same costs.
 
@@ -46,7 +46,7 @@ ORDER, BITS, BLANK = 4, 16, 32
 _MASKS = [0] + [(1 << BITS * n) - 1 for n in range(1, ORDER + 1)]
 MARKS = b"#*$%&|<>"
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
-#: Entries of the models that are broadcast at once (16 bytes each, and as much again on the way).
+#: Entries of the models that are broadcast at once (20 to 24 bytes each, and as much again on the way).
 PACK = 1 << 22
 #: Kinds of a model's entries: 1 to ORDER are log-probabilities, these the others.
 UNKNOWN, BACKOFF = 0, 10
@@ -109,14 +109,13 @@ def word_costs(s: np.ndarray, model: KneserNey) -> np.ndarray:
     word, words = word_of_symbol(s)
     if not words:
         return np.empty(0)
-    grams, where = np.unique(fourgrams(s), return_inverse=True)
-    return np.bincount(word, weights=model.cost(grams)[where], minlength=words)
+    return np.bincount(word, weights=model.cost(fourgrams(s)), minlength=words)
 
 
 def base_stats(text: bytes) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words of one text."""
     words = text.split()
-    chars = sum(len(w.decode("utf-8", "surrogatepass")) for w in words) if not text.isascii() else sum(map(len, words))
+    chars = len(text.translate(None, b" \t\n\v\f\r").decode("utf-8", "surrogatepass"))
     marks = sum(text.count(bytes([m])) for m in MARKS)
     dup = 0
     if b"\n" in text:
@@ -265,32 +264,55 @@ def kneser_ney(ws: Workspace, counted: DataFrame) -> DataFrame:
 
 
 @dataclass(frozen=True)
-class KneserNey:
-    """One language's model: per kind a sorted array of hashed keys and the values beside it."""
+class SortedHashes:
+    """Sorted hashes, the values beside them, and where the hashes with given leading bits begin: about one
+    to a beginning, as a hash is spread evenly, so that a key is found in a step or a few."""
+
+    hashes: np.ndarray
+    values: np.ndarray
+    starts: np.ndarray
+    shift: int
 
-    entries: dict[int, tuple[np.ndarray, np.ndarray]]
+    @classmethod
+    def of(cls, hashes: np.ndarray, values: np.ndarray) -> SortedHashes:
+        bits = max(1, len(hashes).bit_length())
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        return cls(hashes, values, np.minimum(np.searchsorted(hashes, edges), len(hashes) - 1).astype(np.int32), 64 - bits)
 
-    def find(self, kind: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values of the keys, and which of them there are."""
-        hashes, values = self.entries[kind]
         want = mix(keys)
-        at = np.minimum(np.searchsorted(hashes, want), len(hashes) - 1)
-        return values[at], hashes[at] == want
+        at = self.starts[(want >> np.uint64(self.shift)).astype(np.intp)]
+        behind = np.flatnonzero(self.hashes[at] < want)
+        while len(behind):
+            behind = behind[at[behind] < len(self.hashes) - 1]
+            at[behind] += 1
+            behind = behind[self.hashes[at[behind]] < want[behind]]
+        return self.values[at], self.hashes[at] == want
+
+
+@dataclass(frozen=True)
+class KneserNey:
+    """One language's model, per kind of entry."""
+
+    entries: dict[int, SortedHashes]
 
     def cost(self, grams: np.ndarray) -> np.ndarray:
         """Negative log-probability of the last symbol of each four-gram."""
         total, todo, out = np.zeros(len(grams)), np.arange(len(grams)), np.empty(len(grams))
         for n in range(ORDER, 0, -1):
             key = grams[todo] & np.uint64(_MASKS[n])
-            logp, hit = self.find(n, key)
+            logp, hit = self.entries[n].find(key)
+            if n == ORDER and hit.all():
+                return -logp
             out[todo[hit]] = -(total[todo[hit]] + logp[hit])
             todo, key = todo[~hit], key[~hit]
             if not len(todo):
                 return out
             if n > 1:
-                weight, known = self.find(BACKOFF + n, key >> np.uint64(BITS))
+                weight, known = self.entries[BACKOFF + n].find(key >> np.uint64(BITS))
                 total[todo] += np.where(known, weight, 0.0)
-        out[todo] = -(total[todo] + self.entries[UNKNOWN][1][0])
+        out[todo] = -(total[todo] + self.entries[UNKNOWN].values[0])
         return out
 
 
@@ -306,7 +328,7 @@ def sorted_arrays(model: DataFrame) -> dict[str, KneserNey]:
     found: dict[str, dict] = {}
     for lo, hi in zip([0, *edges.tolist()], [*edges.tolist(), len(code)]):
         if hi > lo:
-            found.setdefault(lang.dictionary[int(code[lo])].as_py(), {})[int(kind[lo])] = (hashes[lo:hi], value[lo:hi])
+            found.setdefault(lang.dictionary[int(code[lo])].as_py(), {})[int(kind[lo])] = SortedHashes.of(hashes[lo:hi], value[lo:hi])
     return {name: KneserNey(entries) for name, entries in found.items()}
 
 
