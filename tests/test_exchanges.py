@@ -88,3 +88,29 @@ def test_stored_tables_finish_their_rows_after_the_exchange(spark, tmp_path):
     sinks.replace(spark.createDataFrame([("a", 1), ("b", 2)], PAIR), path, ["v"], ["k"], lambda rows: rows.withColumn("k", F.upper("k")))
     assert sorted(r["k"] for r in sinks.read_table(spark, path, PAIR).collect()) == ["A", "B"]
     assert all(".zstd." in p for p in sinks.read_table(spark, path, PAIR).inputFiles())
+
+
+def test_staged_tables_go_with_their_step_and_shuffles_with_their_job(spark):
+    from tillroll.operators.staging import Workspace
+    from tillroll.session import SHUFFLE_CLEANUP, path_exists, shuffles_removed
+
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    with shuffles_removed(spark), Workspace(spark, "probe") as ws:
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        table = ws.stage(spark.range(3), "x")
+        folder = table.inputFiles()[0].rsplit("/", 1)[0]
+        assert path_exists(spark, folder)
+        ws.drop("x")
+        assert not path_exists(spark, folder)
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) == before
+
+
+def test_a_step_leaves_no_staged_rows(spark, tmp_path):
+    from tillroll.plans import pipeline, rules
+
+    run = pipeline.Run(spark, pipeline.Warehouse(str(tmp_path)), str(tmp_path / "in"), "r")
+    with staging.Workspace(spark, "probe") as run.work:
+        rows = spark.createDataFrame([(1, "Peru", "Peru"), (None, "Mali", "Mali")], schemas.DIM_CUSTOMER)
+        out = run.publish("gold.dim_customer", rows, rules.DIM_CUSTOMER, run.replace("gold.dim_customer"))
+        assert (out.rows, out.quarantined) == (2, 1) and child_names(spark, run.work.root) == []
+    assert run.read("gold.dim_customer").count() == 1 and run.read("dq.quarantine").count() == 1
