@@ -26,6 +26,7 @@ from pyspark.sql.types import StructType
 
 from tillroll.operators import sinks
 from tillroll.operators.quality import evaluate, published
+from tillroll.operators.staging import Workspace
 from tillroll.plans import clean, rules, schemas
 from tillroll.session import child_names, fs_path, remove_path
 from tillroll.sources.landing import lineage, literal_glob, qualified, text_columns
@@ -129,11 +130,14 @@ def stream_orders_to_silver(
     """
 
     def to_silver(landed: DataFrame) -> None:
-        good = published(evaluate(clean.clean_orders(landed), rules.SILVER_ORDERS))
-        _, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
-        sinks.upsert(
-            spark, good.withColumn(INVOICE_MONTH, month), silver_path, SILVER_ORDERS_BY_MONTH, ["order_line_id"], INVOICE_MONTH
-        )
+        with Workspace(spark, "batch") as ws:
+            # a batch has the names of max_files_per_trigger files at most; lines are not exchanged with them
+            files = ws.stage(landed.select("_source_file").distinct().coalesce(1), "files")
+            good = published(evaluate(clean.clean_orders(landed, files), rules.SILVER_ORDERS))
+            _, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
+            sinks.upsert(
+                spark, good.withColumn(INVOICE_MONTH, month), silver_path, SILVER_ORDERS_BY_MONTH, ["order_line_id"], INVOICE_MONTH
+            )
 
     _run_available(
         spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint_path, max_files_per_trigger, to_silver
