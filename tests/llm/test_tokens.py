@@ -36,6 +36,18 @@ def test_words_apart_have_the_ids_of_the_whole_text(text):
     assert [np.frombuffer(i, "<u4").tolist() for i in CACHE.ids([t.encode() for t in many])] == [library_ids(t) for t in many]
 
 
+def test_words_of_letters_go_to_the_model_and_ends_are_cut_off(monkeypatch):
+    cache, given = WordCache(PATH), []
+    assert cache.direct
+    monkeypatch.setattr(cache, "library", type("", (), {"encode_batch_fast": lambda self, texts, **_: given.extend(texts) or LIBRARY.encode_batch_fast(texts, **_)})())
+    texts = ["mädchen señor ÿß naïve", "senor. señor, señor!?## Señor. x×. a÷, é'. (é) 1. ÉCOLE; it's.", "z" * 70 + "." + " " + "ö" * 40 + "..."]
+    assert [np.frombuffer(i, "<u4").tolist() for i in cache.ids([t.encode() for t in texts])] == [library_ids(t) for t in texts]
+    sent = "\n".join(given)
+    assert "señor" not in sent and "naïve" not in sent and "é'." in sent
+    assert not any(len(w) > 64 for w in cache.known)
+    assert cache.bytes == sum(len(w) + len(i) + 180 for w, i in cache.known.items())
+
+
 @given(st.integers(1, 20_000))
 def test_pieces_are_powers_of_two_that_cover_the_document(total):
     got = pieces(total, 2048)
