@@ -114,3 +114,63 @@ def test_a_step_leaves_no_staged_rows(spark, tmp_path):
         out = run.publish("gold.dim_customer", rows, rules.DIM_CUSTOMER, run.replace("gold.dim_customer"))
         assert (out.rows, out.quarantined) == (2, 1) and child_names(spark, run.work.root) == []
     assert run.read("gold.dim_customer").count() == 1 and run.read("dq.quarantine").count() == 1
+
+
+def test_what_is_parsed_is_not_asked_for_below_the_feed_join(spark):
+    """A predicate on parsed text that is pushed down is evaluated per order and again per line."""
+    layers = Layers(spark, SF001)
+    for df in (layers.silver_orders, layers.lines_for_fact, layers.orders_for_anchor):
+        plan = optimized(df)
+        below = plan[plan.index("Join Inner") :].lower()
+        assert "rlike" in plan.lower() and "rlike" not in below and "regexp_extract" not in below
+
+
+def test_lines_go_to_pieces_by_size_before_they_are_parsed(spark, monkeypatch):
+    whole = Layers(spark, SF001)
+    assert whole.pieces is None
+    monkeypatch.setattr(feeds, "PIECE_BYTES", 8000)
+    cut = Layers(spark, SF001)
+    n = cut.pieces
+    assert n >= 8 and Layers(spark, SF001, {"orders": cut.bronze("orders")}).pieces is None
+    for a, b in ((cut.silver_orders, whole.silver_orders), (cut.lines_for_fact, whole.lines_for_fact)):
+        text = physical(a)
+        assert len(re.findall(rf"hashpartitioning\(invoice_no#\d+, stock_code#\d+, {n}\)", text)) == 1
+        assert len(re.findall(r"hashpartitioning\(invoice_no#", text)) == 1
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+    monkeypatch.setattr(Layers, "fact_pieces", n)
+    shared = cut.share_lines()
+    assert f", {n})" in physical(shared.fact_sales)
+    assert sorted(map(str, shared.fact_sales.collect())) == sorted(map(str, whole.fact_sales.collect()))
+
+
+def test_equal_texts_of_other_parts_are_other_lines(spark, delivered):
+    lines = ["1;X;1;1/1/2011 1:00;5|6", "1;X;1;1/1/2011 1:00|5;6", "1;X;1;1/1/2011 1:00;5|6", "2;X;1;1/1/2011 1:00;5"]
+    bronze = delivered("orders", *lines)
+    for df in (clean.order_lines(bronze), clean.clean_orders(bronze)):
+        got = sorted((r["invoice_no"], str(r["invoice_ts"]), r["customer_id"]) for r in df.collect())
+        assert got == [("1", "2011-01-01 01:00:00", None), ("1", "None", 6), ("2", "2011-01-01 01:00:00", 5)]
+
+
+def test_marts_lines_without_text_give_the_same_marts(spark):
+    narrow, wide = Layers(spark, SF001).share_lines(text=False), Layers(spark, SF001)
+    assert clean.LINE_TEXT not in narrow._shared_lines.columns and "invoice_no" not in narrow._shared_lines.columns
+    for name in ("price_vs_volume", "revenue_by_country"):
+        assert sorted(map(str, getattr(narrow, name).collect())) == sorted(map(str, getattr(wide, name).collect()))
+
+
+def test_last_month_of_the_fact_without_the_fact(spark, delivered):
+    orders = delivered(
+        "orders", "1;X;1;3/4/2031 10:00;7", "2;X;0;3/5/2031 10:00;7", "3;X;1;12/31/9999 10:00;7", "4;X;2000000000;3/6/2031 10:00;7", "5;Y;1;3/7/2031 10:00;7"
+    )
+    products = delivered("products", "X;THING;99999999.00")
+    layers = Layers(spark, bronze={"orders": orders, "products": products}).share_instants()
+    assert [n for n in staged_names(spark) if n == "instants"]
+    got = layers.fact_for_last_month.agg(F.max("invoice_ts")).first()[0]
+    assert got == layers.fact_sales.agg(F.max("invoice_ts")).first()[0] and got.year == 2031 and got.month == 3
+
+
+def test_upsert_of_orders_reads_stored_lines(spark):
+    layers = Layers(spark, SF001)
+    stored = layers.stored_silver_orders
+    assert "l_orderkey" not in optimized(stored)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, layers.silver_orders.collect()))
