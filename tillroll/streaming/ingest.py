@@ -28,7 +28,7 @@ from tillroll.operators import sinks
 from tillroll.operators.quality import evaluate, published
 from tillroll.operators.staging import Workspace
 from tillroll.plans import clean, rules, schemas
-from tillroll.session import child_names, fs_path, remove_path
+from tillroll.session import child_names, folder_bytes, fs_path, pieces_of, remove_path, shuffles_removed
 from tillroll.sources.landing import lineage, literal_glob, qualified, text_columns
 
 ANY_AGE = "36500d"
@@ -62,9 +62,9 @@ def _run_available(
     bronze_path: str,
     checkpoint_path: str,
     max_files_per_trigger: int,
-    then: Callable[[DataFrame], None] | None = None,
+    then: Callable[[DataFrame, str], None] | None = None,
 ) -> None:
-    """Write every micro-batch of new rows to its bronze folder, then pass it on as stored."""
+    """Write every micro-batch of new rows to its bronze folder, then pass it on as stored, with its folder."""
     loads = f"{checkpoint_path.rstrip('/')}-load"
     instant: Column = F.timestamp_micros(F.lit(open_load(spark, loads)))
     stream = (
@@ -81,9 +81,9 @@ def _run_available(
         found = lineage(spark, landing_dir, F.col("_path"), F.col("_start"))
         folder = f"{bronze_path.rstrip('/')}/batch={batch_id}"
         rows = batch.withColumns({**found, "_ingested_at": instant}).select(*bronze_schema.names)
-        rows.write.mode("overwrite").parquet(folder)
+        rows.write.mode("overwrite").parquet(folder, compression=sinks.CODEC)
         if then is not None:
-            then(spark.read.schema(bronze_schema).parquet(folder))
+            then(spark.read.schema(bronze_schema).parquet(folder), folder)
 
     (
         stream.writeStream.foreachBatch(write_batch)
@@ -129,16 +129,17 @@ def stream_orders_to_silver(
     micro-batch upserts the same keys again, so the result does not change.
     """
 
-    def to_silver(landed: DataFrame) -> None:
+    def to_silver(landed: DataFrame, folder: str) -> None:
         with Workspace(spark, "batch") as ws:
             # a batch has the names of max_files_per_trigger files at most; lines are not exchanged with them
             files = ws.stage(landed.select("_source_file").distinct().coalesce(1), "files")
-            good = published(evaluate(clean.clean_orders(landed, files), rules.SILVER_ORDERS))
-            _, month = sinks.month_partition("invoice_ts", INVOICE_MONTH)
+            lines = clean.orders_by_month(landed, INVOICE_MONTH, files, pieces_of(spark, folder_bytes(spark, folder)))
             sinks.upsert(
-                spark, good.withColumn(INVOICE_MONTH, month), silver_path, SILVER_ORDERS_BY_MONTH, ["order_line_id"], INVOICE_MONTH
-            )
-
-    _run_available(
-        spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint_path, max_files_per_trigger, to_silver
-    )
+                spark, published(evaluate(lines, rules.SILVER_ORDERS)), silver_path, SILVER_ORDERS_BY_MONTH, ["order_line_id"],
+                INVOICE_MONTH, laid_out=clean.MONTH_ORDER,
+            )
+
+    with shuffles_removed(spark):
+        _run_available(
+            spark, landing_dir, "orders_", schemas.BRONZE_ORDERS, bronze_path, checkpoint_path, max_files_per_trigger, to_silver
+        )
