@@ -8,9 +8,12 @@ from conftest import SF001
 from pyspark.sql import functions as F
 
 from tillroll.operators import sinks
-from tillroll.plans import clean, schemas
+from tillroll.functions.keys import packed_hex
+from tillroll.operators.quality import Rule
+from tillroll.operators.staging import Workspace
+from tillroll.plans import clean, pipeline, schemas, star
 from tillroll.plans.layers import Layers
-from tillroll.session import pieces_of, splits_of
+from tillroll.session import child_names, pieces_of, shuffled_into, splits_of
 from tillroll.sources import feeds
 
 ROWS = schemas.ddl("k string, v int, m date")
@@ -98,3 +101,77 @@ def test_splits_and_pieces_follow_the_bytes(spark):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(128 << 20)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
     assert pieces_of(spark, 1 << 20) is None and pieces_of(spark, 400 << 20) == 200
+
+
+ORDERS = "no,code,n,when,who\n" + "".join(f"{i},K{i % 7},{i % 4},{1 + i % 9}/3/2030 9:00,{i % 5}\n" for i in range(200)) + "x,K1,1,44/3/2030 9:00,1\n"
+PRICES = "code,name,price\n" + "".join(f"K{k},THING {k},{k + 1}.50\nK{k},,{k + 1}.25\n" for k in range(6))
+
+
+def run_of(spark, tmp_path, monkeypatch, **sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(pipeline, name, value)
+    landing, wh = tmp_path / "landing", pipeline.Warehouse(str(tmp_path / "wh"))
+    for name, text in {"customers_1.csv": "id,land\n1,Peru\n", "products_1.csv": PRICES, "orders_1.csv": ORDERS}.items():
+        landing.mkdir(exist_ok=True)
+        (landing / name).write_text(text)
+    run = pipeline.Run(spark, wh, str(landing), "r")
+    run.run()
+    return run
+
+
+@pytest.mark.parametrize("sizes", [{}, {"GROUP_BYTES": 1}, {"GROUP_BYTES": 20_000, "LARGE_MONTH": 0}])
+def test_the_fact_by_groups_of_months_is_the_fact(spark, tmp_path, monkeypatch, sizes):
+    written, add = [], sinks.add_parts
+    monkeypatch.setattr(sinks, "add_parts", lambda df, path, *a: written.append(path) or add(df, path, *a))
+    run = run_of(spark, tmp_path, monkeypatch, **sizes)
+    months = len(run.month_bytes("silver.orders"))
+    of_fact = [p for p in written if p.endswith("gold/fact_sales")]
+    assert months == 9 and (len(of_fact) == 1 if not sizes else len(of_fact) == 9 if sizes["GROUP_BYTES"] == 1 else 1 < len(of_fact) < 9)
+    want = star.fact_sales(run.read("silver.orders").drop("invoice_month"), run.read("gold.dim_product"))
+    good = want.filter("product_key IS NOT NULL AND line_amount IS NOT NULL")
+    assert sorted(map(str, run.read("gold.fact_sales").select(*want.columns).collect())) == sorted(map(str, good.collect()))
+    log = run.read("ops.run_log").filter("table_name = 'gold.fact_sales'").first()
+    lost = run.read("dq.quarantine").filter("table_name = 'gold.fact_sales'")
+    assert (log["rows_total"], log["rows_published"], log["rows_quarantined"]) == (want.count(), good.count(), lost.count()) and lost.count() > 0
+    assert '"invoice_month":"2030-' in lost.first()["record"] and {tuple(r["failed_rules"]) for r in lost.collect()} == {("product_found",)}
+    results = run.read("dq.results").filter("table_name = 'gold.fact_sales' AND rule = 'product_found'").first()
+    assert (results["failed_rows"], results["total_rows"]) == (lost.count(), want.count())
+
+
+def test_lines_are_stored_once_and_rejected_ones_go_to_quarantine(spark, tmp_path, monkeypatch):
+    staged, stage = [], Workspace.stage
+    monkeypatch.setattr(Workspace, "stage", lambda self, df, name: staged.append(name) or stage(self, df, name))
+    run = run_of(spark, tmp_path, monkeypatch)
+    assert not [n for n in staged if n in ("silver_orders", "gold_fact_sales", "source") or n.endswith("_month")]
+    path = run.wh.path("silver.orders")
+    folder = next(n for n in child_names(spark, path) if n.startswith("_parts-"))
+    assert [n for n in child_names(spark, f"{path}/{folder}") if "=" in n] == ["_rejected=false"]
+    record = run.read("dq.quarantine").filter("array_contains(failed_rules, 'invoice_ts_valid')").first()["record"]
+    assert '"invoice_no":"X"' in record and "invoice_month" not in record and "_rejected" not in record
+    assert run.read("silver.orders").filter("quantity = 0 OR invoice_ts IS NULL").isEmpty()
+
+
+def test_a_table_without_good_rows_is_empty(spark, tmp_path):
+    run = pipeline.Run(spark, pipeline.Warehouse(str(tmp_path)), str(tmp_path / "in"), "r")
+    rows = spark.createDataFrame([(1,), (2,)], "a int").withColumn("invoice_month", F.to_date(F.lit("2030-01-01")))
+    schema = schemas.ddl("a int, invoice_month date")
+    path = run.wh.path("silver.orders")
+    for rule, left in (("a > 0", 2), ("a > 5", 0)):
+        out = run.publish_months("silver.orders", [rows], (Rule("r", rule),), ["a"], ["a"], lambda folder: sinks.switch_parts(spark, path, folder, whole=True))
+        assert (out.rows, out.rows - out.quarantined) == (2, left) and sinks.read_table(spark, path, schema).count() == left
+    assert sinks.merge_parts(spark, path, "_parts-none", schema, ["a"], "invoice_month") == []
+
+
+def test_keys_are_packed_and_other_texts_stay(spark, silver):
+    texts = ["00ff" * 16, "00FF", "abc", "", "K1", "zz", None]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(packed_hex("t").alias("b")).collect()
+    assert [None if r["b"] is None else r["b"].hex() for r in got] == ["00ff" * 16, None, None, "", None, None, None]
+
+
+def test_exchanges_have_pieces_that_adaptive_execution_may_join(spark):
+    name = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    with shuffled_into(spark, 77):
+        assert spark.conf.get(name) == "77"
+    with shuffled_into(spark, 1):
+        assert spark.conf.get(name) == spark.conf.get("spark.sql.shuffle.partitions")
+    assert spark.conf.get(name, None) is None
